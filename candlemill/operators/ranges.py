@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlemill import timegrid as tg
-from candlemill.operators import ordered
 
 # ranges are joined to bars through the day chunks they cover
 _JOIN_CHUNK_MS = tg.DAY_MS
@@ -14,20 +13,41 @@ _JOIN_CHUNK_MS = tg.DAY_MS
 
 def merge_ranges(ranges: DataFrame, keys: list[str] | None = None,
                  chunk_ms: int = tg.DAY_MS) -> DataFrame:
-    """Join overlapping or touching ranges of a key."""
+    """Join overlapping or touching ranges of a key.
+
+    Ranges are cut at chunk borders and merged inside their chunk. Only islands
+    that touch a border can belong together across chunks; at most two per chunk
+    do, and they alone share a lane per key for the second merge.
+    """
     keys = keys or ["symbol"]
-    chunk = tg.whole(F.col("from_ms"), chunk_ms)
-    order = ["from_ms", "to_ms"]
-    rows = ranges.select(*keys, "from_ms", "to_ms").distinct()
-    reach = ordered.prefix_max(rows, keys, order, F.col("to_ms"), "reach", chunk)
-    opens = F.col("reach").isNull() | (F.col("from_ms") > F.col("reach"))
-    heads = reach.withColumn("head", F.when(opens, F.col("from_ms"))).drop("reach")
-    # starts ascend, so the latest island start so far is the running maximum
-    known = ordered.prefix_max(heads, keys, order, F.col("head"), "earlier", chunk)
+    start, end, chunk = F.col("from_ms"), F.col("to_ms"), F.col("_chunk")
+    pieces = (
+        ranges.where(end > start)
+        .select(*keys, start, end, F.explode(F.sequence(
+            tg.whole(start, chunk_ms), tg.whole(end - 1, chunk_ms))).alias("_chunk"))
+        .select(*keys, chunk, F.greatest(start, chunk * chunk_ms).alias("from_ms"),
+                F.least(end, (chunk + 1) * chunk_ms).alias("to_ms"))
+        # copies and nested pieces with one start fold before the shuffle
+        .groupBy(*keys, "_chunk", "from_ms").agg(F.max("to_ms").alias("to_ms"))
+    )
+    local = _islands(pieces, [*keys, "_chunk"])
+    border = (start == chunk * chunk_ms) | (end == (chunk + 1) * chunk_ms)
+    lanes = local.withColumn("_lane", F.when(border, -1).otherwise(chunk))
+    return _islands(lanes.select(*keys, "_lane", "from_ms", "to_ms"), [*keys, "_lane"]).drop("_lane")
+
+
+def _islands(ranges: DataFrame, keys: list[str]) -> DataFrame:
+    """Merge the ranges inside each group; starts are unique there."""
+    order = Window.partitionBy(*keys).orderBy("from_ms")
+    reach = F.max("to_ms").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    opened = ranges.withColumn("_reach", reach).withColumn("_head", F.when(
+        F.col("_reach").isNull() | (F.col("from_ms") > F.col("_reach")), F.col("from_ms")))
+    # starts ascend, so the running maximum is the start of the current island
+    island = F.max("_head").over(order.rowsBetween(Window.unboundedPreceding, 0))
     return (
-        known.withColumn("island", F.coalesce("head", "earlier"))
-        .groupBy(*keys, "island").agg(F.max("to_ms").alias("to_ms"))
-        .select(*keys, F.col("island").alias("from_ms"), "to_ms")
+        opened.withColumn("_island", island).groupBy(*keys, "_island")
+        .agg(F.max("to_ms").alias("to_ms"))
+        .select(*keys, F.col("_island").alias("from_ms"), "to_ms")
     )
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from candlemill import schemas as S
 from candlemill import timegrid as tg
+from candlemill.operators import versions
 
 
 def _bar_folds() -> list[Column]:
@@ -35,6 +36,25 @@ def rollup_klines(bars: DataFrame, interval: str) -> DataFrame:
     )
 
 
+def rollup_raw_klines(raw: DataFrame, interval: str, bounded_copies: bool = False) -> DataFrame:
+    """Dedup raw bars and fold them.
+
+    By default the dedup collapses copies before its shuffle, whatever their
+    number, and the fold shuffles again. Where the writer bounds the copies of a
+    bar (a compacted table does), ``bounded_copies`` places rows by symbol and
+    bucket once and both steps share that one exchange.
+    """
+    if not bounded_copies:
+        return rollup_klines(versions.latest_bars(raw), interval)
+    step = tg.rollup_step(interval)
+    placed = raw.withColumn("bucket_ms", tg.bucket(F.col("start_ms"), step)).repartition(
+        "symbol", "bucket_ms")
+    bars = versions.latest_by_version(
+        placed, ["symbol", "bucket_ms", "start_ms"], ["version", "ingest_seq"])
+    return (bars.groupBy("symbol", "bucket_ms").agg(*_bar_folds())
+            .select("symbol", F.col("bucket_ms").alias("start_ms"), "end_ms", *S.BAR_VALUES))
+
+
 def rollup_klines_many(bars: DataFrame, intervals: list[str]) -> DataFrame:
     """All levels in one scan and one exchange; adds an ``interval`` column.
 

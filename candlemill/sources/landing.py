@@ -56,9 +56,10 @@ def decode_kline_frames(frames: DataFrame) -> DataFrame:
     only by case, which struct fields cannot; ``json_tuple`` tells them apart and
     parses the object once for all of them.
     """
-    bar = F.coalesce(F.get_json_object("body", "$.data.k"), F.get_json_object("body", "$.k"))
     kept = [c for c in frames.columns if c != "body"]
-    rows = frames.select(*kept, bar.alias("_k")).where(F.col("_k").isNotNull())
+    outer = F.from_json("body", "struct<data: struct<k: string>, k: string>")
+    rows = frames.select(*kept, outer.alias("_f")).select(
+        *kept, F.coalesce("_f.data.k", "_f.k").alias("_k")).where(F.col("_k").isNotNull())
     keys = ["s", "i", "t", "T", "n", "x", *FRAME_TEXT.values()]
     names = ["symbol", "interval", "_open", "_close", "_count", "_final", *FRAME_TEXT]
     fields = rows.select(*kept, F.json_tuple("_k", *keys).alias(*names))

@@ -9,7 +9,7 @@ from candlemill import timegrid as tg
 from candlemill.operators import rollup
 from candlemill.plans import refresh
 from workload.base import (
-    CTES, DAY, MEASURES, NOW, STEPS, bars, bars_at, oi, query, ratios, round_sql, rounded,
+    CTES, DAY, MEASURES, NOW, STEPS, bars, bars_at, bars_raw, oi, query, ratios, round_sql, rounded,
 )
 
 _BAR = f"symbol, start_ms, end_ms, open, high, low, close, {round_sql(*S.VOLUMES)}, trades_count"
@@ -60,6 +60,13 @@ def kline_all_levels(spark, sf):
     return rounded(rows, *S.VOLUMES)
 
 
+@query(f"SELECT {_BAR} FROM bars_1h")
+def kline_1h_colocated(spark, sf):
+    """Dedup and fold over one exchange, for tables with few copies per bar."""
+    rows = rollup.rollup_raw_klines(bars_raw(spark, sf), "1h", bounded_copies=True)
+    return rounded(rows, *S.VOLUMES)
+
+
 def _bound(interval: str) -> int:
     return rollup.refresh_bound(NOW, interval, tg.KLINE_LOOKBACK_DAYS[interval] * 2)
 
