@@ -35,7 +35,7 @@ def guard_stream(closed: DataFrame) -> DataFrame:
 def window_stream(closed: DataFrame, size: int = 200, stored: DataFrame | None = None) -> DataFrame:
     """Changed windows after each batch; ``stored`` seeds them from a rolling window table."""
     use_rocksdb_state(closed.sparkSession)
-    seed = None if stored is None else stored.select("symbol", "bars").groupBy("symbol")
+    seed = None if stored is None else stored.select("symbol", F.inline("bars")).groupBy("symbol")
     return closed.groupBy("symbol").transformWithState(
         P.RollingWindow(size), P.RollingWindow.schema, "Update", "None", seed)
 

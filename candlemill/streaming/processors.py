@@ -89,11 +89,12 @@ class RollingWindow(StatefulProcessor):
         self.bars = handle.getListState("bars", _STATE_BAR)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        newest = sorted((tuple(bar) for bar in initialState.bars), reverse=True)
-        self.bars.put(newest[: self.size])
+        # called once per stored bar, in no particular order
+        self.bars.appendValue(tuple(initialState[name] for name in _BAR_NAMES))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        window = list(self.bars.get()) if self.bars.exists() else []
+        known = self.bars.get() if self.bars.exists() else []
+        window = sorted((tuple(bar) for bar in known), reverse=True)[: self.size]
         pushed = False
         for row in sorted(rows, key=_arrival_order):
             if window and row.open_ms <= window[0][0]:
@@ -103,7 +104,7 @@ class RollingWindow(StatefulProcessor):
             pushed = True
         if not pushed:
             return
-        self.bars.put([tuple(bar) for bar in window])
+        self.bars.put(window)
         for pos, bar in enumerate(window):
             yield Row(symbol=key[0], pos=pos, **dict(zip(_BAR_NAMES, bar)))
 

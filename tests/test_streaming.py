@@ -22,6 +22,13 @@ def priced(*items):
     return [(s, "1m", t, a, i, *[float(t)] * 8, 1) for i, (s, t, a) in enumerate(items)]
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(spark):
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 @pytest.fixture
 def play(spark, frame):
     """Feed batches one after another through a stream, resuming its checkpoint each time."""
@@ -53,10 +60,10 @@ def section_rows(play, universe, *batches, timeout=5_000):
 def test_sections(play, frame):
     abc = frame([(s,) for s in "ABC"], "symbol string")
     ab = frame([(s,) for s in "AB"], "symbol string")
-    done = section_rows(play, abc, closed(("A", 1000, 10), ("B", 1000, 20)), closed(("C", 1000, 30), ("A", 1000, 40)))
-    assert done == [(1000, 3, "complete", 30)]
-    late = section_rows(play, abc, closed(("A", 1000, 10)), closed(("B", 1000, 9_000)))
-    assert late == [(1000, 1, "timeout", 5_010)]
+    # the first section completes, the second one times out and swallows its straggler
+    both = section_rows(play, abc, closed(("A", 1000, 10), ("B", 1000, 20), ("A", 2000, 50)),
+                        closed(("C", 1000, 30), ("A", 1000, 40), ("B", 2000, 9_000)))
+    assert both == [(1000, 3, "complete", 30), (2000, 1, "timeout", 5_050)]
     unknown = section_rows(play, None, closed(("A", 1000, 10), ("B", 1000, 20)))
     assert unknown == [(1000, 2, "timeout", 5_010)]
     outsider = section_rows(play, ab, closed(("A", 1000, 10), ("Z", 1000, 15), ("B", 1000, 20)))
