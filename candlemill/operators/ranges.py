@@ -128,11 +128,12 @@ def stale_rollups(repaired: DataFrame, now_ms: int, lookback_days: dict[str, int
     )
 
 
-def sweep_plan(gaps: DataFrame, known_empty: DataFrame, now_ms: int, max_ranges: int) -> DataFrame:
-    """Gaps to repair in this run: those not known to be empty, capped in symbol order.
+def sweep_plan(gaps: DataFrame, known_empty: DataFrame, now_ms: int,
+               max_ranges: int | None = None) -> DataFrame:
+    """Gaps to repair in this run: those not known to be empty, in symbol order up to a cap.
 
     The cap only defers: what it leaves out is found again by the next run.
     """
     asleep = known_empty.where(F.col("expires_ms") > now_ms).select("symbol", "from_ms")
-    return (gaps.join(asleep, ["symbol", "from_ms"], "left_anti")
-            .orderBy("symbol", "from_ms").limit(max_ranges))
+    due = gaps.join(asleep, ["symbol", "from_ms"], "left_anti")
+    return due if max_ranges is None else due.orderBy("symbol", "from_ms").limit(max_ranges)

@@ -202,7 +202,7 @@ def refold_touched(spark: SparkSession, path: str, rollup_paths: dict[str, str],
 
 def sweep(bars: DataFrame, candidates: DataFrame, known_empty: DataFrame, now_ms: int, *,
           step: int = tg.MINUTE_MS, settle_ms: int = 3 * tg.MINUTE_MS,
-          window_ms: int = tg.DAY_MS, max_ranges: int = 200,
+          window_ms: int = tg.DAY_MS, max_ranges: int | None = 200,
           empty_ttl_ms: int = 12 * tg.HOUR_MS,
           failed: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Find holes in the recent window and repair them from the candidates.

@@ -16,6 +16,7 @@ from candlemill.sources import facts
 from candlemill.streaming import processors as P
 
 KEYS = ("symbol", "interval")
+_MARKS = "symbol string, interval string, mark_ms long"
 
 
 def live_bars_stream(events: DataFrame, ttl_ms: int | None = None) -> DataFrame:
@@ -41,11 +42,19 @@ def window_stream(closed: DataFrame, size: int = 200, stored: DataFrame | None =
 
 
 def section_stream(closed: DataFrame, universe: DataFrame | None, timeout_ms: int = 5_000,
-                   retention_ms: int = tg.MINUTE_MS, delay: str = "0 seconds") -> DataFrame:
-    """Cross-section events; timers follow the arrival clock's watermark."""
+                   retention_ms: int = tg.MINUTE_MS, delay: str = "0 seconds",
+                   clock: str = "EventTime") -> DataFrame:
+    """Cross-section events.
+
+    With ``clock="EventTime"`` timers follow the watermark of the arrival clock,
+    so a replay gives the same events; ``"ProcessingTime"`` fires them by the wall
+    clock, for arrivals stamped with it.
+    """
     use_rocksdb_state(closed.sparkSession)
-    rows = closed.withColumn("arrival_ts", F.timestamp_millis("arrival_ms")).withWatermark(
-        "arrival_ts", delay)
+    rows = closed
+    if clock == "EventTime":
+        rows = closed.withColumn("arrival_ts", F.timestamp_millis("arrival_ms")).withWatermark(
+            "arrival_ts", delay)
     if universe is not None:
         members = universe.select("symbol").distinct()
         size = members.agg(F.count("*").alias("universe_size"))
@@ -55,7 +64,7 @@ def section_stream(closed: DataFrame, universe: DataFrame | None, timeout_ms: in
     else:
         rows = rows.withColumn("universe_size", F.lit(0).cast("long"))
     return rows.groupBy("interval", "open_ms").transformWithState(
-        P.SectionReady(timeout_ms, retention_ms), P.SectionReady.schema, "Append", "EventTime")
+        P.SectionReady(timeout_ms, retention_ms), P.SectionReady.schema, "Append", clock)
 
 
 def stream_rollup(events: DataFrame, interval: str, late: str = "10 minutes") -> DataFrame:
@@ -92,10 +101,12 @@ def fan_out(live_path: str, archive_path: str, reject_path: str,
 
     All good events reach the live log; the closed ones that pass the guard are
     archived, then handed to ``after`` (sections come last, when the windows
-    already hold their bars). The guard looks at the newest archived bar of each
-    symbol, so it also holds across batches and restarts. Rows that fail to
-    parse go to the rejects.
+    already hold their bars). Rows that fail to
+    parse go to the rejects. The newest archived bar of every symbol is carried
+    from batch to batch in a table of one row per symbol.
     """
+    marks_path = f"{archive_path.rstrip('/')}_marks"
+
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         parsed = filters.parse_quantities(batch).persist()
@@ -107,15 +118,19 @@ def fan_out(live_path: str, archive_path: str, reject_path: str,
             windows.live_bar_record(good).withColumn("batch_id", stamp).write.mode(
                 "overwrite").parquet(f"{live_path}/batch={batch_id}")
             guarded = monotonic_guard(good.where("is_final"), list(KEYS)).where("accepted")
-            newest = _archived_marks(spark, archive_path, batch_id)
-            if newest is not None:
-                guarded = guarded.join(newest, "symbol", "left").where(
-                    F.col("_mark").isNull() | (F.col("open_ms") > F.col("_mark"))).drop("_mark")
+            if batch_id > 0:
+                marks = spark.read.schema(_MARKS).parquet(f"{marks_path}/batch={batch_id - 1}")
+                guarded = guarded.join(marks, list(KEYS), "left").where(
+                    F.col("mark_ms").isNull() | (F.col("open_ms") > F.col("mark_ms"))).drop("mark_ms")
             rows = guarded.select(
                 "symbol", F.col("open_ms").alias("start_ms"), F.col("close_ms").alias("end_ms"),
                 *S.PRICES, *S.VOLUMES, F.col("trade_count").alias("trades_count"),
                 stamp.alias("version"), F.col("seq").alias("ingest_seq"))
             rows.write.mode("overwrite").parquet(f"{archive_path}/batch={batch_id}")
+            seen = guarded.groupBy(*KEYS).agg(F.max("open_ms").alias("mark_ms"))
+            if batch_id > 0:
+                seen = seen.unionByName(marks).groupBy(*KEYS).agg(F.max("mark_ms").alias("mark_ms"))
+            seen.write.mode("overwrite").parquet(f"{marks_path}/batch={batch_id}")
             if after is not None:
                 after(guarded, batch_id)
         finally:
@@ -124,15 +139,11 @@ def fan_out(live_path: str, archive_path: str, reject_path: str,
     return run
 
 
-def _archived_marks(spark, archive_path: str, batch_id: int) -> DataFrame | None:
-    """Newest archived bar per symbol from the batches before this one."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(archive_path)
-    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return None
-    rows = spark.read.option("basePath", archive_path).schema(
-        "symbol string, start_ms long, batch int").parquet(archive_path)
-    return rows.where(F.col("batch") < batch_id).groupBy("symbol").agg(
-        F.max("start_ms").alias("_mark"))
+def accounted(events: DataFrame, name: str = "events") -> DataFrame:
+    """Attach counters that each micro-batch reports with its progress."""
+    return events.observe(
+        name, F.count("*").alias("events"), F.count_if("is_final").alias("closed"),
+        F.count_if(F.col("bad_field").isNotNull()).alias("parse_errors"))
 
 
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:

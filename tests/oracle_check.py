@@ -34,9 +34,11 @@ def table_rows(columns, rows):
     return sorted(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
-def compare(spark, con, name, sf_dir, queries, oracles) -> str | None:
+def compare(spark, con, name, sf_dir, queries, oracles, check_plan=None) -> str | None:
     """None if equal, else what differs."""
     df = queries[name](spark, sf_dir)
+    if check_plan is not None:
+        check_plan(df)
     got = [tuple(r) for r in df.collect()]
     if name not in oracles:
         return None if got else "no rows"

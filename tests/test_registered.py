@@ -14,6 +14,17 @@ QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
 STREAMS = {n for n in QUERIES if n.endswith("_stream")} | {"fan_out", "stream_rollup"}
 
 
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def sound_plan(df) -> None:
+    """No nested-loop or Cartesian join, no Python in a batch plan."""
+    plan = plan_of(df)
+    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+        assert node not in plan
+
+
 @pytest.fixture(scope="module")
 def con():
     return oracle_check.connect(SF)
@@ -21,7 +32,7 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - STREAMS))
 def test_query_matches_sql(spark, con, name):
-    assert oracle_check.compare(spark, con, name, SF, QUERIES, ORACLES) is None
+    assert oracle_check.compare(spark, con, name, SF, QUERIES, ORACLES, sound_plan) is None
 
 
 @pytest.mark.parametrize("name", ["kline_1d", "ratio_1d", "kline_gaps", "archive_align", "with_month", "gap_file_rows"])
@@ -33,27 +44,25 @@ def test_contract():
     assert set(ORACLES) <= set(QUERIES) and len(QUERIES) >= 140
 
 
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def test_flagship_runs(spark):
     assert entry.entry(spark).count() > 0
 
 
-def test_dedup_limits_before_the_shuffle(spark):
-    from workload.base import bars_raw
+def raw_table(spark):
+    return spark.read.parquet(SF + "/events.parquet").selectExpr(
+        "event_type AS symbol", "event_id * 60000 AS start_ms", "event_id AS end_ms", "value AS open", "value AS high",
+        "value AS low", "value AS close", "value AS volume", "value AS quote_volume", "value AS taker_buy_volume",
+        "value AS taker_buy_quote_volume", "user_id AS trades_count", "event_id AS version", "event_id AS ingest_seq")
+
 
-    plan = plan_of(versions.latest_bars(bars_raw(spark, SF)))
-    before = plan.split("Exchange hashpartitioning(symbol")[1]
-    assert plan.count("WindowGroupLimit") == 2 and "Partial" in before
+def test_dedup_limits_before_the_shuffle(spark):
+    plan = plan_of(versions.latest_bars(raw_table(spark)))
+    below = plan.split("Exchange hashpartitioning(symbol")[1]
+    assert plan.count("WindowGroupLimit") == 2 and "Partial" in below
 
 
 def test_colocated_fold_uses_one_exchange(spark):
-    raw = spark.read.parquet(SF + "/events.parquet").selectExpr(
-        "event_type AS symbol", "event_id * 60000 AS start_ms", "event_id AS end_ms", "value AS open", "value AS high",
-        "value AS low", "value AS close", "value AS volume", "value AS quote_volume", "value AS taker_buy_volume",
-        "value AS taker_buy_quote_volume", "user_id AS trades_count", "event_id AS version", "event_id AS ingest_seq")
+    raw = raw_table(spark)
     one = plan_of(rollup.rollup_raw_klines(raw, "1h", bounded_copies=True))
     two = plan_of(rollup.rollup_raw_klines(raw, "1h"))
     assert one.count("Exchange hashpartitioning") == 1 and two.count("Exchange hashpartitioning") == 2
@@ -65,12 +74,3 @@ def test_gaps_scan_once_and_split_symbols(spark):
     plan = plan_of(gaps.find_gaps(rows, MIN))
     assert plan.count("FileScan") == 1 and "value" not in plan.split("ReadSchema")[1]
     assert "hashpartitioning(symbol" in plan and "_chunk" in plan
-
-
-def test_no_cross_joins_in_any_plan(spark):
-    for name in sorted(set(QUERIES) - STREAMS - {
-            "scan_bars", "fact_append", "rollup_upsert", "ready_log", "compacted", "deleted_where", "rebuilt_rollup", "refold",
-            "archive_shift_repair", "off_grid_repair", "sweep", "gap_file_rows", "refresh_stream"}):
-        plan = plan_of(QUERIES[name](spark, SF))
-        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
-        assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name

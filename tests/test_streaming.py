@@ -61,8 +61,8 @@ def test_sections(play, frame):
     abc = frame([(s,) for s in "ABC"], "symbol string")
     ab = frame([(s,) for s in "AB"], "symbol string")
     # the first section completes, the second one times out and swallows its straggler
-    both = section_rows(play, abc, closed(("A", 1000, 10), ("B", 1000, 20), ("A", 2000, 50)),
-                        closed(("C", 1000, 30), ("A", 1000, 40), ("B", 2000, 9_000)))
+    both = section_rows(play, abc, closed(("A", 1000, 10), ("B", 1000, 20)),
+                        closed(("C", 1000, 30), ("A", 1000, 40), ("A", 2000, 50), ("B", 2000, 9_000)))
     assert both == [(1000, 3, "complete", 30), (2000, 1, "timeout", 5_050)]
     unknown = section_rows(play, None, closed(("A", 1000, 10), ("B", 1000, 20)))
     assert unknown == [(1000, 2, "timeout", 5_010)]

@@ -175,9 +175,12 @@ def universe_diff(spark, sf):
     """Contracts seen in each half of the month, with one delisted and one listed."""
     contracts = ticks(spark, sf).select(
         F.concat_ws("_", "symbol", (F.col("uid") % 50).cast("string")).alias("symbol"), "t_ms")
-    extra = spark.range(1)
-    old = contracts.where(F.col("t_ms") < _HALF).select("symbol").union(extra.select(F.lit("delisted")))
-    new = contracts.where(F.col("t_ms") >= _HALF).select("symbol").union(extra.select(F.lit("listed")))
+
+    def with_one_more(rows, name):
+        return rows.select(F.explode(F.array("symbol", F.lit(name))).alias("symbol"))
+
+    old = with_one_more(contracts.where(F.col("t_ms") < _HALF), "delisted")
+    new = with_one_more(contracts.where(F.col("t_ms") >= _HALF), "listed")
     return panel.universe_diff(old, new)
 
 

@@ -218,5 +218,5 @@ def sweep(spark, sf):
     """One sweep over the last twelve days with room for every hole it finds."""
     none = spark.createDataFrame([], "symbol string, from_ms long, expires_ms long")
     _, outcome, _ = repair.sweep(_held(spark, sf), _offered(spark, sf), none, NOW,
-                                 window_ms=_SWEEP_DAYS * DAY, max_ranges=2_000_000_000)
+                                 window_ms=_SWEEP_DAYS * DAY, max_ranges=None)
     return outcome.select("symbol", "from_ms", "to_ms", "fetched", "outcome")

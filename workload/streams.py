@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from candlemill import schemas as S
-from candlemill.operators import filters, gaps, sections
+from candlemill.operators import filters, gaps, quality, sections
 from candlemill.operators.rollup import rollup_klines
 from candlemill.plans import refresh
 from candlemill.sources import facts, landing
@@ -79,6 +79,20 @@ def held_sections(spark, sf):
     return sections.derive_sections(kept, "1h", list(_DERIVED))
 
 
+@query("SELECT interval, reason, symbols_count, count(*) AS sections FROM derived GROUP BY 1, 2, 3")
+def section_counts(spark, sf):
+    return quality.section_counts(derived(spark, sf))
+
+
+@query("""SELECT interval, (SELECT count(*) FROM kline_events WHERE seq % 19 = 0) AS parse_errors,
+                 count(*) FILTER (WHERE NOT accepted) AS out_of_order FROM guarded GROUP BY interval""")
+def stream_losses(spark, sf):
+    damaged = kline_events(spark, sf).withColumn(
+        "high", F.when(F.col("seq") % 19 == 0, "broken").otherwise(F.col("high")))
+    guarded = sections.monotonic_guard(guard_events(spark, sf), ["symbol", "interval"], DAY)
+    return quality.stream_losses(filters.parse_quantities(damaged), guarded)
+
+
 _SILENT = 2 * HOUR
 
 
