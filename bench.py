@@ -23,7 +23,7 @@ from candlemill.session import build_session  # noqa: E402
 
 HEADLINE = [
     "final_dedup", "source_precedence", "kline_5m", "kline_1h", "kline_1d", "kline_all_levels", "oi_1h", "ratio_1h",
-    "rollup_refresh", "bar_quality", "oi_verdict", "coverage_bar", "conservation", "kline_gaps", "oi_gaps",
+    "rollup_refresh", "bar_quality", "oi_verdict", "coverage_bar", "conservation", "kline_gaps", "minute_gaps", "oi_gaps",
     "last_200", "oi_delta", "monotonic_guard", "snap_plan", "merge_ranges", "kline_with_oi", "market_panel",
     "rollup_mismatch", "reconcile_external", "merge_ratios", "clock_probe", "subtract_present", "wanted_bars",
     "repair_stats", "resume_plan", "sections", "held_sections", "silence_gaps", "archive_align", "stream_frames",
@@ -58,6 +58,7 @@ VOLUME = {
     "volume_dedup_rollup_colocated": lambda s, d: rollup.rollup_raw_klines(volume_bars(s, d), "1h", True),
     "volume_rollup_levels": lambda s, d: rollup.rollup_klines_many(volume_bars(s, d), ["5m", "15m", "1h", "4h", "1d"]),
     "volume_gaps": lambda s, d: gaps.find_gaps(volume_bars(s, d), 60_000),
+    "volume_gaps_on_grid": lambda s, d: gaps.find_gaps(volume_bars(s, d), 60_000, on_grid=True),
 }
 
 

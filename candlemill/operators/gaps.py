@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlemill import timegrid as tg
 from candlemill.operators import ordered
 from candlemill.operators.ranges import merge_ranges
 
+WORD = 60  # bars per presence word: an hour of minutes, and it fits a long
+
 
 def find_gaps(bars: DataFrame, step: int, from_ms: int | None = None,
-              to_ms: int | None = None) -> DataFrame:
+              to_ms: int | None = None, on_grid: bool = False) -> DataFrame:
     """Missing bars strictly between two bars of a symbol, as ``[from_ms, to_ms)``.
 
     Holes before a symbol's first bar or after its last one are not gaps, and
-    repeated bars change nothing, so raw rows may be passed without dedup.
+    repeated bars change nothing, so raw rows may be passed without dedup. With
+    ``on_grid`` only bars whose open is a multiple of ``step`` count, and 60 of
+    them travel through the shuffle as the bits of one number.
     """
     rows = bars
     if from_ms is not None:
@@ -24,7 +28,10 @@ def find_gaps(bars: DataFrame, step: int, from_ms: int | None = None,
         rows = rows.where(F.col("start_ms") < to_ms)
     # a chunk holds about a day of minutes, whatever the step
     chunk = max(tg.DAY_MS, step * 1_440)
-    steps = ordered.wide_steps(rows, ["symbol"], "start_ms", step, chunk)
+    if on_grid:
+        steps = _steps_between_runs(rows, step, chunk)
+    else:
+        steps = ordered.wide_steps(rows, ["symbol"], "start_ms", step, chunk)
     return steps.select(
         "symbol",
         (F.col("before") + step).alias("from_ms"),
@@ -33,6 +40,41 @@ def find_gaps(bars: DataFrame, step: int, from_ms: int | None = None,
     )
 
 
+def _steps_between_runs(rows: DataFrame, step: int, chunk_ms: int) -> DataFrame:
+    """Last bar of a run and first bar of the next one, for runs of unbroken bars."""
+    slot = tg.whole(F.col("start_ms"), step)
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(WORD)).cast("int"))
+    words = (
+        rows.where(F.pmod("start_ms", F.lit(step)) == 0)
+        .groupBy("symbol", tg.whole(slot, WORD).alias("word"))
+        .agg(F.bit_or(bit).alias("bits")))
+    bits = F.col("bits")
+    opening = bits.bitwiseAND(F.bitwise_not(F.shiftleft(bits, 1)))
+    closing = bits.bitwiseAND(F.bitwise_not(F.shiftright(bits, 1)))
+    places = F.sequence(F.lit(0), F.lit(WORD - 1))
+
+    def set_places(mask):
+        return F.filter(places, lambda i: F.getbit(mask, i) == 1)
+
+    # the n-th opening bit and the n-th closing bit bound the n-th run of a word
+    runs = F.explode(F.arrays_zip(set_places(opening).alias("a"), set_places(closing).alias("b")))
+    first = F.col("word") * WORD
+    runs = words.select("symbol", first.alias("first"), runs.alias("r")).select(
+        "symbol", ((F.col("first") + F.col("r.a")) * step).alias("head"),
+        ((F.col("first") + F.col("r.b")) * step).alias("tail"))
+    runs = runs.withColumn("_chunk", tg.whole(F.col("head"), chunk_ms))
+    inside = Window.partitionBy("symbol", "_chunk").orderBy("head")
+    apart = (
+        runs.withColumn("_prev", F.lag("tail").over(inside))
+        .withColumn("_last", F.lead("tail").over(inside).isNull())
+        .where(F.col("_prev").isNull() | F.col("_last") | (F.col("head") - F.col("_prev") > step)))
+    across = Window.partitionBy("symbol").orderBy("head")
+    return (
+        apart.withColumn("before", F.coalesce("_prev", F.lag("tail").over(across)))
+        .where(F.col("head") - F.col("before") > step)
+        .select("symbol", "before", F.col("head").alias("after")))
+
+
 def tail_gaps(bars: DataFrame, hi_ms: int, step: int) -> DataFrame:
     """One range per symbol that ends before the newest bar expected."""
     return (

@@ -36,8 +36,8 @@ def oi_report(oi: DataFrame, bars: DataFrame, now_ms: int, *, hours: float = 24.
         lo = start_ms
     inside = oi.where((F.col("start_ms") >= lo) & (F.col("start_ms") <= hi))
     kl = bars.where((F.col("start_ms") >= lo) & (F.col("start_ms") <= hi))
-    gridded = inside.where(F.pmod("start_ms", F.lit(tg.BAR_MS)) == 0)
-    holes = gaps.find_gaps(gridded, tg.BAR_MS)
+    # an off-grid row is no bar: the bar it stands for counts as missing
+    holes = gaps.find_gaps(inside, tg.BAR_MS, on_grid=True)
     if tail:
         holes = holes.unionByName(gaps.tail_gaps(inside, hi, tg.BAR_MS))
     report = {

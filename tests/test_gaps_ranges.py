@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from candlemill import timegrid as tg
@@ -16,19 +17,26 @@ def minutes(*pairs):
     return [("A", a * MIN, b * MIN) for a, b in pairs]
 
 
-def test_gap_detection(spark):
+@pytest.mark.parametrize("on_grid", [False, True])
+def test_gap_detection(spark, on_grid):
     base = ms("2026-09-07 10:00")
     seen = {"AAA": [0, 1, 2, 4, 4, 5, 8, 9], "BBB": range(5), "CCC": [5, 6, 7, 9]}
     made = bars(spark, [bar(s, base + m * MIN) for s, ms_ in seen.items() for m in ms_])
-    got = rows(gaps.find_gaps(made, MIN, base, base + 10 * MIN))
+    got = rows(gaps.find_gaps(made, MIN, base, base + 10 * MIN, on_grid))
     assert got == [("AAA", base + 3 * MIN, base + 4 * MIN, 1), ("AAA", base + 6 * MIN, base + 8 * MIN, 2),
                    ("CCC", base + 8 * MIN, base + 9 * MIN, 1)]
 
 
-def test_gaps_across_days_and_lone_bars(spark, frame):
+def test_off_grid_rows_are_no_bars(frame):
+    made = frame([("A", 0), ("A", BAR + 7), ("A", 2 * BAR)], "symbol string, start_ms long")
+    assert rows(gaps.find_gaps(made, BAR, on_grid=True)) == [("A", BAR, 2 * BAR, 1)]
+
+
+@pytest.mark.parametrize("on_grid", [False, True])
+def test_gaps_across_days_and_lone_bars(spark, frame, on_grid):
     rng = random.Random(7)
     made = sorted({rng.randrange(0, 9 * 1440) for _ in range(900)} | {0})
-    got = rows(gaps.find_gaps(frame([("A", m * MIN) for m in made], "symbol string, start_ms long"), MIN))
+    got = rows(gaps.find_gaps(frame([("A", m * MIN) for m in made], "symbol string, start_ms long"), MIN, on_grid=on_grid))
     want = [("A", (a + 1) * MIN, b * MIN, b - a - 1) for a, b in zip(made, made[1:]) if b - a > 1]
     assert got == sorted(want, key=repr)
     # gaps and present bars tile the span

@@ -129,7 +129,7 @@ SELECT symbol, prev + 300000 AS from_ms, start_ms AS to_ms FROM (
           GROUP BY p.symbol, label_ms""")
 def repair_gap_oi(spark, sf):
     thin = oi_raw(spark, sf).where("ingest_seq % 2 = 0")
-    holes = gaps.find_gaps(thin, BAR)
+    holes = gaps.find_gaps(thin, BAR, on_grid=True)
     return repair.repair_gap_oi(holes, thin, hist_points(spark, sf), NOW, 20 * DAY)
 
 

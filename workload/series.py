@@ -8,7 +8,7 @@ from candlemill import schemas as S
 from candlemill import timegrid as tg
 from candlemill.operators import gaps, ordered, panel, ranges, rollup, sections, windows
 from workload.base import (
-    BAR, CTES, DAY, HOUR, MINUTE, NOW, bars, bars_at, gaps_5m, gaps_sql, guard_events, oi, oi_raw, query,
+    BAR, CTES, DAY, HOUR, MINUTE, NOW, bars, bars_at, bars_raw, gaps_5m, gaps_sql, guard_events, oi, oi_raw, query,
     round_sql, rounded, ticks,
 )
 from workload.quality import HI, snap_plan_of
@@ -21,7 +21,13 @@ def kline_gaps(spark, sf):
 
 @query(gaps_sql("oi", BAR))
 def oi_gaps(spark, sf):
-    return gaps.find_gaps(oi_raw(spark, sf), BAR)
+    return gaps.find_gaps(oi_raw(spark, sf), BAR, on_grid=True)
+
+
+@query(gaps_sql("bars", MINUTE))
+def minute_gaps(spark, sf):
+    """Holes of the 1m table, straight from its raw rows."""
+    return gaps.find_gaps(bars_raw(spark, sf), MINUTE, on_grid=True)
 
 
 @query(f"""SELECT symbol, max(start_ms) + 300000 AS from_ms, CAST({HI + BAR} AS BIGINT) AS to_ms,
