@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,7 +34,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder in the shared space the cluster names for checkpoints."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        # one machine shares its own folder; on a cluster it would be lost with a node
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+        base = tempfile.gettempdir()
     return f"{base.rstrip('/')}/candlemill/{label}-{uuid.uuid4().hex}"
 
 
