@@ -7,11 +7,16 @@ an open section.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
+from pyspark import cloudpickle
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
 
+# executors get these classes with the query, so they need no copy of the package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _STATE_BAR = "t long, o double, h double, l double, c double, v double, qv double, " \
              "tbv double, tbqv double, n long"
 _BAR_NAMES = ("t", "o", "h", "l", "c", "v", "qv", "tbv", "tbqv", "n")

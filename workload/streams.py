@@ -126,13 +126,19 @@ def section_gaps(spark, sf):
 def _replayed(spark, rows, label, run) -> None:
     """Land the first half of the month, run the stream, land the rest, run it again.
 
-    The second run resumes from the first one's checkpoint.
+    The second run resumes from the first one's checkpoint. State is spread over
+    as many partitions as the session has cores.
     """
     path, checkpoint = fresh(spark, f"{label}-in"), fresh(spark, f"{label}-checkpoint")
     middle = F.col("arrival_ms") < SPAN_FROM + 15 * DAY
-    for half in (middle, ~middle):
-        rows.where(half).write.mode("append").parquet(path)
-        run(landing.event_stream(spark, path, rows.schema), checkpoint)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+        for half in (middle, ~middle):
+            rows.where(half).write.mode("append").parquet(path)
+            run(landing.event_stream(spark, path, rows.schema), checkpoint)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 @query(f"""SELECT symbol, interval, open_ms, price AS close, trade_count, is_final, arrival_ms, seq FROM kline_events
