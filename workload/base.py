@@ -135,7 +135,7 @@ def bars_raw(spark: SparkSession, sf: str) -> DataFrame:
 
 _RESEND = """
 SELECT symbol, start_ms, end_ms, open, high, low, close, volume * {factor} AS volume, quote_volume,
-       taker_buy_volume, taker_buy_quote_volume, trades_count, {version} AS version,
+       taker_buy_volume, taker_buy_quote_volume, trades_count, CAST({version} AS BIGINT) AS version,
        ingest_seq + {later} AS ingest_seq FROM bars_base {where}"""
 CTES["bars_raw"] = " UNION ALL ".join([
     _RESEND.format(factor="1.0", version=1, later=0, where=""),
