@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import tempfile
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import simhash
+from candlemill.llm import bytebpe, packing, simhash
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -35,3 +36,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query
 def op2_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id", "kept")
+
+
+def ranks() -> tuple[str, str]:
+    """The rank file and the pre-token pattern of the byte-level BPE."""
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@query
+def op6_byte_bpe(spark, sf_dir):
+    return bytebpe.digests(table(spark, sf_dir, "documents"), *ranks())
+
+
+@query
+def op7_packing(spark, sf_dir):
+    return packing.best_fit(table(spark, sf_dir, "documents"), *ranks(), size=2048, end_id=0)
