@@ -7,7 +7,7 @@ import tempfile
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import bytebpe, packing, simhash
+from candlemill.llm import bytebpe, packing, simhash, urlfilter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +51,35 @@ def op6_byte_bpe(spark, sf_dir):
 @query
 def op7_packing(spark, sf_dir):
     return packing.best_fit(table(spark, sf_dir, "documents"), *ranks(), size=2048, end_id=0)
+
+
+RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
+BLOCKED = [f"{name}.example.{top}" for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+           for top in ("com", "net", "org")]
+
+
+@query
+def op8_url_filter(spark, sf_dir):
+    return urlfilter.judged(table(spark, sf_dir, "pages"), RULES, BLOCKED)
+
+
+ORACLES["op8_url_filter"] = f"""
+WITH rest AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS r FROM pages),
+parts AS (
+    SELECT page_id,
+           coalesce(translate(regexp_extract(r, '(?s)^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                              'abcdefghijklmnopqrstuvwxyz'), '') AS host,
+           coalesce(regexp_extract(r, '(?s)^[^/?#]*([^?#]*)', 1), '') AS path
+    FROM rest),
+ruled AS (
+    SELECT *, CASE WHEN ('.' || host) LIKE '%.example.com' AND path LIKE '/de/%' THEN 'example.com/de/'
+                   WHEN ('.' || host) LIKE '%.example.net' AND path LIKE '/en/%' THEN 'example.net/en/'
+                   WHEN ('.' || host) LIKE '%.org' AND path LIKE '/fr/%' THEN 'org/fr/'
+                   WHEN ('.' || host) LIKE '%.net' AND path LIKE '/%' THEN 'net/' END AS rule
+    FROM parts)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.com/de/', 'net/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+            WHEN {" OR ".join(f"('.' || host) LIKE '%.{b}'" for b in BLOCKED)} THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
+"""
