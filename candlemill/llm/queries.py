@@ -7,7 +7,7 @@ import tempfile
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import bytebpe, packing, simhash, urlfilter
+from candlemill.llm import bytebpe, packing, quality, simhash, urlfilter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +38,11 @@ def op2_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id", "kept")
 
 
+@query
+def op5_quality(spark, sf_dir):
+    return quality.judged(table(spark, sf_dir, "documents"))
+
+
 def ranks() -> tuple[str, str]:
     """The rank file and the pre-token pattern of the byte-level BPE."""
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
