@@ -7,7 +7,7 @@ import tempfile
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import bytebpe, packing, quality, simhash, urlfilter
+from candlemill.llm import bytebpe, langid, packing, quality, simhash, toxicity, urlfilter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -58,6 +58,16 @@ def op7_packing(spark, sf_dir):
     return packing.best_fit(table(spark, sf_dir, "documents"), *ranks(), size=2048, end_id=0)
 
 
+@query
+def op9_language(spark, sf_dir):
+    return langid.predicted(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_toxicity(spark, sf_dir):
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 BLOCKED = [f"{name}.example.{top}" for name in ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
            for top in ("com", "net", "org")]
