@@ -7,7 +7,7 @@ import tempfile
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import bytebpe, langid, packing, quality, simhash, toxicity, urlfilter
+from candlemill.llm import bytebpe, htmltext, langid, packing, quality, simhash, toxicity, urlfilter
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -38,6 +38,11 @@ def op2_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id", "kept")
 
 
+@query
+def op3_main_text(spark, sf_dir):
+    return htmltext.main_texts(table(spark, sf_dir, "pages"))
+
+
 @query
 def op5_quality(spark, sf_dir):
     return quality.judged(table(spark, sf_dir, "documents"))
