@@ -7,7 +7,7 @@ import tempfile
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import bytebpe, htmltext, langid, packing, quality, simhash, toxicity, urlfilter
+from candlemill.llm import bytebpe, htmltext, langid, packing, quality, simhash, toxicity, urlfilter, vectors
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -43,6 +43,28 @@ def op3_main_text(spark, sf_dir):
     return htmltext.main_texts(table(spark, sf_dir, "pages"))
 
 
+@query
+def op4_vectors(spark, sf_dir):
+    return vectors.near_duplicates(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+ORACLES["op4_vectors"] = """
+WITH RECURSIVE sound AS (
+    SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+reach AS (
+    SELECT vec_id AS a, vec_id AS b FROM embeddings
+    UNION
+    SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a),
+least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = vec_id
+"""
+
+
 @query
 def op5_quality(spark, sf_dir):
     return quality.judged(table(spark, sf_dir, "documents"))
