@@ -51,6 +51,18 @@ def by_batch(df: DataFrame, make: Callable[[], Callable], schema: str, *columns:
     return taken.mapInArrow(run, schema)
 
 
+def versioned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Adds doc_id as a long and ``version``, a hash of the text; together they name a document even if an id repeats."""
+    return docs.withColumns({"doc_id": F.col(f"`{id_col}`").cast("long"), "version": F.xxhash64(F.col(f"`{text_col}`"))})
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The documents that ``gone`` (doc_id, version) doesn't name; all rows of an id and text share their fate."""
+    named = gone.select(F.col("doc_id").alias("__doc"), F.col("version").alias("__version")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__version"))
+    return docs.join(named, same, "left_anti")
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """(node, component) of every node of the undirected ``edges`` (a, b, both long); the component is its least node.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
-from candlemill.llm.common import by_batch, shipped, stored
+from candlemill.llm.common import by_batch, shipped, stored, versioned, without
 
 shipped(__name__)
 
@@ -79,15 +79,16 @@ def measured(data: bytes | None) -> tuple[list[int], list[int], list[int]]:
 
 
 def measures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """(doc_id, lang, counts, letters, common) of every whole text; null counts as empty."""
+    """(doc_id, version, lang, counts, letters, common) of every whole text; null counts as empty."""
 
-    def step(ids, langs, texts):
+    def step(ids, versions, langs, texts):
         made = [measured(t) for t in texts]
         counts = list(zip(*(m[0] for m in made))) or [[]] * 5
-        return [ids, [x and x.decode() for x in langs], *counts, [m[1] for m in made], [m[2] for m in made]]
+        return [ids, versions, [x and x.decode() for x in langs], *counts, [m[1] for m in made], [m[2] for m in made]]
 
-    taken = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
-    return by_batch(taken, lambda: step, f"doc_id long, lang string, {COUNTS}, letters array<long>, common array<long>", "doc_id", "lang", "text")
+    taken = versioned(docs, id_col, text_col).select("doc_id", "version", F.col(f"`{lang_col}`").alias("lang"), F.col(f"`{text_col}`").alias("text"))
+    return by_batch(taken, lambda: step, f"doc_id long, version long, lang string, {COUNTS}, letters array<long>, common array<long>",
+                    "doc_id", "version", "lang", "text")
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -136,7 +137,7 @@ def references(measured_docs: DataFrame, min_words: int) -> dict[str, tuple[np.n
 def judged(docs: DataFrame, min_words: int = 50, letters_limit: tuple[float, float] = (0.2, 0.7),
            words_limit: tuple[float, float] = (0.2, 1.1), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
-    and with it letters_distance, words_distance and nearest (the language they refer to).
+    and with it letters_distance, words_distance and nearest (the language they refer to); version is a hash of the text.
 
     ``base_failed``: fewer than 20 words, or more than 30 % of them in repeated 8-word windows. A document with
     ``min_words`` words that passes is held against the language whose references are nearest, and rejected if the
@@ -154,7 +155,7 @@ def judged(docs: DataFrame, min_words: int = 50, letters_limit: tuple[float, flo
 
     def verdicts(frames):
         for pdf in frames:
-            out = pdf[["doc_id", *fields]].copy()
+            out = pdf[["doc_id", "version", *fields]].copy()
             n = pdf["n_words"].to_numpy(float)
             out["base_failed"] = (n < 20) | (100 * pdf["n_repeat_words"] > 30 * n)
             a = b = np.full(len(pdf), np.nan)
@@ -174,5 +175,10 @@ def judged(docs: DataFrame, min_words: int = 50, letters_limit: tuple[float, flo
             out["letters_distance"], out["words_distance"], out["nearest"] = a, b, nearest
             yield out
 
-    return rows.mapInPandas(verdicts, f"doc_id long, {COUNTS}, base_failed boolean, kept boolean, "
+    return rows.mapInPandas(verdicts, f"doc_id long, version long, {COUNTS}, base_failed boolean, kept boolean, "
                                       "letters_distance double, words_distance double, nearest string")
+
+
+def accepted(docs: DataFrame, **limits) -> DataFrame:
+    """The documents (doc_id, text, lang and any other columns) that ``judged`` keeps."""
+    return without(docs, judged(docs, **limits).where("NOT kept"))

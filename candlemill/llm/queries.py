@@ -7,7 +7,7 @@ import tempfile
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import bytebpe, htmltext, langid, packing, quality, simhash, toxicity, urlfilter, vectors
+from candlemill.llm import bytebpe, htmltext, langid, linededup, packing, quality, simhash, toxicity, urlfilter, vectors
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -33,6 +33,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_line_dedup(spark, sf_dir):
+    done = linededup.deduped(table(spark, sf_dir, "documents"), least=5)
+    return done.select("doc_id", "n_lines", "n_copies", "n_near", "text")
+
+
+ORACLES["op1_line_dedup"] = r"""
+WITH split AS (SELECT doc_id, text, string_split(text, chr(10)) AS parts FROM documents),
+lines AS (
+    SELECT doc_id, CAST(k AS INTEGER) AS line, parts[k] AS raw,
+           list_filter(regexp_split_to_array(parts[k], '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+    FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS k FROM split)),
+long AS (SELECT doc_id, line, len(words) AS n, words, md5(array_to_string(words, ' ')) AS h FROM lines WHERE len(words) >= 5),
+firsts AS (SELECT h, min({'d': doc_id, 'l': line}) AS place, arg_min(words, doc_id) AS words, any_value(n) AS n FROM long GROUP BY h),
+cuts AS (
+    SELECT h, place, i, md5(array_to_string(words[:i - 1] || words[i + 1:], ' ')) AS v
+    FROM (SELECT h, place, words, unnest(range(1, n + 1)) AS i FROM firsts)),
+same AS (SELECT v, i, min(place) AS least FROM cuts GROUP BY v, i HAVING count(*) > 1),
+pairs AS (
+    SELECT c.h, c.place, s.least FROM cuts c JOIN same s ON c.v = s.v AND c.i = s.i
+    UNION ALL SELECT c.h, c.place, f.place FROM cuts c JOIN firsts f ON c.v = f.h
+    UNION ALL SELECT f.h, f.place, c.place FROM cuts c JOIN firsts f ON c.v = f.h),
+near AS (SELECT DISTINCT h FROM pairs WHERE least < place),
+told AS (
+    SELECT l.doc_id, l.line, n.h IS NOT NULL AS near, f.place < {'d': l.doc_id, 'l': l.line} AS copy
+    FROM long l JOIN firsts f ON l.h = f.h LEFT JOIN near n ON n.h = l.h),
+gone AS (
+    SELECT doc_id, list(line) AS drops, count(*) FILTER (WHERE NOT near) AS n_copies, count(*) FILTER (WHERE near) AS n_near
+    FROM told WHERE near OR copy GROUP BY doc_id)
+SELECT s.doc_id, len(parts) AS n_lines, coalesce(n_copies, 0) AS n_copies, coalesce(n_near, 0) AS n_near,
+       CASE WHEN drops IS NULL THEN text ELSE array_to_string(list_filter(parts, lambda x, k: NOT list_contains(drops, k)), chr(10)) END AS text
+FROM split s LEFT JOIN gone g ON g.doc_id = s.doc_id
+"""
+
+
 @query
 def op2_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id", "kept")
@@ -67,7 +102,7 @@ FROM embeddings JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = ve
 
 @query
 def op5_quality(spark, sf_dir):
-    return quality.judged(table(spark, sf_dir, "documents"))
+    return quality.judged(table(spark, sf_dir, "documents")).drop("version")
 
 
 def ranks() -> tuple[str, str]:
@@ -92,7 +127,7 @@ def op9_language(spark, sf_dir):
 
 @query
 def op10_toxicity(spark, sf_dir):
-    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("version")
 
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]

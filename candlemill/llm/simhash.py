@@ -229,6 +229,9 @@ def near_duplicates(docs: DataFrame, width: int = 3, budget: int = 2, id_col: st
 
 
 def keep_one(docs: DataFrame, width: int = 3, budget: int = 2) -> DataFrame:
-    """The documents without those that a document with a smaller id represents; repeated rows and null ids stay."""
-    gone = near_duplicates(docs, width, budget).where("NOT kept AND doc_id IS NOT NULL AND component_id IS NOT NULL")
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti")
+    """The documents (doc_id, text and any other columns) without those that one with a smaller id represents.
+
+    Null ids and rows that repeat a kept one stay.
+    """
+    found = near_duplicates(docs, width, budget).where("NOT kept AND doc_id IS NOT NULL AND component_id IS NOT NULL")
+    return docs.join(found.select(F.col("doc_id").alias("__doc")).distinct(), F.col("doc_id").cast("long") == F.col("__doc"), "left_anti")

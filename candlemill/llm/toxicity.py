@@ -10,7 +10,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from candlemill.llm.common import by_batch, shipped, stored
+from candlemill.llm.common import by_batch, shipped, stored, versioned, without
 from candlemill.llm.tokens import lookup
 
 shipped(__name__)
@@ -81,14 +81,14 @@ def vocabulary(docs: DataFrame, sample: list[tuple[int, int]], size: int, least:
 
 
 def vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
-    """(doc_id, terms, counts) of every whole text: which terms of the vocabulary it has, and how often."""
+    """(doc_id, version, terms, counts) of every whole text: which terms of the vocabulary it has, and how often."""
 
     def make():
         at = {t: k for k, t in enumerate(terms)}
         cache: dict = {}
         find = lambda words: [[at[t] for t in terms_of(w) if t in at] for w in words]
 
-        def step(ids, texts):
+        def step(ids, versions, texts):
             out = []
             for data in texts:
                 words = Counter(text_of(data).split())
@@ -97,11 +97,11 @@ def vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
                     for k in found:
                         count[k] += n
                 out.append(sorted(count.items()))
-            return [ids, [[k for k, _ in x] for x in out], [[n for _, n in x] for x in out]]
+            return [ids, versions, [[k for k, _ in x] for x in out], [[n for _, n in x] for x in out]]
 
         return step
 
-    return by_batch(docs, make, "doc_id long, terms array<int>, counts array<int>", "doc_id", "text")
+    return by_batch(docs, make, "doc_id long, version long, terms array<int>, counts array<int>", "doc_id", "version", "text")
 
 
 def weighed(terms: list[int], counts: list[int], idf: np.ndarray) -> np.ndarray:
@@ -174,7 +174,7 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]
 
 
 def scored(docs: DataFrame, labels: DataFrame, per_label: int = 1500, size: int = 4096, least: float = 15.0, k: int = 15) -> DataFrame:
-    """One row per document: doc_id, held_out, score, predicted, nearest, similarity.
+    """One row per document: doc_id, held_out, score, predicted, nearest, similarity, version (a hash of the text).
 
     Examples: at most ``per_label`` documents of each label of ``labels`` (doc_id, toxic), none with
     crc32(doc_id) mod 5 = 0, near copies taken once. Terms: words and word beginnings that tell the examples' labels
@@ -187,7 +187,7 @@ def scored(docs: DataFrame, labels: DataFrame, per_label: int = 1500, size: int
     examples of both labels the score is 1 or 0 by the only label there is, or 0. Null ids are scored and never
     examples; repeated rows stay; of two labels of one id toxic counts; other columns are ignored.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = versioned(docs).select("doc_id", "version", "text")
     labels = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
     bucket = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
     held_out = F.coalesce(bucket == 0, F.lit(False)).alias("held_out")
@@ -195,7 +195,7 @@ def scored(docs: DataFrame, labels: DataFrame, per_label: int = 1500, size: int
     if len({label for _, label in sample}) < 2:
         only = float(sample[0][1]) if sample else 0.0
         return docs.select("doc_id", held_out, F.lit(only).alias("score"), F.lit(int(only >= 0.5)).alias("predicted"),
-                           F.lit(None).cast("array<bigint>").alias("nearest"), F.lit(None).cast("array<double>").alias("similarity"))
+                           F.lit(None).cast("array<bigint>").alias("nearest"), F.lit(None).cast("array<double>").alias("similarity"), "version")
     terms = vocabulary(docs, sample, size, least)
     rows = stored(vectors(docs, terms), "toxicity-vectors")
     seen = {r["term"]: r["n"] for r in rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}
@@ -224,8 +224,13 @@ def scored(docs: DataFrame, labels: DataFrame, per_label: int = 1500, size: int
                 score[at] = 1 / (1 + math.exp(-min(30.0, max(-30.0, slope * vote(cosine, truth[near]) + base))))
                 nearest.append(ids[near])
                 similarity.append(cosine)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": score, "predicted": (score >= 0.5).astype(np.int32),
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "version": pdf["version"], "score": score, "predicted": (score >= 0.5).astype(np.int32),
                                 "nearest": pd.Series(nearest, dtype=object), "similarity": pd.Series(similarity, dtype=object)})
 
-    made = rows.mapInPandas(judge, "doc_id long, score double, predicted int, nearest array<long>, similarity array<double>")
-    return made.select("doc_id", held_out, "score", "predicted", "nearest", "similarity")
+    made = rows.mapInPandas(judge, "doc_id long, version long, score double, predicted int, nearest array<long>, similarity array<double>")
+    return made.select("doc_id", held_out, "score", "predicted", "nearest", "similarity", "version")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, **sizes) -> DataFrame:
+    """The documents (doc_id, text and any other columns) that ``scored`` does not call toxic."""
+    return without(docs, scored(docs, labels, **sizes).where("predicted = 1"))

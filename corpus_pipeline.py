@@ -1,15 +1,48 @@
-"""The corpus pipeline (stages are added as their operators are)."""
+"""The corpus pipeline: reject poor and toxic documents, drop repeated lines and near-duplicates, pack the rest."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from candlemill.llm import linededup, packing, quality, simhash, toxicity
 from candlemill.llm.common import stored
+from candlemill.llm.queries import ranks, shared_folder
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules."""
+    return quality.accepted(docs)
+
+
+def toxic_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted to be toxic; the examples are those of ``labels`` that are still there."""
+    return toxicity.accepted(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The same documents, without lines that repeat an earlier one; n_chars follows the text."""
+    return linededup.deduped(docs).withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group that fingerprints link."""
+    return simhash.keep_one(docs)
+
+
+def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents in sequences of 2048 tokens; one row per piece."""
+    return packing.best_fit(docs, *ranks())
+
+
+STAGES = [("quality", quality_rules), ("toxicity", toxic_documents), ("line_dedup", line_dedup), ("simhash", near_duplicates), ("packing", best_fit)]
 
-STAGES: list = []
+# fingerprints, nearest examples and tokens are beyond SQL; tests hold the result against a brute-force version
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages on ``documents``; each one's result is a written table that the next one reads."""
+    shared_folder(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
