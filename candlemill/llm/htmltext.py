@@ -25,7 +25,7 @@ BOILERPLATE = set("""ad ads advert adverts advertisement advertising sponsor spo
 navigation menu menubar breadcrumb breadcrumbs footer masthead cookie cookies consent gdpr notice notices alert popup modal overlay share
 sharing social related recommended recommendations comment comments commentlist disqus reply replies respond newsletter subscribe subscription
 login signin signup register search searchbox pagination pager toolbar skip complementary contentinfo dialog form tags byline""".split())
-WEIGHT = {"article": 3, "main": 2, "html": 0.5, "body": 0.7}
+WEIGHT = {"article": 3, "main": 2, "body": 0.7, "html": 0.5, "": 0.4}
 
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -122,18 +122,23 @@ class Page:
         out: dict[str, float] = {}
         for box, n in own.items():
             share = 1.0
-            while box > 0 and share > 0.2:
+            while share > 0.2:
                 path = self.paths[box]
                 out[path] = out.get(path, 0) + n * share * WEIGHT.get(self.tags[box], 1)
+                if not box:
+                    break
                 share /= 2
                 box = self.container(self.parents[box])
         return out
 
     def extract(self, path: str | None) -> str | None:
-        """The text inside the elements of that path, white space put together; None if there is no such element."""
-        if path not in self.paths[1:]:
+        """The text inside the elements of that path, white space put together; None if there is no such element.
+
+        The empty path is the whole page.
+        """
+        if path not in self.paths:
             return None
-        inside = [False] * len(self.tags)
+        inside = [not path] * len(self.tags)
         for k in range(1, len(self.tags)):
             inside[k] = self.paths[k] == path or inside[self.parents[k]]
         return " ".join("".join(t for element, t, _ in self.text if inside[element]).split())
@@ -176,7 +181,7 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         used, out = [], []
         for path, data in zip(paths, texts):
             page = Page((data or b"").decode("utf-8", "replace"))
-            path = path.decode() if path else None
+            path = None if path is None else path.decode()
             text = page.extract(path)
             if text is None:
                 path = next((p for p, _ in best(page.scores(), 1)), None)
