@@ -6,14 +6,20 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_NUMBER = r"(?i)\A(?:[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:e[+-]?\d+)?|inf|infinity)|nan)\z"
+
+
 def finite(value: Column) -> Column:
     """True for a value that is neither NULL, NaN nor infinite."""
     return F.coalesce(~F.isnan(value) & (F.abs(value) < F.lit(float("inf"))), F.lit(False))
 
 
 def number(text: Column) -> Column:
-    """Strict decimal text to double, NULL when it does not parse."""
-    return text.try_cast("double")
+    """Strict decimal text to double, NULL when it does not parse.
+
+    A cast alone also takes padding and the suffixes of Java's number literals.
+    """
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def rel_close(a: Column, b: Column, tol: float) -> Column:

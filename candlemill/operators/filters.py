@@ -12,7 +12,18 @@ from candlemill.functions import columns as fx
 
 def in_range(df: DataFrame, from_ms: int, to_ms: int) -> DataFrame:
     """Bars whose open lies in ``[from, to)``."""
-    return df.where((F.col("start_ms") >= from_ms) & (F.col("start_ms") < to_ms))
+    return within(df, from_ms, to_ms)
+
+
+def within(df: DataFrame, from_ms: int | None = None, to_ms: int | None = None) -> DataFrame:
+    """Rows of ``[from, to)``; where the table's month is at hand it is bound too, so that months are pruned."""
+    start, month = F.col("start_ms"), F.col("month")
+    dated = "month" in df.columns
+    if from_ms is not None:
+        df = df.where((start >= from_ms) & (month >= tg.months_between(from_ms, from_ms + 1)[0]) if dated else start >= from_ms)
+    if to_ms is not None:
+        df = df.where((start < to_ms) & (month <= tg.months_between(to_ms - 1, to_ms)[0]) if dated else start < to_ms)
+    return df
 
 
 def closed_only(df: DataFrame, now_ms: int, settle_ms: int = 1_000) -> DataFrame:

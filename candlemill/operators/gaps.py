@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from candlemill import timegrid as tg
 from candlemill.operators import ordered
+from candlemill.operators.filters import within
 from candlemill.operators.ranges import merge_ranges
 
 WORD = 60  # bars per presence word: an hour of minutes, and it fits a long
@@ -21,11 +22,7 @@ def find_gaps(bars: DataFrame, step: int, from_ms: int | None = None,
     ``on_grid`` only bars whose open is a multiple of ``step`` count, and 60 of
     them travel through the shuffle as the bits of one number.
     """
-    rows = bars
-    if from_ms is not None:
-        rows = rows.where(F.col("start_ms") >= from_ms)
-    if to_ms is not None:
-        rows = rows.where(F.col("start_ms") < to_ms)
+    rows = within(bars, from_ms, to_ms)
     # a chunk holds about a day of minutes, whatever the step
     chunk = max(tg.DAY_MS, step * 1_440)
     if on_grid:

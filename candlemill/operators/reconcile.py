@@ -18,12 +18,11 @@ def rollup_mismatch(bars: DataFrame, rollup: DataFrame, interval: str) -> DataFr
                            F.col("high").alias("r_high"), F.col("low").alias("r_low"),
                            F.col("trades_count").alias("r_trades"), F.lit(True).alias("_stored"))
     volume = F.col("volume")
-    differs = (
-        F.col("_stored").isNull()
-        | (F.abs(F.col("r_volume") - volume) > F.greatest(F.lit(1.0), volume) * 1e-6)
-        | (F.col("r_trades") != F.col("trades_count"))
-        | (F.col("r_high") != F.col("high")) | (F.col("r_low") != F.col("low"))
-    )
+    far = F.abs(F.col("r_volume") - volume) > F.greatest(F.lit(1.0), volume) * 1e-6
+    differs = F.col("_stored").isNull() | fx.any_of([
+        # a stored NULL never equals a value; it differs from all but NULL
+        F.when(F.col("r_volume").isNull() | volume.isNull(), ~F.col("r_volume").eqNullSafe(volume)).otherwise(far),
+        *[~F.col(a).eqNullSafe(F.col(b)) for a, b in (("r_trades", "trades_count"), ("r_high", "high"), ("r_low", "low"))]])
     return (fresh.join(stored, S.BAR_KEYS, "left").where(differs)
             .select(*S.BAR_KEYS, F.col("_stored").isNull().alias("missing"),
                     "volume", "r_volume", "trades_count", "r_trades"))

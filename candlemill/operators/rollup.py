@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from candlemill import schemas as S
 from candlemill import timegrid as tg
 from candlemill.operators import versions
+from candlemill.operators.filters import within
 
 
 def _bar_folds() -> list[Column]:
@@ -114,7 +115,7 @@ def refresh_bound(now_ms: int, interval: str, lookback_days: int) -> int:
 
 def refresh_rows(base: DataFrame, now_ms: int, interval: str, lookback_days: int) -> DataFrame:
     """Base rows an incremental refresh has to read."""
-    return base.where(F.col("start_ms") >= refresh_bound(now_ms, interval, lookback_days))
+    return within(base, refresh_bound(now_ms, interval, lookback_days))
 
 
 def complete_only(rollup: DataFrame, interval: str) -> DataFrame:

@@ -14,6 +14,8 @@ def latest_by_version(df: DataFrame, keys: list[str], order: list[str]) -> DataF
     Spark turns the filter into a group limit that runs before the shuffle, so
     many copies of one key collapse on the map side.
     """
+    # the month follows from the open time; as a key it lets a month predicate pass below the window
+    keys = [*keys, "month"] if "month" in df.columns and "start_ms" in keys else keys
     newest = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
     return (df.withColumn("_rn", F.row_number().over(newest))
             .where(F.col("_rn") == 1).drop("_rn"))

@@ -68,7 +68,7 @@ def validate_compact(windows: DataFrame) -> DataFrame:
     rows = windows.withColumn("_p", parts)
     cell = {name: F.get(F.col("_p"), F.lit(i)) for i, name in enumerate(BAR_FIELDS)}
     rows = rows.withColumns({
-        **{f"_{n}": cell[n].try_cast("double") for n in BAR_FIELDS[1:9]},
+        **{f"_{n}": fx.number(F.trim(cell[n])) for n in BAR_FIELDS[1:9]},
         "_t": cell["t"].try_cast("long"), "_n": cell["n"].try_cast("long")})
     v = {name: F.col(f"_{name}") for name in BAR_FIELDS}
     fault = fx.first_reason(
@@ -127,7 +127,7 @@ def validate_live(records: DataFrame, universe: DataFrame, interval_ms: int,
     rows = universe.select("symbol").distinct().join(
         records.withColumn("_present", F.lit(True)), "symbol", "left")
     text = {n: F.col(n) for n in LIVE_FIELDS}
-    num = {n: F.trim(text[n]).try_cast("double") for n in BAR_FIELDS[1:9]}
+    num = {n: fx.number(F.trim(text[n])) for n in BAR_FIELDS[1:9]}
     t, n = F.trim(text["t"]).try_cast("long"), F.trim(text["n"]).try_cast("long")
     faults = fx.findings(
         *[(cond, F.lit(name)) for cond, name in (

@@ -11,6 +11,7 @@ from candlemill import schemas as S
 from candlemill import timegrid as tg
 from candlemill.operators import rollup as R
 from candlemill.operators import versions
+from candlemill.operators.filters import within
 from candlemill.sources import facts
 
 Fold = Callable[[DataFrame, str], DataFrame]
@@ -34,8 +35,7 @@ def refold(base: DataFrame, fold: Fold, interval: str, from_ms: int, to_ms: int)
     """Recompute whole months of a rollup; both bounds must be month starts."""
     tg.require_month_start(from_ms)
     tg.require_month_start(to_ms)
-    inside = (F.col("start_ms") >= from_ms) & (F.col("start_ms") < to_ms)
-    return fold(base.where(inside), interval)
+    return fold(within(base, from_ms, to_ms), interval)
 
 
 def apply_refold(base: DataFrame, fold: Fold, path: str, interval: str, from_ms: int, to_ms: int,

@@ -19,6 +19,13 @@ from candlemill.session import materialize
 from candlemill.sources import facts
 
 
+def _one_each(candidates: DataFrame) -> DataFrame:
+    """The candidate that landed last per bar; without a landing order the greatest in all columns."""
+    landed = [c for c in ("version", "ingest_seq") if c in candidates.columns]
+    rest = sorted(set(candidates.columns) - {*S.BAR_KEYS, *landed})
+    return versions.latest_by_version(candidates, S.BAR_KEYS, [*landed, *rest])
+
+
 def repair_bars(gap_ranges: DataFrame, bars: DataFrame, candidates: DataFrame, now_ms: int,
                 step: int = tg.MINUTE_MS) -> DataFrame:
     """Closed candidate bars that fill a hole; not yet written anywhere."""
@@ -28,7 +35,7 @@ def repair_bars(gap_ranges: DataFrame, bars: DataFrame, candidates: DataFrame, n
     closed = candidates.where(F.col("end_ms") < now_ms)
     fitting = ranges.wanted_bars(closed, ranges.merge_ranges(due))
     absent = fitting.join(bars.select(*S.BAR_KEYS), S.BAR_KEYS, "left_anti")
-    return absent.dropDuplicates(S.BAR_KEYS)
+    return _one_each(absent)
 
 
 def repair_stats(gap_ranges: DataFrame, bars: DataFrame, candidates: DataFrame, now_ms: int,
@@ -51,45 +58,87 @@ def repair_stats(gap_ranges: DataFrame, bars: DataFrame, candidates: DataFrame,
         F.count_if(F.col("_have").isNull() & F.col("_offered").isNull()).alias("empty"))
 
 
+def oldest_offered(now_ms: int, retention_ms: int | None) -> int | None:
+    """First bar that a source of limited memory still has; a landed table has no such limit."""
+    return None if retention_ms is None else tg.floor_to(now_ms - retention_ms, tg.BAR_MS) + tg.BAR_MS
+
+
+def _offered_oi(candidates: DataFrame, now_ms: int) -> DataFrame:
+    """Usable history points by bar, the one that landed last."""
+    value = F.col("value")
+    points = filters.label_to_bar(candidates, now_ms).where(fx.finite(value) & (value >= 0))
+    return _one_each(points).withColumnRenamed("value", "sum_open_interest")
+
+
 def replace_live(raw_oi: DataFrame, candidates: DataFrame, now_ms: int,
-                 retention_ms: int = 30 * tg.DAY_MS) -> DataFrame:
+                 retention_ms: int | None = None) -> DataFrame:
     """History rows for on-grid bars whose best row is still a live one.
 
     ``candidates`` holds ``symbol, label_ms, value``. Rows of rank 2 or 3 are
-    never touched.
+    never touched. ``retention_ms`` is for a source that forgets.
     """
-    last_start = tg.floor_to(now_ms, tg.BAR_MS) - tg.BAR_MS
-    oldest = tg.floor_to(now_ms - retention_ms, tg.BAR_MS) + tg.BAR_MS
-    best = versions.latest_snapshots(filters.on_grid(raw_oi, tg.BAR_MS))
-    live = best.where((F.col("src_rank") == S.RANK_LIVE) & (F.col("start_ms") >= oldest)
-                      & (F.col("start_ms") <= last_start)).select(*S.BAR_KEYS)
-    value = F.col("value")
-    offered = (
-        filters.label_to_bar(candidates, now_ms).where(fx.finite(value) & (value >= 0))
-        .groupBy(*S.BAR_KEYS).agg(F.max("value").alias("sum_open_interest")))
-    return live.join(offered, S.BAR_KEYS, "inner").select(
+    end = tg.floor_to(now_ms, tg.BAR_MS)
+    reachable = filters.within(filters.on_grid(raw_oi, tg.BAR_MS), oldest_offered(now_ms, retention_ms), end)
+    best = versions.latest_snapshots(reachable)
+    live = best.where(F.col("src_rank") == S.RANK_LIVE).select(*S.BAR_KEYS)
+    return live.join(_offered_oi(candidates, now_ms), S.BAR_KEYS, "inner").select(
         *S.BAR_KEYS, "sum_open_interest", (F.col("start_ms") + tg.BAR_MS).alias("snap_ms"),
         F.lit(S.RANK_HIST).alias("src_rank"))
 
 
+def _due_oi(gap_ranges: DataFrame, now_ms: int) -> DataFrame:
+    """The part of the ranges that has closed."""
+    end = tg.floor_to(now_ms, tg.BAR_MS)
+    return gap_ranges.where(F.col("from_ms") < end).select(
+        "symbol", "from_ms", F.least("to_ms", F.lit(end)).alias("to_ms"))
+
+
 def repair_gap_oi(gap_ranges: DataFrame, raw_oi: DataFrame, candidates: DataFrame, now_ms: int,
-                  retention_ms: int = 30 * tg.DAY_MS) -> DataFrame:
-    """History rows that fill missing open-interest bars still inside the retention."""
-    last_start = tg.floor_to(now_ms, tg.BAR_MS) - tg.BAR_MS
-    oldest = tg.floor_to(now_ms - retention_ms, tg.BAR_MS) + tg.BAR_MS
-    due = gap_ranges.where((F.col("from_ms") <= last_start) & (F.col("to_ms") > oldest)).select(
-        "symbol", F.greatest("from_ms", F.lit(oldest)).alias("from_ms"),
-        F.least("to_ms", F.lit(last_start + tg.BAR_MS)).alias("to_ms"))
-    value = F.col("value")
-    offered = filters.label_to_bar(candidates, now_ms).where(fx.finite(value) & (value >= 0))
-    fitting = ranges.wanted_bars(offered, due)
+                  retention_ms: int | None = None) -> DataFrame:
+    """History rows that fill missing open-interest bars.
+
+    ``retention_ms`` is for a source that forgets; what it cuts off is counted by
+    :func:`oi_repair_stats`.
+    """
+    due = _due_oi(gap_ranges, now_ms)
+    oldest = oldest_offered(now_ms, retention_ms)
+    if oldest is not None:
+        due = ranges.clip_ranges(due, oldest, tg.BAR_MS).where(F.col("kept_from_ms").isNotNull()).select(
+            "symbol", F.col("kept_from_ms").alias("from_ms"), F.col("kept_to_ms").alias("to_ms"))
+    fitting = ranges.wanted_bars(_offered_oi(candidates, now_ms), due)
     absent = fitting.join(filters.on_grid(raw_oi, tg.BAR_MS).select(*S.BAR_KEYS), S.BAR_KEYS,
                           "left_anti")
-    return absent.groupBy(*S.BAR_KEYS).agg(F.max("value").alias("sum_open_interest")).select(
+    return absent.select(
         *S.BAR_KEYS, "sum_open_interest", (F.col("start_ms") + tg.BAR_MS).alias("snap_ms"),
         F.lit(S.RANK_HIST).alias("src_rank"))
 
 
+def oi_repair_stats(gap_ranges: DataFrame, raw_oi: DataFrame, candidates: DataFrame, now_ms: int,
+                    retention_ms: int | None = None) -> DataFrame:
+    """Per symbol what became of the missing bars and of the live rows.
+
+    Bars of the ranges: ``requested``, of them ``beyond_retention``, else
+    ``present`` already, ``fetched`` or ``not_at_source``. On-grid bars whose best
+    row is live: ``live_rows``, of them ``live_replaced``.
+    """
+    oldest = oldest_offered(now_ms, retention_ms)
+    wanted = ranges.range_bars(ranges.merge_ranges(_due_oi(gap_ranges, now_ms)), tg.BAR_MS)
+    have = filters.on_grid(raw_oi, tg.BAR_MS).select(*S.BAR_KEYS).distinct().withColumn("_have", F.lit(True))
+    offered = _offered_oi(candidates, now_ms).select(*S.BAR_KEYS).withColumn("_offered", F.lit(True))
+    gone = F.lit(False) if oldest is None else F.col("start_ms") < oldest
+    present, found = F.col("_have").isNotNull(), F.col("_offered").isNotNull()
+    holes = wanted.join(have, S.BAR_KEYS, "left").join(offered, S.BAR_KEYS, "left").select(
+        "symbol", F.lit(True).alias("requested"), gone.alias("beyond_retention"), (~gone & present).alias("present"),
+        (~gone & ~present & found).alias("fetched"), (~gone & ~present & ~found).alias("not_at_source"),
+        F.lit(False).alias("live_rows"), F.lit(False).alias("live_replaced"))
+    no = [F.lit(False).alias(c) for c in holes.columns[1:6]]
+    best = versions.latest_snapshots(filters.on_grid(raw_oi, tg.BAR_MS)).where(F.col("src_rank") == S.RANK_LIVE)
+    replaced = replace_live(raw_oi, candidates, now_ms, retention_ms).select(*S.BAR_KEYS, F.lit(True).alias("_new"))
+    live = best.select(*S.BAR_KEYS).join(replaced, S.BAR_KEYS, "left").select(
+        "symbol", *no, F.lit(True).alias("live_rows"), F.col("_new").isNotNull().alias("live_replaced"))
+    return holes.unionByName(live).groupBy("symbol").agg(*[F.count_if(c).alias(c) for c in holes.columns[1:]])
+
+
 # --- repairs that rewrite a table --------------------------------------------
 
 class RepairLog:
@@ -191,7 +240,7 @@ def repair_off_grid(spark: SparkSession, path: str, log_folder: str, now_ms: int
 def refold_touched(spark: SparkSession, path: str, rollup_paths: dict[str, str],
                    months: list[int], version: int) -> None:
     """Re-fold the open-interest rollups of some months. Writes tables."""
-    base = versions.latest_snapshots(facts.read_facts(spark, path, S.OI_5M).drop("month"))
+    base = versions.latest_snapshots(facts.read_facts(spark, path, S.OI_5M))
     for month in months:
         lo, hi = tg.month_bounds(f"{month // 100:04d}-{month % 100:02d}")
         for interval, target in rollup_paths.items():
@@ -202,18 +251,17 @@ def refold_touched(spark: SparkSession, path: str, rollup_paths: dict[str, str],
 
 def sweep(bars: DataFrame, candidates: DataFrame, known_empty: DataFrame, now_ms: int, *,
           step: int = tg.MINUTE_MS, settle_ms: int = 3 * tg.MINUTE_MS,
-          window_ms: int = tg.DAY_MS, max_ranges: int | None = 200,
-          empty_ttl_ms: int = 12 * tg.HOUR_MS,
+          window_ms: int = tg.DAY_MS, empty_ttl_ms: int = 12 * tg.HOUR_MS,
           failed: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Find holes in the recent window and repair them from the candidates.
 
-    Returns the rows to append, the outcome of every range (``repaired``,
+    All ranges that are due are taken at once. Returns the rows to append, the outcome of every range (``repaired``,
     ``empty`` or ``failed``) and the updated memory of empty ranges. ``failed``
     lists ranges whose fetch broke; they are neither filled nor remembered.
     """
     from_ms, to_ms = tg.sweep_window(now_ms, settle_ms, window_ms, step)
     holes = gaps.find_gaps(bars, step, from_ms, to_ms)
-    plan = materialize(ranges.sweep_plan(holes, known_empty, now_ms, max_ranges), "sweep")
+    plan = materialize(ranges.sweep_plan(holes, known_empty, now_ms), "sweep")
     usable = plan
     if failed is not None:
         usable = plan.join(failed.select("symbol", "from_ms"), ["symbol", "from_ms"], "left_anti")
@@ -241,3 +289,14 @@ def sweep(bars: DataFrame, candidates: DataFrame, known_empty: DataFrame, now_ms
     fresh = outcome.where(F.col("outcome") == "empty").select(
         "symbol", "from_ms", F.lit(now_ms + empty_ttl_ms).cast("long").alias("expires_ms"))
     return found, outcome, remembered.unionByName(fresh)
+
+
+def sweep_stats(bars: DataFrame, known_empty: DataFrame, outcome: DataFrame, now_ms: int, *, step: int = tg.MINUTE_MS,
+                settle_ms: int = 3 * tg.MINUTE_MS, window_ms: int = tg.DAY_MS) -> DataFrame:
+    """Per symbol: holes found, skipped since they were found empty before, submitted, and what became of these."""
+    from_ms, to_ms = tg.sweep_window(now_ms, settle_ms, window_ms, step)
+    found = gaps.find_gaps(bars, step, from_ms, to_ms).groupBy("symbol").agg(F.count("*").alias("found"))
+    told = outcome.groupBy("symbol").agg(F.count("*").alias("submitted"), *[
+        F.count_if(F.col("outcome") == kind).alias(kind) for kind in ("repaired", "empty", "failed")])
+    rows = found.join(told, "symbol", "left").fillna(0)
+    return rows.withColumn("skipped", F.col("found") - F.col("submitted"))

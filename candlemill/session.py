@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -34,13 +35,33 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh folder in the shared space the cluster names for checkpoints."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        # one machine shares its own folder; on a cluster it would be lost with a node
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        base = tempfile.gettempdir()
+        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
     return f"{base.rstrip('/')}/candlemill/{label}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever it is; one that isn't there is fine."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+@contextmanager
+def staged(df, label: str) -> Iterator:
+    """The frame as a written table for the time of a rewrite; removed once that is through.
+
+    If the rewrite fails the copy stays, since it may be the only one.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    yield df.sparkSession.read.schema(df.schema).parquet(path)
+    remove(df.sparkSession, path)
+
+
 def materialize(df, label: str):
     """Cut lineage through a written table; survives the loss of any executor."""
     path = scratch_path(df.sparkSession, label)

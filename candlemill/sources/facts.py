@@ -17,7 +17,8 @@ from pyspark.sql.types import IntegerType, StructField, StructType
 from candlemill import schemas as S
 from candlemill import timegrid as tg
 from candlemill.operators import versions
-from candlemill.session import materialize
+from candlemill.operators.filters import within
+from candlemill.session import exists, remove, staged
 
 
 class LayoutError(ValueError):
@@ -33,13 +34,18 @@ def require_layout(df: DataFrame, schema: StructType) -> DataFrame:
     return df
 
 
-def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name)
-
-
 def read_facts(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """All rows of a fact table with their month; folders below the months (stream batches) are not told apart."""
     full = StructType([*schema.fields, StructField("month", IntegerType(), True)])
-    return spark.read.schema(full).parquet(path)
+    return spark.read.schema(full).parquet(path).select(*full.names)
+
+
+def months_in(spark: SparkSession, path: str) -> list[int]:
+    """Months that have a partition, from the folder's listing."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in system.listStatus(target)] if system.exists(target) else []
+    return sorted(int(n[6:]) for n in names if n.startswith("month=") and n[6:].isdigit())
 
 
 def scan_bars(spark: SparkSession, path: str, schema: StructType = S.BARS_1M,
@@ -49,13 +55,7 @@ def scan_bars(spark: SparkSession, path: str, schema: StructType = S.BARS_1M,
     df = read_facts(spark, path, schema)
     if symbols:
         df = df.where(F.col("symbol").isin(symbols))
-    if from_ms is not None:
-        df = df.where((F.col("start_ms") >= from_ms)
-                      & (F.col("month") >= tg.months_between(from_ms, from_ms + 1)[0]))
-    if to_ms is not None:
-        df = df.where((F.col("start_ms") < to_ms)
-                      & (F.col("month") <= tg.months_between(to_ms - 1, to_ms)[0]))
-    return df
+    return within(df, from_ms, to_ms)
 
 
 def _laid_out(df: DataFrame) -> DataFrame:
@@ -74,19 +74,19 @@ def append_facts(df: DataFrame, path: str, version: int | None = None) -> None:
 
 def overwrite_all(df: DataFrame, path: str) -> None:
     """Replace a whole table."""
-    staged = materialize(df, "overwrite")
-    _laid_out(staged).write.mode("overwrite").option(
-        "partitionOverwriteMode", "static").partitionBy("month").parquet(path)
+    with staged(df, "overwrite") as copy:
+        _laid_out(copy).write.mode("overwrite").option(
+            "partitionOverwriteMode", "static").partitionBy("month").parquet(path)
 
 
 def overwrite_months(df: DataFrame, path: str, touched: list[int] | None = None) -> None:
     """Replace the months present in ``df``, and empty the ``touched`` ones it lacks."""
-    staged = materialize(df, "months")
-    _laid_out(staged).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
-    if touched:
-        left = set(months_of(staged))
-        drop_months(df.sparkSession, path, [m for m in touched if m not in left])
+    with staged(df, "months") as copy:
+        _laid_out(copy).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path)
+        if touched:
+            left = set(months_of(copy))
+            drop_months(df.sparkSession, path, [m for m in touched if m not in left])
 
 
 def months_of(df: DataFrame) -> list[int]:
@@ -96,29 +96,29 @@ def months_of(df: DataFrame) -> list[int]:
 
 def drop_months(spark: SparkSession, path: str, months: list[int]) -> None:
     """Delete month partitions that a rewrite left without any row."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     for month in months:
-        target = jvm.org.apache.hadoop.fs.Path(f"{path}/month={month}")
-        target.getFileSystem(conf).delete(target, True)
+        remove(spark, f"{path}/month={month}")
 
 
 def upsert_partitions(new: DataFrame, path: str, schema: StructType, keys: list[str],
                       order: list[str]) -> None:
     """Merge rows into the months they touch, the greatest ``order`` wins per key."""
     spark = new.sparkSession
-    new = materialize(new, "upsert")
-    touched = months_of(new)
-    if not touched:
-        return
     names = [f.name for f in schema.fields]
-    old = read_facts(spark, path, schema).where(F.col("month").isin(touched)).select(*names)
-    merged = versions.latest_by_version(old.unionByName(new.select(*names)), keys, order)
-    overwrite_months(merged, path)
+    with staged(new, "upsert") as rows:
+        touched = months_of(rows)
+        if not touched:
+            return
+        merged = rows.select(*names)
+        if exists(spark, path):  # the first run makes the table
+            merged = read_facts(spark, path, schema).where(F.col("month").isin(touched)).select(*names).unionByName(merged)
+        overwrite_months(versions.latest_by_version(merged, keys, order), path)
 
 
 def compact(spark: SparkSession, path: str, schema: StructType, keys: list[str],
-            order: list[str], months: list[int]) -> None:
-    """Drop superseded row versions of some months for good."""
+            order: list[str], months: list[int] | None = None) -> None:
+    """Drop superseded row versions of some months, or of all that the table has, for good."""
+    months = months_in(spark, path) if months is None else months
     rows = read_facts(spark, path, schema).where(F.col("month").isin(months))
     overwrite_months(versions.latest_by_version(rows.drop("month"), keys, order), path)
 
@@ -138,9 +138,10 @@ def append_ready_events(events: DataFrame, path: str) -> None:
     events.select(*[f.name for f in S.READY_EVENT.fields]).write.mode("append").parquet(path)
 
 
-def trim_ready_events(spark: SparkSession, path: str, keep: int = 10_000) -> None:
-    """Rewrite the event log with about the newest ``keep`` events."""
+def trim_ready_events(spark: SparkSession, path: str, keep: int) -> None:
+    """Rewrite the event log with the newest ``keep`` events; they are written elsewhere before the log goes."""
     events = spark.read.schema(S.READY_EVENT).parquet(path)
     newest = events.orderBy(F.col("published_ms").desc(), F.col("interval").desc(),
                             F.col("timestamp").desc()).limit(keep)
-    materialize(newest, "events").write.mode("overwrite").parquet(path)
+    with staged(newest, "events") as kept:
+        kept.write.mode("overwrite").parquet(path)

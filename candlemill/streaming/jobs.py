@@ -11,7 +11,7 @@ from candlemill import schemas as S
 from candlemill import timegrid as tg
 from candlemill.operators import filters, windows
 from candlemill.operators.sections import monotonic_guard
-from candlemill.session import use_rocksdb_state
+from candlemill.session import exists, remove, use_rocksdb_state
 from candlemill.sources import facts
 from candlemill.streaming import processors as P
 
@@ -58,7 +58,7 @@ def section_stream(closed: DataFrame, universe: DataFrame | None, timeout_ms: in
     if universe is not None:
         members = universe.select("symbol").distinct()
         size = members.agg(F.count("*").alias("universe_size"))
-        # the size travels with every member row, so a changed universe counts at once
+        # the size travels with every member row; a Parquet universe lists its files when the query is built
         sized = members.withColumn("universe_size", size.scalar())
         rows = rows.join(sized, "symbol", "inner")
     else:
@@ -95,6 +95,11 @@ def silence_monitor(events: DataFrame, stale: str = "60 seconds", late: str = "0
         F.count("*").alias("events")).drop("session_window")
 
 
+def query_folder(spark) -> str:
+    """Folder of the running stream: its id stays with the checkpoint, so another checkpoint overwrites nothing."""
+    return f"query={spark.sparkContext.getLocalProperty('sql.streaming.queryId')}"
+
+
 def fan_out(live_path: str, archive_path: str, reject_path: str,
             after: Callable[[DataFrame, int], None] | None = None):
     """A ``foreachBatch`` body that feeds every sink from one micro-batch.
@@ -104,19 +109,26 @@ def fan_out(live_path: str, archive_path: str, reject_path: str,
     already hold their bars). Rows that fail to
     parse go to the rejects. The newest archived bar of every symbol is carried
     from batch to batch in a table of one row per symbol.
+
+    The archive is a fact table by month. A bar's version is its arrival, so a
+    re-send wins whichever stream brings it. A batch that was archived leaves a
+    mark and isn't archived again; if it is lost between the two, the copies have
+    equal versions and sequence numbers and the dedup of readers drops them.
     """
-    marks_path = f"{archive_path.rstrip('/')}_marks"
+    marks_root = f"{archive_path.rstrip('/')}_marks"
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        own = query_folder(spark)
+        marks_path = f"{marks_root}/{own}"
         parsed = filters.parse_quantities(batch).persist()
         try:
             good, bad = filters.split_faults(parsed, "bad_field")
             stamp = F.lit(batch_id).cast("long")
             # overwriting the batch's own folder makes a retried batch harmless
-            bad.write.mode("overwrite").parquet(f"{reject_path}/batch={batch_id}")
+            bad.write.mode("overwrite").parquet(f"{reject_path}/{own}/batch={batch_id}")
             windows.live_bar_record(good).withColumn("batch_id", stamp).write.mode(
-                "overwrite").parquet(f"{live_path}/batch={batch_id}")
+                "overwrite").parquet(f"{live_path}/{own}/batch={batch_id}")
             guarded = monotonic_guard(good.where("is_final"), list(KEYS)).where("accepted")
             if batch_id > 0:
                 marks = spark.read.schema(_MARKS).parquet(f"{marks_path}/batch={batch_id - 1}")
@@ -125,12 +137,14 @@ def fan_out(live_path: str, archive_path: str, reject_path: str,
             rows = guarded.select(
                 "symbol", F.col("open_ms").alias("start_ms"), F.col("close_ms").alias("end_ms"),
                 *S.PRICES, *S.VOLUMES, F.col("trade_count").alias("trades_count"),
-                stamp.alias("version"), F.col("seq").alias("ingest_seq"))
-            rows.write.mode("overwrite").parquet(f"{archive_path}/batch={batch_id}")
+                F.col("arrival_ms").alias("version"), F.col("seq").alias("ingest_seq"))
+            if not exists(spark, f"{marks_path}/batch={batch_id}/_SUCCESS"):
+                facts.append_facts(rows, archive_path)
             seen = guarded.groupBy(*KEYS).agg(F.max("open_ms").alias("mark_ms"))
             if batch_id > 0:
                 seen = seen.unionByName(marks).groupBy(*KEYS).agg(F.max("mark_ms").alias("mark_ms"))
             seen.write.mode("overwrite").parquet(f"{marks_path}/batch={batch_id}")
+            remove(spark, f"{marks_path}/batch={batch_id - 2}")  # a retry needs the one before at most
             if after is not None:
                 after(guarded, batch_id)
         finally:
@@ -154,7 +168,7 @@ def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "app
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/{query_folder(batch.sparkSession)}/batch={batch_id}")
 
     query = (stream.writeStream.outputMode(mode).foreachBatch(write)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -166,12 +180,3 @@ def refresh_job(events: DataFrame, body, checkpoint: str, every: str | None = No
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return (events.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
             .trigger(**trigger).start())
-
-
-def archive_writer(path: str):
-    """A ``foreachBatch`` body appending typed facts to a month-partitioned table."""
-
-    def run(batch: DataFrame, batch_id: int) -> None:
-        facts.append_facts(batch, path, version=batch_id)
-
-    return run

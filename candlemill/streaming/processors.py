@@ -132,12 +132,15 @@ class SectionReady(StatefulProcessor):
     def init(self, handle) -> None:
         self.handle = handle
         self.seen = handle.getMapState("seen", "symbol string", "arrival_ms long")
-        self.section = handle.getValueState("section", "deadline_ms long, published boolean")
+        # forget_ms is 0 until the section is published
+        self.section = handle.getValueState("section", "deadline_ms long, forget_ms long")
 
     def _publish(self, key, count: int, reason: str, at_ms: int, deadline_ms: int) -> Row:
-        self.section.update((deadline_ms, True))
+        forget = at_ms + self.retention_ms
+        self.section.update((deadline_ms, forget))
         self.seen.clear()
-        self.handle.registerTimer(at_ms + self.retention_ms)
+        self.handle.deleteTimer(deadline_ms)
+        self.handle.registerTimer(forget)
         return Row(interval=key[0], timestamp=key[1], symbols_count=count, reason=reason,
                    published_ms=at_ms)
 
@@ -150,12 +153,12 @@ class SectionReady(StatefulProcessor):
             if row.symbol not in first or row.arrival_ms < first[row.symbol]:
                 first[row.symbol] = row.arrival_ms
         if self.section.exists():
-            deadline, published = self.section.get()
-            if published:
+            deadline, forget = self.section.get()
+            if forget:
                 return
         else:
             deadline = min(first.values()) + self.timeout_ms
-            self.section.update((deadline, False))
+            self.section.update((deadline, 0))
             self.handle.registerTimer(deadline)
         known = {entry[0] for entry in self.seen.keys()} if self.seen.exists() else set()
         for symbol, arrival in sorted(first.items(), key=lambda item: (item[1], item[0])):
@@ -166,19 +169,21 @@ class SectionReady(StatefulProcessor):
                 known.add(symbol)
                 self.seen.updateValue((symbol,), (arrival,))
             if 0 < size <= len(known):
-                self.handle.deleteTimer(deadline)
                 yield self._publish(key, len(known), "complete", arrival, deadline)
                 return
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
         if not self.section.exists():
             return
-        deadline, published = self.section.get()
-        if published:
-            # only the retention timer of this section ends it
-            if expiredTimerInfo.getExpiryTimeInMs() >= deadline:
+        deadline, forget = self.section.get()
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        if forget:
+            # a timer of another time is a leftover and ends nothing
+            if fired == forget:
                 self.section.clear()
             return
+        if fired != deadline:
+            return
         count = sum(1 for _ in self.seen.keys()) if self.seen.exists() else 0
         yield self._publish(key, count, "timeout", deadline, deadline)
 

@@ -39,7 +39,19 @@ def test_gap_oi_repair_respects_retention(frame):
     holes = frame([("A", 0, 3 * BAR), ("A", 39 * DAY, 39 * DAY + 3 * BAR)], RANGE)
     raw = frame([("A", 39 * DAY + BAR, 1.0, 0, 2, 1)], OI)
     points = frame([("A", t + BAR, 4.0) for t in (0, 39 * DAY, 39 * DAY + BAR, 39 * DAY + 9 * BAR)], POINTS)
-    assert rows(repair.repair_gap_oi(holes, raw, points, now), "start_ms") == [(39 * DAY,)]
+    assert rows(repair.repair_gap_oi(holes, raw, points, now, 30 * DAY), "start_ms") == [(39 * DAY,)]
+    assert rows(repair.repair_gap_oi(holes, raw, points, now), "start_ms") == [(0,), (39 * DAY,)]
+    told = repair.oi_repair_stats(holes, raw, points, now, 30 * DAY).first()
+    assert told[1:] == (6, 3, 1, 1, 1, 0, 0)
+
+
+def test_sweep_reaches_the_last_symbol(spark, frame):
+    now, base = ms("2026-09-21 12:00:30"), ms("2026-09-21 10:00")
+    held = bars(spark, [bar(f"S{k:04d}", base + i * MIN) for k in range(1_001) for i in (0, 2)])
+    failed = frame([(f"S{k:04d}", base + MIN) for k in range(1_000)], "symbol string, from_ms long")
+    empty = frame([], "symbol string, from_ms long, expires_ms long")
+    found, outcome, _ = repair.sweep(held, bars(spark, [bar("S1000", base + MIN)]), empty, now, failed=failed)
+    assert rows(found, "symbol") == [("S1000",)] and outcome.count() == 1_001
 
 
 def archive_table(frame, folder, cutoff):

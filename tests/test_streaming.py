@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlemill import schemas as S
-from candlemill.operators import sections, windows
+from candlemill.operators import sections, versions, windows
 from candlemill.session import scratch_path
 from candlemill.sources import facts, landing
 from candlemill.streaming import jobs
@@ -70,6 +70,18 @@ def test_sections(play, frame):
     assert outsider == [(1000, 2, "complete", 20)]
 
 
+@pytest.mark.parametrize("retention", [HOUR, 1_000])
+def test_stragglers_in_later_batches_publish_once(play, frame, retention):
+    four = frame([(s,) for s in "ABCD"], "symbol string")
+    batches = [closed(("A", 2000, 50)), closed(("B", 2000, 9_000)), closed(("C", 2000, 9_200)), closed(("A", 999 * HOUR, 9_900)),
+               closed(("A", 999 * HOUR, 999 * HOUR))]
+    got = play(batches, CLOSED, lambda s: jobs.section_stream(s, four, 5_000, retention))
+    found = rows(got.where("timestamp = 2000"), "symbols_count", "reason", "published_ms")
+    # a retention that is over before the last straggler comes has forgotten the section
+    again = [] if retention == HOUR else [(1, "timeout", 14_200)]
+    assert sorted(found, key=lambda r: r[2]) == [(1, "timeout", 5_050), *again]
+
+
 def test_section_twin_agrees(frame):
     rows_ = frame(closed(("A", 1000, 10), ("B", 1000, 20), ("C", 1000, 30), ("A", 2000, 10), ("B", 2000, 9_000)), CLOSED)
     abc = frame([(s,) for s in "ABC"], "symbol string")
@@ -135,7 +147,7 @@ def test_live_bars_see_every_event(play):
     assert twin.count() == 0 and sections.live_bars(got, 100, MIN).count() == 1
 
 
-def test_fan_out_feeds_every_sink(spark, frame):
+def test_fan_out_feeds_every_sink(spark, frame, folder):
     def event(seq, t, final, high="2"):
         return ("A", "1m", t, t + 59_999, "1", high, "1", "1", "1", "1", "1", "1", 1, final, seq, seq)
 
@@ -152,6 +164,14 @@ def test_fan_out_feeds_every_sink(spark, frame):
     assert rows(spark.read.parquet(archive), "start_ms") == [(1000,), (2000,)]
     assert spark.read.parquet(live).count() == 5 and rows(spark.read.parquet(reject), "bad_field") == [("high",)]
     assert seen == [1, 1]
+    # a stream with a checkpoint of its own adds to the archive and replaces nothing
+    stream = landing.event_stream(spark, source, schema)
+    stream.writeStream.foreachBatch(jobs.fan_out(live, archive, reject)).option("checkpointLocation", folder("other")).trigger(
+        availableNow=True).start().awaitTermination()
+    stored = facts.scan_bars(spark, archive)
+    assert stored.count() == 4 and rows(versions.latest_bars(stored), "start_ms", "version") == [(1000, 1), (2000, 6)]
+    assert stored.where("month = 197001").count() == 4
+    assert spark.read.parquet(live).select("query").where("query <> 'None'").distinct().count() == 2
 
 
 def test_silence_monitor(play):

@@ -8,7 +8,9 @@ holes; every row of ``events`` takes part.
 
 from __future__ import annotations
 
+import functools
 import re
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +38,13 @@ def query(sql: str | None = None, name: str | None = None):
 
     def add(fn):
         key = name or fn.__name__
-        QUERIES[key] = fn
+
+        @functools.wraps(fn)
+        def run(spark, sf):
+            shared_folder(spark)
+            return fn(spark, sf)
+
+        QUERIES[key] = run
         if sql is not None:
             ORACLES[key] = with_ctes(sql)
         return fn
@@ -44,6 +52,12 @@ def query(sql: str | None = None, name: str | None = None):
     return add
 
 
+def shared_folder(spark: SparkSession) -> None:
+    """Name a folder for written tables where the session has none; only a session on one machine may go without."""
+    if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
+        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp"))
+
+
 def with_ctes(body: str) -> str:
     """Prefix the CTEs a statement mentions, in dependency order."""
     order: list[str] = []

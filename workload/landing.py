@@ -267,10 +267,13 @@ def exchange_universe(spark, sf):
 
 @query("""SELECT seq, CASE WHEN seq % 19 = 0 THEN NULL ELSE price END AS high,
                  CASE WHEN seq % 23 = 0 THEN 0 ELSE trade_count END AS trade_count,
-                 CASE WHEN seq % 19 = 0 THEN 'high' ELSE 'none' END AS bad_field FROM kline_events""")
+                 CASE WHEN seq % 19 = 0 THEN 'high' WHEN seq % 29 < 4 THEN 'low' ELSE 'none' END AS bad_field FROM kline_events""")
 def quantities(spark, sf):
+    # text that is a number to a cast, but not to a strict parser
+    almost = F.element_at(F.array(*map(F.lit, ("1.5d", "2f", " 1.5 ", "0x1"))), (F.col("seq") % 29 + 1).cast("int"))
     damaged = kline_events(spark, sf).withColumns({
         "high": F.when(F.col("seq") % 19 == 0, F.concat(F.lit("x"), "high")).otherwise(F.col("high")),
+        "low": F.when(F.col("seq") % 29 < 4, almost).otherwise(F.col("low")),
         "trade_count": F.when(F.col("seq") % 23 == 0, F.lit(-4)).otherwise(F.col("trade_count"))})
     return filters.parse_quantities(damaged).select(
         "seq", "high", "trade_count", F.coalesce("bad_field", F.lit("none")).alias("bad_field"))

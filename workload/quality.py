@@ -32,13 +32,22 @@ SELECT symbol, start_ms, CASE WHEN start_ms // 60000 % 107 = 0 THEN start_ms ELS
        CASE WHEN start_ms // 60000 % 97 = 0 THEN high + 1 ELSE low END AS low, close,
        CASE WHEN start_ms // 60000 % 101 = 0 THEN -1.0 ELSE volume END AS volume, quote_volume,
        CASE WHEN start_ms // 60000 % 103 = 0 THEN 0 ELSE trades_count END AS trades_count FROM bars"""
-CTES["bar_counts"] = """
-SELECT symbol, count(*) AS total_bars, min(start_ms) AS min_ms, max(start_ms) AS max_ms,
-       count(*) FILTER (WHERE open <= 0 OR high <= 0 OR low <= 0 OR close <= 0) AS invalid_ohlc,
-       count(*) FILTER (WHERE high < low OR high < open OR high < close OR low > open OR low > close) AS invalid_hl_bounds,
-       count(*) FILTER (WHERE volume < 0 OR quote_volume < 0) AS invalid_volume,
-       count(*) FILTER (WHERE trades_count = 0) AS zero_trades,
-       count(*) FILTER (WHERE end_ms <= start_ms) AS invalid_timestamps,
+# what a bar breaks, from the rules' text
+_BAR_BREACHES = {
+    "invalid_timestamps": "NOT end_ms > start_ms",
+    "zero_trades": "trades_count = 0",
+    "invalid_volume": "least(volume, quote_volume) < 0",
+    "invalid_hl_bounds": "high < greatest(low, open, close) OR low > least(open, close)",
+    "invalid_ohlc": "least(open, high, low, close) <= 0",
+}
+
+
+def _filtered(rules: dict[str, str]) -> str:
+    return ", ".join(f"count(*) FILTER (WHERE {rule}) AS {name}" for name, rule in rules.items())
+
+
+CTES["bar_counts"] = f"""
+SELECT symbol, count(*) AS total_bars, min(start_ms) AS min_ms, max(start_ms) AS max_ms, {_filtered(_BAR_BREACHES)},
        (max(start_ms) - min(start_ms)) // 60000 + 1 AS expected_bars,
        round(count(*) / ((max(start_ms) - min(start_ms)) // 60000 + 1), 9) AS coverage
 FROM damaged GROUP BY symbol"""
@@ -63,18 +72,19 @@ def bar_verdict(spark, sf):
     return report["verdict"].select("symbol", "total_bars", "gap_count", "missing_bars", "status")
 
 
+_OI_COUNTERS = {
+    **{name: f"src_rank = {rank}" for rank, name in enumerate(("n_live", "n_hist", "n_archive"), 1)},
+    "bad_rank": "src_rank NOT BETWEEN 1 AND 3",
+    "bad_value": "NOT isfinite(sum_open_interest) OR sum_open_interest < 0",
+    "zero_value": "sum_open_interest = 0",
+    "off_grid": "start_ms % 300000 <> 0",
+    "bad_snap_cal": "src_rank > 1 AND snap_ms <> start_ms + 300000",
+    "bad_snap_live": "src_rank = 1 AND abs(snap_ms - start_ms - 300000) > 60000",
+    "stale_live": f"src_rank = 1 AND start_ms < {STALE}",
+}
 CTES["oi_counts"] = f"""
-SELECT symbol, count(*) AS n, min(start_ms) AS min_ms, max(start_ms) AS max_ms,
-       count(*) FILTER (WHERE start_ms % 300000 <> 0) AS off_grid,
-       count(*) FILTER (WHERE NOT isfinite(sum_open_interest) OR sum_open_interest < 0) AS bad_value,
-       count(*) FILTER (WHERE sum_open_interest = 0) AS zero_value,
-       count(*) FILTER (WHERE src_rank = 1) AS n_live, count(*) FILTER (WHERE src_rank = 2) AS n_hist,
-       count(*) FILTER (WHERE src_rank = 3) AS n_archive,
-       count(*) FILTER (WHERE src_rank NOT IN (1, 2, 3)) AS bad_rank,
-       count(*) FILTER (WHERE src_rank = 1 AND start_ms < {STALE}) AS stale_live,
-       count(*) FILTER (WHERE src_rank = 1 AND abs(snap_ms - (start_ms + 300000)) > 60000) AS bad_snap_live,
-       count(*) FILTER (WHERE src_rank >= 2 AND snap_ms <> start_ms + 300000) AS bad_snap_cal
-FROM oi_mixed WHERE start_ms >= {LO} AND start_ms <= {HI} GROUP BY symbol"""
+SELECT symbol, count(*) AS n, min(start_ms) AS min_ms, max(start_ms) AS max_ms, {_filtered(_OI_COUNTERS)}
+FROM oi_mixed WHERE start_ms BETWEEN {LO} AND {HI} GROUP BY symbol"""
 CTES["oi_mixed"] = """
 SELECT symbol, start_ms, sum_open_interest, snap_ms, src_rank, ingest_seq FROM oi
 UNION ALL SELECT symbol, start_ms, sum_open_interest, snap_ms, src_rank, ingest_seq FROM oi_off"""

@@ -218,5 +218,48 @@ def sweep(spark, sf):
     """One sweep over the last twelve days with room for every hole it finds."""
     none = spark.createDataFrame([], "symbol string, from_ms long, expires_ms long")
     _, outcome, _ = repair.sweep(_held(spark, sf), _offered(spark, sf), none, NOW,
-                                 window_ms=_SWEEP_DAYS * DAY, max_ranges=None)
+                                 window_ms=_SWEEP_DAYS * DAY)
     return outcome.select("symbol", "from_ms", "to_ms", "fetched", "outcome")
+
+
+# half of the holes were found empty before
+CTES["sweep_told"] = f"""
+SELECT g.symbol, g.from_ms, g.from_ms // 60000 % 2 = 0 AS skipped, EXISTS (
+         SELECT 1 FROM offered_bars o WHERE o.symbol = g.symbol AND o.start_ms >= g.from_ms AND o.start_ms < g.to_ms
+           AND (o.symbol, o.start_ms) NOT IN (SELECT (symbol, start_ms) FROM held_bars)) AS hit FROM sweep_gaps g"""
+
+
+@query("""SELECT symbol, count(*) AS found, count(*) FILTER (WHERE skipped) AS skipped, count(*) FILTER (WHERE NOT skipped) AS submitted,
+                 count(*) FILTER (WHERE NOT skipped AND hit) AS repaired, count(*) FILTER (WHERE NOT skipped AND NOT hit) AS empty,
+                 CAST(0 AS BIGINT) AS failed FROM sweep_told GROUP BY symbol""")
+def sweep_stats(spark, sf):
+    held, days = _held(spark, sf), {"window_ms": _SWEEP_DAYS * DAY}
+    holes = gaps.find_gaps(held, 60_000, *tg.sweep_window(NOW, 180_000, _SWEEP_DAYS * DAY, 60_000))
+    known = holes.where("from_ms div 60000 % 2 = 0").select("symbol", "from_ms", F.lit(NOW + 1).alias("expires_ms"))
+    _, outcome, _ = repair.sweep(held, _offered(spark, sf), known, NOW, **days)
+    return repair.sweep_stats(held, known, outcome, NOW, **days)
+
+
+_OLDEST = tg.floor_to(NOW - 20 * DAY, BAR) + BAR
+CTES["oi_wanted"] = f"""
+SELECT w.symbol, w.t, w.t < {_OLDEST} AS gone, EXISTS (SELECT 1 FROM hist_points p WHERE p.symbol = w.symbol AND p.label_ms = w.t + 300000) AS hit
+FROM (SELECT symbol, unnest(range(from_ms, least(to_ms, {NOW - NOW % BAR}), 300000)) AS t FROM oi_holes) w"""
+CTES["oi_live"] = f"""
+SELECT b.symbol, b.start_ms >= {_OLDEST} AND EXISTS (
+         SELECT 1 FROM hist_points p WHERE p.symbol = b.symbol AND p.label_ms = b.start_ms + 300000) AS replaced
+FROM (SELECT symbol, start_ms, src_rank FROM thin_oi QUALIFY row_number() OVER (
+        PARTITION BY symbol, start_ms ORDER BY src_rank DESC, ingest_seq DESC) = 1) b WHERE src_rank = 1"""
+
+
+@query("""SELECT symbol, coalesce(requested, 0) AS requested, coalesce(beyond_retention, 0) AS beyond_retention, CAST(0 AS BIGINT) AS present,
+                 coalesce(fetched, 0) AS fetched, coalesce(not_at_source, 0) AS not_at_source, coalesce(live_rows, 0) AS live_rows,
+                 coalesce(live_replaced, 0) AS live_replaced
+          FROM (SELECT symbol, count(*) AS requested, count(*) FILTER (WHERE gone) AS beyond_retention,
+                       count(*) FILTER (WHERE NOT gone AND hit) AS fetched, count(*) FILTER (WHERE NOT gone AND NOT hit) AS not_at_source
+                FROM oi_wanted GROUP BY symbol)
+          FULL JOIN (SELECT symbol, count(*) AS live_rows, count(*) FILTER (WHERE replaced) AS live_replaced FROM oi_live GROUP BY symbol) USING (symbol)""")
+def oi_repair_stats(spark, sf):
+    """What a source that remembers twenty days can still give."""
+    thin = oi_raw(spark, sf).where("ingest_seq % 2 = 0")
+    holes = gaps.find_gaps(thin, BAR, on_grid=True)
+    return repair.oi_repair_stats(holes, thin, hist_points(spark, sf), NOW, 20 * DAY)

@@ -114,11 +114,11 @@ def section_latency(spark, sf):
 @query("""SELECT interval, prev AS previous_ms, timestamp, (timestamp - prev) // step - 1 AS missed
           FROM (SELECT interval, timestamp, CASE interval WHEN '1h' THEN 3600000 WHEN '4h' THEN 14400000 ELSE 86400000 END AS step,
                        lag(timestamp) OVER (PARTITION BY interval ORDER BY timestamp) AS prev
-                FROM (SELECT * FROM derived WHERE symbols_count >= 4))
+                FROM (SELECT * FROM derived WHERE timestamp // 3600000 % 5 <> 2))
           WHERE timestamp - prev > step""")
 def section_gaps(spark, sf):
-    """Missed sections among those that at least four symbols reached."""
-    return gaps.section_gaps(derived(spark, sf).where("symbols_count >= 4"), {"1h": HOUR, **_DERIVED})
+    """Missed sections after some hours' events were lost."""
+    return gaps.section_gaps(derived(spark, sf).where("timestamp div 3600000 % 5 <> 2"), {"1h": HOUR, **_DERIVED})
 
 
 # --- the streams -------------------------------------------------------------------
@@ -149,7 +149,7 @@ def live_bars_stream(spark, sf):
     path = fresh(spark, "live")
     _replayed(spark, events, "live", lambda stream, checkpoint: jobs.run_to_table(
         jobs.live_bars_stream(stream), path, checkpoint, "update"))
-    updates = spark.read.parquet(path).drop("batch")
+    updates = spark.read.parquet(path).drop("batch", "query")
     # the last update of a key is its live bar
     return sections.live_bars(updates, NOW, NOW)
 
@@ -160,7 +160,7 @@ def guard_stream(spark, sf):
     path = fresh(spark, "guard")
     _replayed(spark, rows, "guard", lambda stream, checkpoint: jobs.run_to_table(
         jobs.guard_stream(stream), path, checkpoint))
-    return spark.read.parquet(path).drop("batch")
+    return spark.read.parquet(path).drop("batch", "query")
 
 
 CTES["guard_window"] = """
@@ -182,17 +182,26 @@ def window_stream(spark, sf):
         "symbol", F.col("pos").cast("long").alias("pos"), "t", "c")
 
 
-@query("""SELECT interval, timestamp, symbols_count, reason, published_ms FROM sections_1h
-          WHERE timestamp < (SELECT max(timestamp) FROM sections_1h) - 3600000""")
+@query("SELECT interval, timestamp, symbols_count, reason, published_ms FROM sections_1h")
 def section_stream(spark, sf):
-    """Cross-section events from the stream, without the hours still open at its end."""
+    """Cross-section events from the stream, replayed in thirty daily batches; an outsider's event closes the last ones."""
     rows = closed_arrivals(spark, sf)
-    path = fresh(spark, "section")
-    _replayed(spark, rows, "section", lambda stream, checkpoint: jobs.run_to_table(
-        jobs.section_stream(stream, universe(spark, sf), SECTION_TIMEOUT, DAY), path, checkpoint))
-    out = spark.read.parquet(path).drop("batch")
-    newest = sections_1h(spark, sf).agg(F.max("timestamp").alias("m")).scalar()
-    return out.where(F.col("timestamp") < newest - HOUR)
+    path, source, checkpoint = (fresh(spark, f"section-{n}") for n in ("out", "in", "checkpoint"))
+    last = F.col("open_ms") + 400 * DAY
+    outsider = rows.limit(1).withColumns({"symbol": F.lit("none"), "open_ms": last, "arrival_ms": last})
+    for day in range(30):
+        bounds = (F.lit(True) if day == 0 else F.col("arrival_ms") >= SPAN_FROM + day * DAY,
+                  F.lit(True) if day == 29 else F.col("arrival_ms") < SPAN_FROM + (day + 1) * DAY)
+        rows.where(bounds[0] & bounds[1]).coalesce(1).write.mode("append").parquet(source)
+    outsider.write.mode("append").parquet(source)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+        stream = landing.event_stream(spark, source, rows.schema, max_files=1)
+        jobs.run_to_table(jobs.section_stream(stream, universe(spark, sf), SECTION_TIMEOUT, DAY), path, checkpoint)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    return spark.read.parquet(path).drop("batch", "query")
 
 
 CTES["base_1h"] = rollup_sql(HOUR, "bars_base")
@@ -228,7 +237,7 @@ def fan_out(spark, sf):
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination())
 
     _replayed(spark, rows, "fan", run)
-    return spark.read.parquet(archive).select(*S.BAR_KEYS, "close", "trades_count")
+    return facts.scan_bars(spark, archive).select(*S.BAR_KEYS, "close", "trades_count")
 
 
 @query("SELECT symbol, interval, open_ms, price AS close, arrival_ms, seq FROM kline_events")
@@ -238,7 +247,7 @@ def event_stream(spark, sf):
         "symbol", "interval", "open_ms", "close", "arrival_ms", "seq")
     path = fresh(spark, "events")
     _replayed(spark, rows, "events", lambda stream, checkpoint: jobs.run_to_table(stream, path, checkpoint))
-    return spark.read.parquet(path).drop("batch")
+    return spark.read.parquet(path).drop("batch", "query")
 
 
 @query("""SELECT symbol, start_ms, close, trades_count FROM bars_1h WHERE start_ms >= """
@@ -247,11 +256,9 @@ def refresh_stream(spark, sf):
     """A rollup table kept current by a stream over the base table's new files."""
     base, target = fresh(spark, "base"), fresh(spark, "hourly")
     facts.append_facts(bars_raw(spark, sf), base)
-    empty = bars_raw(spark, sf).where("false")
-    facts.append_facts(rollup_klines(empty, "1h").withColumn("version", F.lit(0).cast("long")), target)
 
     def read_base():
-        return facts.read_facts(spark, base, S.BARS_1M).drop("month")
+        return facts.read_facts(spark, base, S.BARS_1M)
 
     body = refresh.refresh_batch(read_base, rollup_klines, target, "1h", 10, lambda: NOW)
     arrivals = landing.event_stream(spark, base, S.BARS_1M)

@@ -30,7 +30,7 @@ def source_precedence(spark, sf):
 def compacted(spark, sf):
     """A raw table after its months were compacted: only the winning rows are left."""
     path = table_of(bars_raw(spark, sf), "compact")
-    facts.compact(spark, path, S.BARS_1M, S.BAR_KEYS, ["version", "ingest_seq"], [202401])
+    facts.compact(spark, path, S.BARS_1M, S.BAR_KEYS, ["version", "ingest_seq"])
     rows = facts.read_facts(spark, path, S.BARS_1M)
     return rounded(rows.select(*S.BAR_KEYS, "version", "ingest_seq", "close", "volume"), "volume")
 
