@@ -65,9 +65,12 @@ def _steps_between_runs(rows: DataFrame, step: int, chunk_ms: int) -> DataFrame:
         runs.withColumn("_prev", F.lag("tail").over(inside))
         .withColumn("_last", F.lead("tail").over(inside).isNull())
         .where(F.col("_prev").isNull() | F.col("_last") | (F.col("head") - F.col("_prev") > step)))
-    across = Window.partitionBy("symbol").orderBy("head")
+    # only the runs at a chunk's borders meet by symbol; those inside know their neighbour
+    border = F.col("_prev").isNull() | F.col("_last")
+    across = Window.partitionBy("symbol", ordered.LANE).orderBy("head")
     return (
-        apart.withColumn("before", F.coalesce("_prev", F.lag("tail").over(across)))
+        apart.withColumn(ordered.LANE, F.when(~border, F.col("_chunk")))
+        .withColumn("before", F.coalesce("_prev", F.lag("tail").over(across)))
         .where(F.col("head") - F.col("before") > step)
         .select("symbol", "before", F.col("head").alias("after")))
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from candlemill import timegrid as tg
 
 CHUNK = "_chunk"
+LANE = "_lane"  # NULL for the rows of all chunks that meet, else a row's own chunk
 
 
 def _chunked(df: DataFrame, order: str, chunk_ms: int) -> DataFrame:
@@ -26,7 +27,9 @@ def wide_steps(df: DataFrame, keys: list[str], order: str, over: int | Column,
 
     Returns ``keys + (before, after)``. One scan: inside a chunk only the wide
     steps and the two border rows survive, and the borders are then compared
-    across chunks. ``over`` may be an expression over the keys.
+    across chunks. Only they meet by key, two rows a chunk; a wide step inside a
+    chunk stays with it, so a series in which every step is wide is no hot key.
+    ``over`` may be an expression over the keys.
     """
     rows = _chunked(df.select(*keys, order), order, chunk_ms)
     # copies of a row change nothing here, so they are folded before the shuffle
@@ -38,11 +41,13 @@ def wide_steps(df: DataFrame, keys: list[str], order: str, over: int | Column,
         .where(F.col("_prev").isNull() | F.col("_next").isNull()
                | (F.col(order) - F.col("_prev") > over))
     )
-    across = Window.partitionBy(*keys).orderBy(order)
+    across = Window.partitionBy(*keys, LANE).orderBy(order)
     # a chunk's first row follows the last row of the chunk before it; any other
     # surviving row already knows its neighbour
+    border = F.col("_prev").isNull() | F.col("_next").isNull()
     return (
-        rows.withColumn("before", F.coalesce("_prev", F.lag(order).over(across)))
+        rows.withColumn(LANE, F.when(~border, F.col(CHUNK)))
+        .withColumn("before", F.coalesce("_prev", F.lag(order).over(across)))
         .where(F.col(order) - F.col("before") > over)
         .select(*keys, "before", F.col(order).alias("after"))
     )

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -171,3 +172,13 @@ def test_section_gaps(frame):
     events = frame([("1m", 0), ("1m", MIN), ("1m", 4 * MIN), ("5m", 0), ("5m", BAR)],
                    "interval string, timestamp long")
     assert rows(gaps.section_gaps(events, {"1m": MIN, "5m": BAR})) == [("1m", MIN, 4 * MIN, 2)]
+
+
+@pytest.mark.parametrize("on_grid", [True, False])
+def test_a_series_of_wide_steps_is_no_lane(spark, on_grid):
+    """One symbol, every step wide: all gaps are found, and only two rows of a chunk meet by symbol."""
+    bars = spark.range(5_000).selectExpr("if(id < 9000, 'A', 'B') AS symbol", "id * 180000 AS start_ms")
+    found = gaps.find_gaps(bars, MIN, on_grid=on_grid)
+    assert found.count() == 4_999 and found.where("missing_count = 2").count() == 4_999
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"hashpartitioning\(symbol#\w+, _lane#", plan) and not re.search(r"hashpartitioning\(symbol#\w+, \d", plan)

@@ -4,7 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from candlemill import schemas as S
-from candlemill.operators import rollup, versions
+from candlemill import timegrid as tg
+from candlemill.operators import gaps, rollup, versions
+from candlemill.operators.rollup import rollup_klines
 from candlemill.plans import refresh, repair
 from candlemill.sources import facts
 from helpers import BAR, DAY, MIN, OI, bar, bars, ms, rows
@@ -154,3 +156,31 @@ def test_sweep_outcomes(spark, frame):
     assert (base + 3 * MIN) not in {r.from_ms for r in again.collect()} and kept.count() == 2
     _, later, _ = repair.sweep(held, offered, memory, now + 13 * 60 * MIN, window_ms=2 * DAY)
     assert (base + 3 * MIN) in {r.from_ms for r in later.collect()}
+
+
+def pruned(df) -> bool:
+    """Whether the scan is bound to some months."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return all("month" in part.split("]")[0] for part in plan.split("PartitionFilters: [")[1:])
+
+
+def test_jobs_read_only_their_months(spark, folder):
+    path, now = folder("months"), ms("2026-09-21 12:00")
+    made = [bar("A", ms(f"2026-0{m}-10 00:00") + i * MIN) for m in range(1, 10) for i in range(3)]
+    facts.append_facts(bars(spark, made), path)
+    table = facts.read_facts(spark, path, S.BARS_1M)
+    assert facts.months_in(spark, path) == list(range(202601, 202610))
+    fresh = refresh.refresh_rollup(refresh.versions_of(table), rollup_klines, now, "1h", 10)
+    assert pruned(fresh) and fresh.count() == 0
+    lo, hi = tg.month_bounds("2026-03")
+    old = refresh.refold(refresh.versions_of(table), rollup_klines, "1h", lo, hi)
+    assert pruned(old) and old.count() == 1
+    assert pruned(gaps.find_gaps(table, MIN, lo, hi)) and pruned(facts.scan_bars(spark, path, from_ms=lo))
+
+
+def test_first_refresh_makes_its_table(spark, folder):
+    path, now = folder("first"), ms("2026-09-21 12:00")
+    rows_ = bars(spark, [bar("A", ms("2026-09-20 00:00") + i * MIN) for i in range(90)])
+    for _ in range(2):
+        refresh.apply_refresh(rows_, rollup_klines, path, now, "1h", 10)
+    assert facts.read_facts(spark, path, S.BARS).count() == 2
