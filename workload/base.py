@@ -78,6 +78,13 @@ def with_ctes(body: str) -> str:
     return f"WITH {ctes}\n{body}"
 
 
+def crc_sql(text: str) -> str:
+    """CRC-32 of ASCII text: each byte is mixed in, then followed by eight shifts (marked -1) through the reversed polynomial."""
+    steps = f"""list_prepend(CAST(4294967295 AS BIGINT), flatten(list_transform(string_split({text}, ''),
+        lambda ch: list_prepend(CAST(ascii(ch) AS BIGINT), CAST([-1, -1, -1, -1, -1, -1, -1, -1] AS BIGINT[])))))"""
+    return f"xor(list_reduce({steps}, lambda c, e: CASE WHEN e >= 0 THEN xor(c, e) ELSE xor(c >> 1, 3988292384 * (c & 1)) END), 4294967295)"
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     """Round sums of doubles, whose last bits depend on the order of addition."""
     return df.withColumns({c: F.round(c, digits) for c in columns})

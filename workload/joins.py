@@ -8,7 +8,7 @@ from candlemill import schemas as S
 from candlemill.functions import columns as fx
 from candlemill.operators import panel, ranges, reconcile, series, snap, windows
 from workload.base import (
-    BAR, CTES, DAY, HOUR, MEASURES, MINUTE, NOW, SPAN_FROM, bars, bars_at, external_1h, oi, oi_off_grid, oi_raw,
+    crc_sql, BAR, CTES, DAY, HOUR, MEASURES, MINUTE, NOW, SPAN_FROM, bars, bars_at, external_1h, oi, oi_off_grid, oi_raw,
     query, ratio_raw, ratios, round_sql, rounded, ticks, universe,
 )
 from workload.quality import snap_plan_of
@@ -189,9 +189,11 @@ def key_grid(spark, sf):
     return panel.key_grid(universe(spark, sf), ["1m", "5m", "1h"])
 
 
-@query()
+@query(f"""SELECT 'kline_' || interval || '_' || bucket AS shard, lower(symbol) || '@kline_' || interval AS stream, symbol, interval, bucket
+           FROM (SELECT symbol, CAST({crc_sql("upper(symbol)")} % 8 AS BIGINT) AS bucket FROM (SELECT DISTINCT symbol || uid AS symbol FROM ticks))
+           CROSS JOIN (VALUES ('1m'), ('5m')) v(interval)""")
 def stream_plan(spark, sf):
-    """Streams per shard for every contract; the CRC has no SQL twin."""
+    """Streams per shard for every contract."""
     contracts = ticks(spark, sf).select(F.concat("symbol", F.col("uid").cast("string")).alias("symbol"))
     return panel.stream_plan(contracts, ["1m", "5m"], 8)
 

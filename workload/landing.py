@@ -12,7 +12,7 @@ from candlemill.plans import refresh
 from candlemill.operators.rollup import rollup_klines
 from candlemill.sources import facts, gapfile, landing
 from workload.base import (
-    BAR, CTES, DAY, HOUR, MEASURES, MINUTE, NOW, SPAN_FROM, STEPS, bars, bars_at, bars_raw, fresh,
+    crc_sql, BAR, CTES, DAY, HOUR, MEASURES, MINUTE, NOW, SPAN_FROM, STEPS, bars, bars_at, bars_raw, fresh,
     gaps_5m, kline_events, oi_raw, query, ratio_raw, round_sql, rounded, sections_1h, table_of, ticks,
     universe,
 )
@@ -392,9 +392,10 @@ def stream_names(spark, sf):
                         parsed["interval"].alias("parsed_interval"), "events")
 
 
-@query()
+@query(f"""SELECT CAST({crc_sql("upper(s)")} % 16 AS BIGINT) AS bucket, CAST(sum(n) AS BIGINT) AS rows
+           FROM (SELECT symbol || '_' || uid AS s, count(*) AS n FROM ticks GROUP BY 1) GROUP BY 1""")
 def stable_bucket(spark, sf):
-    """Rows per stable bucket; the CRC has no SQL twin."""
+    """Rows per stable bucket."""
     bucket = fx.stable_bucket(F.concat_ws("_", "symbol", F.col("uid").cast("string")), 16)
     return ticks(spark, sf).groupBy(bucket.alias("bucket")).agg(F.count("*").alias("rows"))
 
