@@ -221,21 +221,33 @@ def merge_ratios(spark, sf):
     return series.merge_ratio_series(ratio_points(spark, sf), _MERGE_NOW)
 
 
-@query(f"""
+_SWEEP_DUE = f"""
 WITH e AS (SELECT symbol, from_ms FROM gaps_5m WHERE from_ms // 300000 % 3 = 0),
 x AS (SELECT symbol, from_ms, {NOW} + CASE WHEN from_ms // 300000 % 2 = 0 THEN 1000 ELSE -1000 END AS expires_ms FROM e)
 SELECT symbol, from_ms, to_ms, missing_count FROM gaps_5m
-WHERE (symbol, from_ms) NOT IN (SELECT (symbol, from_ms) FROM x WHERE expires_ms > {NOW})
-ORDER BY symbol, from_ms LIMIT 400""")
-def sweep_plan(spark, sf):
-    """A third of the gaps was found empty before, half of these memories have expired."""
+WHERE (symbol, from_ms) NOT IN (SELECT (symbol, from_ms) FROM x WHERE expires_ms > {NOW})"""
+
+
+def _known_empty(spark, sf):
+    """The gaps, and a third of them as found empty before; half of these memories have expired."""
     from workload.base import gaps_5m
 
     holes = gaps_5m(spark, sf)
     slot = F.col("from_ms") / BAR
-    known = holes.where(slot % 3 == 0).select("symbol", "from_ms", (F.lit(NOW) + F.when(
+    return holes, holes.where(slot % 3 == 0).select("symbol", "from_ms", (F.lit(NOW) + F.when(
         slot % 2 == 0, 1_000).otherwise(-1_000)).alias("expires_ms"))
-    return ranges.sweep_plan(holes, known, NOW, 400)
+
+
+@query(_SWEEP_DUE)
+def sweep_due(spark, sf):
+    """All ranges that are due."""
+    return ranges.sweep_plan(*_known_empty(spark, sf), NOW)
+
+
+@query(_SWEEP_DUE + " ORDER BY symbol, from_ms LIMIT 400")
+def sweep_plan(spark, sf):
+    """The ranges that are due, up to an explicit cap."""
+    return ranges.sweep_plan(*_known_empty(spark, sf), NOW, 400)
 
 
 # a snapshot's value at the close price of the bar 5m later on odd days
