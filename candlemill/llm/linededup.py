@@ -10,6 +10,7 @@ from candlemill.llm.common import by_batch, shipped, stored
 
 shipped(__name__)
 
+SALTS = 32  # parts of the lines that share a partner
 LINE = ("doc_id", "version", "line")  # a line's place; lines come in this order
 BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, so it has an inverse modulo 2^64
 BACK = np.uint64(pow(int(BASE), -1, 2**64))
@@ -119,7 +120,11 @@ def near_lines(docs: DataFrame, first: DataFrame, lines: DataFrame) -> DataFrame
     # verify the edit distance on the words themselves
     words = some.select("h", "words").dropDuplicates(["h"])
     named = pairs.join(first.select(F.col("at").alias("near"), F.col("h").alias("near_h")), "near")
-    both = named.join(words, "h").join(words.select(F.col("h").alias("near_h"), F.col("words").alias("near_words")), "near_h")
+    # many lines may have one partner: it is laid out as often as there are salts
+    partners = words.join(named.select(F.col("near_h").alias("h")).distinct(), "h", "left_semi").select(
+        F.col("h").alias("near_h"), F.col("words").alias("near_words"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = named.join(words, "h").withColumn("salt", F.pmod(F.xxhash64("h"), F.lit(SALTS)).cast("int"))
+    both = salted.join(partners, ["near_h", "salt"])
 
     def check(h, a, b):
         good = [k for k in range(len(h)) if one_edit(a[k], b[k])]
