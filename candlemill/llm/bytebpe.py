@@ -7,14 +7,17 @@ import hashlib
 import struct
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from candlemill.llm.common import by_batch, shipped
-from candlemill.llm.tokens import cached, chunks, lookup
+from candlemill.llm.tokens import chunks, lookup
 
 shipped(__name__)
 
 SHIFT = 0x100  # byte b is written as the character U+0100 + b: 256 letters, none of them white space
+BETWEEN = "\u0001"  # not among them
+Encoded = tuple[int, str, bytes]
 TO_CHAR = {b: SHIFT + b for b in range(256)}
 
 
@@ -66,29 +69,54 @@ class ByteBpe:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.processor = sentencepiece.SentencePieceProcessor(model_proto=model(self.ranks))
         self.matches = regex.compile(pattern).findall
-        self.pieces, self.cuts = cached(f"pieces {ranks_path}"), cached(f"cuts {ranks_path}")
+        self.cuts: dict[str, Encoded] = {}
         back = {SHIFT + b: b for b in range(256)}
         self.tokens = [self.processor.id_to_piece(k).translate(back).encode("latin-1") for k in range(len(self.ranks))]
+        self.names = [str(k) for k in range(len(self.ranks))]
 
     def encode_pieces(self, pieces: list[str]) -> list[list[int]]:
-        """Ids of single pre-tokens; one that is a token as it stands is that token."""
-        data = [p.encode() for p in pieces]
-        rest = [d for d in data if d not in self.ranks]
-        made = dict(zip(rest, self.processor.encode([mapped(d) for d in rest], out_type=int, num_threads=1) if rest else []))
-        return [[self.ranks[d]] if d in self.ranks else made[d] for d in data]
-
-    def encode_cuts(self, cuts: list[str]) -> list[list[int]]:
-        found = [self.matches(c) for c in cuts]
-        ids = iter(lookup(self.pieces, [p for f in found for p in f], self.encode_pieces))
-        return [[k for _ in f for k in next(ids)] for f in found]
+        """Ids of single pre-tokens; one that is a token as it stands is that token.
 
-    def encode(self, text: str) -> list[list[int]]:
-        """The ids as a list of lists: one for each stretch of the text that is encoded on its own."""
+        The others go to sentencepiece in one call, with a character between them that no piece of the model has: it
+        comes back as the unknown piece, and nothing is joined across it.
+        """
+        data = [p.encode() for p in pieces]
+        whole = list(map(self.ranks.get, data))
+        rest = [d for d, k in zip(data, whole) if k is None]
+        if not rest:
+            return [[k] for k in whole]
+        ids = self.processor.encode(BETWEEN.join([mapped(d) for d in rest]), out_type=int)
+        cuts = [-1, *np.flatnonzero(np.array(ids) == len(self.ranks)).tolist(), len(ids)]
+        made = iter([ids[a + 1:b] for a, b in zip(cuts, cuts[1:])])
+        return [next(made) if k is None else [k] for k in whole]
+
+    def told(self, ids: list[int]) -> Encoded:
+        return len(ids), " ".join([self.names[k] for k in ids]), self.decode(ids)
+
+    def encode_cuts(self, cuts: list[str]) -> list[Encoded]:
+        found = list(map(self.matches, cuts))
+        made = iter(self.encode_pieces([p for f in found for p in f]))
+        return [self.told(next(made) if len(f) == 1 else [k for _ in f for k in next(made)]) for f in found]
+
+    def encode(self, text: str) -> Encoded:
+        """How many ids the text has, the ids as decimals joined by spaces, and the bytes that they decode to.
+
+        Tokens decode one by one, so the encodings of stretches of the text are put together.
+        """
         cut = chunks(text)
-        return self.encode_cuts([text]) if cut is None else lookup(self.cuts, cut, self.encode_cuts)
+        if cut is None:
+            return self.encode_cuts([text])[0]
+        return joined(self.encode_cuts(cut[:1]) + lookup(self.cuts, cut[1], lambda some: self.encode_cuts([" " + c for c in some])))
 
     def decode(self, ids: list[int]) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, ids))
+        return b"".join([self.tokens[k] for k in ids])
+
+
+def joined(parts: list[Encoded]) -> Encoded:
+    if not parts:
+        return 0, "", b""
+    counts, decimals, decoded = zip(*parts)
+    return sum(counts), " ".join(filter(None, decimals)), b"".join(decoded)
 
 
 def encoded(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -98,8 +126,8 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_i
         bpe = ByteBpe(ranks_path, pattern)
 
         def step(doc_ids, texts):
-            ids = [[k for part in bpe.encode((t or b"").decode("utf-8", "replace")) for k in part] for t in texts]
-            return [doc_ids, ids, [bpe.decode(x) for x in ids]]
+            made = [bpe.encode((t or b"").decode("utf-8", "replace")) for t in texts]
+            return [doc_ids, [list(map(int, decimals.split())) for _, decimals, _ in made], [decoded for _, _, decoded in made]]
 
         return step
 
@@ -116,13 +144,12 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_i
 
     def make() -> Callable:
         bpe = ByteBpe(ranks_path, pattern)
-        names = [str(k) for k in range(len(bpe.tokens))]
         sha = lambda data: hashlib.sha256(data).hexdigest()
 
         def step(doc_ids, texts):
-            ids = [[k for part in bpe.encode((t or b"").decode("utf-8", "replace")) for k in part] for t in texts]
-            return [doc_ids, [len(x) for x in ids], [sha(" ".join(map(names.__getitem__, x)).encode()) for x in ids],
-                    [sha(bpe.decode(x)) for x in ids]]
+            made = [bpe.encode((t or b"").decode("utf-8", "replace")) for t in texts]
+            return [doc_ids, [n for n, _, _ in made], [sha(decimals.encode()) for _, decimals, _ in made],
+                    [sha(decoded) for _, _, decoded in made]]
 
         return step
 

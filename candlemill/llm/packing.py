@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from candlemill.llm.common import by_batch, shipped, stored
-from candlemill.llm.tokens import cached, chunks, lookup
+from candlemill.llm.tokens import chunks, lookup
 
 shipped(__name__)
 
@@ -25,14 +25,16 @@ def byte_bpe(ranks_path: str, pattern: str) -> Callable[[str], bytes]:
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     bpe = tiktoken.Encoding("byte-bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-    cache = cached(f"ids {ranks_path}")
+    cache: dict[str, bytes] = {}
 
     def ids_of(texts: list[str]) -> list[bytes]:
         return [np.array(bpe.encode_ordinary(t), "<u4").tobytes() for t in texts]
 
     def encode(text: str) -> bytes:
         cut = chunks(text)
-        return ids_of([text])[0] if cut is None else b"".join(lookup(cache, cut, ids_of))
+        if cut is None:
+            return ids_of([text])[0]
+        return b"".join(ids_of([cut[0]]) + lookup(cache, cut[1], lambda some: ids_of([" " + c for c in some])))
 
     return encode
 
