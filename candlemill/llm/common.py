@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from candlemill.session import materialize
 
@@ -47,6 +47,9 @@ def by_batch(df: DataFrame, make: Callable[[], Callable], schema: str, *columns:
             for at in range(0, batch.num_rows, rows):
                 made = step(*(c.to_pylist() for c in batch.slice(at, rows).columns))
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(made, out)], schema=out)
+                del made
+            del batch
+            pa.default_memory_pool().release_unused()  # a worker stays; what it holds adds up with the next ones
 
     return taken.mapInArrow(run, schema)
 
@@ -63,6 +66,22 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     return docs.join(named, same, "left_anti")
 
 
+def first_by_hash(rows: DataFrame, group: str, n: int) -> tuple[DataFrame, dict]:
+    """At most ``n`` rows (doc_id, group, rank) of each group, those first by a hash of the id; and the groups' sizes.
+
+    Of a large group only the share of hashes that holds about 2 n rows is ranked, so no group fills a task. The sizes,
+    one row for each group, come to the driver.
+    """
+    sizes = {r[group]: r["n"] for r in rows.groupBy(group).agg(F.count("*").alias("n")).collect()}
+    share = F.lit(1.0)
+    for value, size in sizes.items():
+        if size > 2 * n:
+            share = F.when(F.col(group) == F.lit(value), 2 * n / size).otherwise(share)
+    early = rows.where(F.xxhash64("doc_id") / F.lit(2.0 ** 64) + 0.5 <= share)
+    order = Window.partitionBy(group).orderBy(F.xxhash64("doc_id"), "doc_id")
+    return early.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n), sizes
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """(node, component) of every node of the undirected ``edges`` (a, b, both long); the component is its least node.
 

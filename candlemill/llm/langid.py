@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from candlemill.llm.common import by_batch, shipped
+from candlemill.llm.common import by_batch, first_by_hash, shipped
 
 shipped(__name__)
 
@@ -104,8 +104,7 @@ class Tournament:
 def sample(docs: DataFrame, train: F.Column, per_lang: int) -> tuple[np.ndarray, np.ndarray]:
     """Features and languages of at most ``per_lang`` documents of each language, those first by a hash of the id."""
     known = docs.where(train & F.col("lang").isNotNull() & F.col("doc_id").isNotNull()).select("doc_id", "lang").distinct()
-    first = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = known.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_lang).select("doc_id")
+    ids = first_by_hash(known, "lang", per_lang)[0].select("doc_id")
     ids = [r["doc_id"] for r in ids.collect()]  # per_lang for each language at most
 
     def step(_, langs, texts):

@@ -8,9 +8,9 @@ from collections import Counter
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from candlemill.llm.common import by_batch, shipped, stored, versioned, without
+from candlemill.llm.common import by_batch, first_by_hash, shipped, stored, versioned, without
 from candlemill.llm.tokens import lookup
 
 shipped(__name__)
@@ -46,9 +46,7 @@ def examples(docs: DataFrame, labels: DataFrame, train: F.Column, per_label: int
     """
     held = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("label"))
     known = stored(docs.select("doc_id").where(train).join(held, "doc_id").distinct(), "toxicity-train")
-    totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    first = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
-    taken = known.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_label)
+    taken, totals = first_by_hash(known, "label", per_label)
     ids = [(r["doc_id"], r["label"]) for r in taken.orderBy("rank", "label").collect()]  # 2 * per_label rows at most
     texts = docs.where(F.col("doc_id").isin([k for k, _ in ids]))
     sketches = by_batch(texts, lambda: lambda i, t: [i, [sketch(text_of(x).split()) for x in t]], "doc_id long, s array<long>", "doc_id", "text")

@@ -8,7 +8,7 @@ import xxhash
 from hypothesis import given, settings, strategies as st
 
 from candlemill.llm import linededup, simhash, vectors
-from candlemill.llm.common import components
+from candlemill.llm.common import components, first_by_hash
 
 
 def distance(a, b):
@@ -165,3 +165,13 @@ def test_vectors_odd_rows(table):
     assert told == [(0, 4, 1, False), (1, 4, 1, True), (1, 4, 1, True), (2, 4, 1, False), (3, 0, 3, True), (4, 0, 4, True), (5, 0, 5, True),
                     (6, 0, 6, True), (7, 0, 7, True), (8, 0, 8, True), (9, 4, 1, False), (10, 0, 10, True), (11, 0, 11, True)]
     assert vectors.near_duplicates(table([], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_first_by_hash(spark):
+    rows = spark.range(5_000).selectExpr("id AS doc_id", "if(id % 50 = 0, 'b', 'a') AS lang")
+    got, sizes = first_by_hash(rows, "lang", 100)
+    want = {}
+    for r in rows.selectExpr("doc_id", "lang", "xxhash64(doc_id) AS h").collect():
+        want.setdefault(r.lang, []).append((r.h, r.doc_id))
+    assert sizes == {"a": 4_900, "b": 100}
+    assert {(r.lang, r.doc_id) for r in got.collect()} == {(k, i) for k, v in want.items() for _, i in sorted(v)[:100]}
