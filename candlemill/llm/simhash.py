@@ -9,7 +9,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from candlemill.llm.common import by_batch, components, shipped, stored
+from candlemill.llm import likeness
+from candlemill.llm.common import by_batch, components, shipped, stored, versioned
 
 shipped(__name__)
 
@@ -39,6 +40,17 @@ def fingerprints(docs: DataFrame, width: int = 3, id_col: str = "doc_id", text_c
                     "doc_id long, fp long", "doc_id", "text")
 
 
+def marks(docs: DataFrame, width: int) -> DataFrame:
+    """(doc_id, version, fp, node, bands) for every document: the fingerprint, a hash of the shingle set and its bands."""
+
+    def step(ids, versions, texts):
+        sets = [likeness.shingles(t) for t in texts]
+        return [ids, versions, [fingerprint(t, width) for t in texts], [xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets],
+                [likeness.band_keys(s) for s in sets]]
+
+    return by_batch(docs, lambda: step, "doc_id long, version long, fp long, node long, bands array<long>", "doc_id", "version", "text")
+
+
 def top_nodes(fps: DataFrame, node_rows: int) -> list[tuple[int, int, int]]:
     """(depth, prefix, rows) of trie nodes that together cover all rows of ``fps``, none with more than ``node_rows``.
 
@@ -206,17 +218,25 @@ def links(fps: DataFrame, budget: int = 2, node_rows: int = 4096, max_nodes: int
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, budget: int = 2, id_col: str = "doc_id", text_col: str = "text",
-                    **sizes: int) -> DataFrame:
+                    alike: float | None = None, **sizes: int) -> DataFrame:
     """One row per document: doc_id, fp (long), fingerprint (16 hex digits), component_id, kept.
 
     Documents link if their fingerprints differ by ``budget`` bits at most; the component is the least doc_id that links
     reach, and the document whose id that is is kept (once: copies of that row are not told apart). A null or wordless
     text has fingerprint zero and links like any other. A null id takes part through its fingerprint but names nothing:
     if all of a component's ids are null, component_id is null and none is kept. Other columns are ignored.
+
+    With ``alike`` documents also link if the Jaccard likeness of their five-word shingles is that or more.
     """
-    fps = stored(fingerprints(docs, width, id_col, text_col), "simhash-fps")
+    if alike is None:
+        fps = stored(fingerprints(docs, width, id_col, text_col), "simhash-fps")
+    else:
+        taken = versioned(docs, id_col, text_col).select("doc_id", "version", F.col(f"`{text_col}`").alias("text"))
+        fps = stored(marks(taken, width), "simhash-marks")
     classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("doc")), "simhash-classes")
     edges = links(classes.select("fp", F.col("fp").alias("rep")), budget, **sizes)
+    if alike is not None:
+        edges = edges.unionAll(likeness.links(taken, fps, alike))
     joined = components(edges, "simhash").select(F.col("node").alias("fp"), F.col("component").alias("group"))
     grouped = stored(joined.join(classes.select("fp", "doc"), "fp"), "simhash-groups")
     least = grouped.groupBy("group").agg(F.min("doc").alias("component_id"))
@@ -228,10 +248,10 @@ def near_duplicates(docs: DataFrame, width: int = 3, budget: int = 2, id_col: st
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)).alias("kept")))
 
 
-def keep_one(docs: DataFrame, width: int = 3, budget: int = 2) -> DataFrame:
+def keep_one(docs: DataFrame, width: int = 3, budget: int = 2, alike: float | None = None) -> DataFrame:
     """The documents (doc_id, text and any other columns) without those that one with a smaller id represents.
 
     Null ids and rows that repeat a kept one stay.
     """
-    found = near_duplicates(docs, width, budget).where("NOT kept AND doc_id IS NOT NULL AND component_id IS NOT NULL")
+    found = near_duplicates(docs, width, budget, alike=alike).where("NOT kept AND doc_id IS NOT NULL AND component_id IS NOT NULL")
     return docs.join(found.select(F.col("doc_id").alias("__doc")).distinct(), F.col("doc_id").cast("long") == F.col("__doc"), "left_anti")

@@ -25,8 +25,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that fingerprints link."""
-    return simhash.keep_one(docs)
+    """One document of each group that fingerprints or a likeness of 0.8 of the five-word shingles link."""
+    return simhash.keep_one(docs, alike=0.8)
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,7 +7,8 @@ import pytest
 import xxhash
 from hypothesis import given, settings, strategies as st
 
-from candlemill.llm import linededup, simhash, vectors
+import corpus_pipeline
+from candlemill.llm import likeness, linededup, simhash, vectors
 from candlemill.llm.common import components, first_by_hash
 
 
@@ -131,6 +132,33 @@ def test_simhash_odd_rows(table):
     assert simhash.near_duplicates(table([], "doc_id long, text string")).count() == 0
 
 
+def test_near_duplicate_stage_reaches_a_likeness_of_0_8(spark, table):
+    """Copies with a few words exchanged, far beyond two bits, and some below 0.8, against all pairs by brute force."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(30):
+        words = [f"w{x}" for x in rng.integers(0, 5_000, 200)]
+        for _ in range(6):
+            copy = list(words)
+            for at in rng.integers(0, 200, rng.integers(0, 9)):
+                copy[at] = f"n{rng.integers(0, 10**9)}"
+            rows.append((len(rows), " ".join(copy)))
+    rows += [(1000, rows[0][1].upper()), (1001, "too short"), (1002, "Too  short"), (1003, None), (1004, "short too")]
+    grams = [{tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in ((t or "").lower().split() for _, t in rows)]
+    prints = np.array([plain_fingerprint(t) for _, t in rows], dtype=np.uint64)
+    bits = np.bitwise_count(prints[:, None] ^ prints[None])
+    near = np.array([[bool(a & b) and 10 * len(a & b) >= 8 * len(a | b) for b in grams] for a in grams])
+    assert (near & (bits > 2)).sum() > 100 and ((bits > 2) & ~near).any()
+    want = reach([i for i, _ in rows], near | (bits <= 2))
+    got = corpus_pipeline.near_duplicates(spark, table(rows, "doc_id long, text string"), "")
+    assert {r.doc_id for r in got.collect()} == {i for (i, _), c in zip(rows, want) if i == c}
+
+
+def test_likeness_of_the_whole_sets():
+    a = np.arange(90, dtype=np.uint64)
+    assert likeness.alike(a, a[:72], 0.8) and not likeness.alike(a, a[:71], 0.8)
+
+
 def test_components_of_a_long_path_and_a_hub(spark):
     path = [(k, k + 1) for k in range(200)] + [(1000, 1000 + k) for k in range(1, 500)] + [(7000, 7000)]
     got = {r.node: r.component for r in components(spark.createDataFrame(path, "a long, b long"), "test").collect()}
