@@ -7,17 +7,17 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from candlemill.llm.common import by_batch, first_by_hash, shipped, stored, versioned, without
+from candlemill.llm.likeness import alike, band_keys, shingles
 from candlemill.llm.tokens import lookup
 
 shipped(__name__)
 
 EDGE = ".,;:!?'\"()[]{}-_/\\#*$%&|<>"
 STEMS = range(4, 10)  # the beginning of so many characters of a longer word is a term too
-MINHASHES = 4
+ALIKE = 0.8  # five-word Jaccard of near copies
 
 
 def terms_of(word: str) -> tuple[str, ...]:
@@ -33,30 +33,71 @@ def text_of(data: bytes | None) -> str:
     return (data or b"").decode("utf-8", "replace")
 
 
-def sketch(words: list[str]) -> list[int]:
-    """Least hashes of the five-word shingles, under ``MINHASHES`` seeds; texts of 0.8 likeness share one nearly surely."""
-    grams = [" ".join(words[i:i + 5]).lower().encode() for i in range(max(1, len(words) - 4))]
-    return [min(xxhash.xxh3_64_intdigest(g, seed) for g in grams) >> 1 for seed in range(MINHASHES)]
+class Kept:
+    """Texts of one label of which no two are near copies, found again by their minhash bands and compared whole."""
+
+    def __init__(self) -> None:
+        self.sets: list[np.ndarray] = []
+        self.at: dict[int, list[int]] = {}
+
+    def keys(self, hashes: np.ndarray) -> list[int]:
+        return band_keys(hashes).tolist() or [0]  # texts without a word are copies of each other
+
+    def near(self, hashes: np.ndarray) -> bool:
+        return any(alike(hashes, self.sets[k], ALIKE) for k in {k for key in self.keys(hashes) for k in self.at.get(key, ())})
+
+    def add(self, hashes: np.ndarray) -> None:
+        for key in self.keys(hashes):
+            self.at.setdefault(key, []).append(len(self.sets))
+        self.sets.append(hashes)
 
 
 def examples(docs: DataFrame, labels: DataFrame, train: F.Column, per_label: int) -> tuple[list[tuple[int, int]], dict[int, int]]:
     """(doc_id, label) of the sample, without near copies, and the number of training rows of each label.
 
-    At most ``per_label`` rows of each label, those that come first by a hash of the id.
+    In the order of a hash of the id, a row is taken unless a taken one of its label is a near copy of it (five-word
+    Jaccard of ``ALIKE`` or more), until ``per_label`` of a label are held or the label runs out. The driver holds the
+    shingles of the taken rows; of later rows the executors return only ids that are near to none of those.
     """
     held = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("label"))
     known = stored(docs.select("doc_id").where(train).join(held, "doc_id").distinct(), "toxicity-train")
     taken, totals = first_by_hash(known, "label", per_label)
-    ids = [(r["doc_id"], r["label"]) for r in taken.orderBy("rank", "label").collect()]  # 2 * per_label rows at most
-    texts = docs.where(F.col("doc_id").isin([k for k, _ in ids]))
-    sketches = by_batch(texts, lambda: lambda i, t: [i, [sketch(text_of(x).split()) for x in t]], "doc_id long, s array<long>", "doc_id", "text")
-    found, seen, kept = {r["doc_id"]: r["s"] for r in sketches.collect()}, set(), []
-    for doc_id, label in ids:
-        hashes = set(enumerate(found.get(doc_id, ())))
-        if not hashes & seen:
-            kept.append((doc_id, label))
-        seen |= hashes
-    return kept, totals
+    first = taken.select("doc_id", "label", F.xxhash64("doc_id").alias("h")).collect()  # 2 * per_label rows at most
+    sample = []
+
+    def take(label: int, held: Kept, ids: list[int]) -> None:
+        texts = docs.where(F.col("doc_id").isin(ids))
+        made = by_batch(texts, lambda: lambda i, v, t: [i, v, [shingles(x).tobytes() for x in t]], "doc_id long, version long, s binary", "doc_id", "version", "text")
+        found = {r["doc_id"]: bytes(r["s"]) for r in sorted(made.collect(), key=lambda r: r["version"] or 0, reverse=True)}
+        for doc_id in ids:
+            hashes = np.frombuffer(found[doc_id], np.uint64)
+            if len(held.sets) < per_label and not held.near(hashes):
+                held.add(hashes)
+                sample.append((doc_id, label))
+
+    for label, total in sorted(totals.items()):
+        kept, last, width = Kept(), (-2**63, -2**63), 2 * per_label * 2**64 // total + 1
+        batch = sorted((r["h"], r["doc_id"]) for r in first if r["label"] == label)
+        while True:
+            if batch:
+                take(label, kept, [doc_id for _, doc_id in batch])
+                last = max(last, batch[-1])
+            if len(kept.sets) >= per_label or total <= per_label or last[0] >= 2**63 - 1:
+                break
+            # the next part of the order, twice as wide each time
+            end, width = min(2**63 - 1, last[0] + width), 2 * width
+            h = F.xxhash64("doc_id")
+            part = known.where((F.col("label") == label) & (h <= F.lit(end)) & ((h > F.lit(last[0])) | (h == F.lit(last[0])) & (F.col("doc_id") > F.lit(last[1]))))
+
+            def other(ids, texts, kept=kept):
+                return [[i for i, t in zip(ids, texts) if not kept.near(shingles(t))]]
+
+            left = by_batch(docs.join(part.select("doc_id"), "doc_id", "left_semi"), lambda f=other: f, "doc_id long", "doc_id", "text").distinct()
+            rows = left.select(h.alias("h"), "doc_id").orderBy("h", "doc_id").limit(per_label).collect()
+            batch = [(r["h"], r["doc_id"]) for r in rows]
+            if len(batch) < per_label:
+                last = (end, 2**63 - 1)
+    return sample, totals
 
 
 def vocabulary(docs: DataFrame, sample: list[tuple[int, int]], size: int, least: float) -> list[str]:
@@ -175,7 +216,7 @@ def scored(docs: DataFrame, labels: DataFrame, per_label: int = 1500, size: int
     """One row per document: doc_id, held_out, score, predicted, nearest, similarity, version (a hash of the text).
 
     Examples: at most ``per_label`` documents of each label of ``labels`` (doc_id, toxic), none with
-    crc32(doc_id) mod 5 = 0, near copies taken once. Terms: words and word beginnings that tell the examples' labels
+    crc32(doc_id) mod 5 = 0, near copies within a label taken once and the sample filled up from further rows. Terms: words and word beginnings that tell the examples' labels
     apart (chi-square of ``least``, ``size`` terms at most); their inverse document frequency is over all ``docs``.
     ``nearest`` are the ids of the up to ``k`` nearest examples and ``similarity`` their cosines: the evidence. The
     score is their vote on a curve fitted to the examples (each scored without itself), weighted to the labels' real

@@ -12,10 +12,12 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql.functions import lit
 from tokenizers import Tokenizer
 
 from candlemill.llm import bytebpe, htmltext, langid, packing, quality, tokens, toxicity, urlfilter
+from candlemill.llm.common import versioned
 from candlemill.llm.queries import BLOCKED, QUERIES, RULES, ranks
 
 SF = "/root/testdata/sf0.01"
@@ -199,6 +201,29 @@ def test_block_max_search_is_exact():
         assert np.allclose(cosine, best[best > 0]) and np.allclose(want[near], cosine) and k not in near
 
 
+def test_toxicity_examples_are_greedy_within_a_label(table):
+    """A third of each text is one passage of both labels, and most texts of a label are near copies of a few."""
+    rng = np.random.default_rng(4)
+    passage = [f"p{k}" for k in range(40)]
+    rows = []
+    for i in range(400):
+        own = np.random.default_rng(i % 8 if i % 4 else i).integers(0, 10**6, 80)
+        rows.append((i, i % 2, " ".join([*passage, *(f"w{x}" for x in own), f"t{rng.integers(0, 10**6)}"])))
+    docs = versioned(table([(i, t) for i, _, t in rows], "doc_id long, text string")).select("doc_id", "version", "text")
+    order = [r.doc_id for r in docs.select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").collect()]
+    grams = {i: {tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for i, _, t in rows}
+    for per_label in (20, 90, 1000):
+        want = []
+        for label in (0, 1):
+            kept = []
+            for i in order:
+                if i % 2 == label and len(kept) < per_label and not any(10 * len(grams[i] & grams[k]) >= 8 * len(grams[i] | grams[k]) for k in kept):
+                    kept.append(i)
+            want += [(i, label) for i in kept]
+        got, totals = toxicity.examples(docs, table([(i, y) for i, y, _ in rows], "doc_id long, toxic int"), F.lit(True), per_label)
+        assert sorted(got) == sorted(want) and totals == {0: 200, 1: 200}
+
+
 def test_toxicity_odd_rows(table):
     rows = [(k, "you are an idiot and a moron" if k % 2 else "a nice day with some friends", k % 2) for k in range(200)]
     docs = table([(k, t) for k, t, _ in rows] + [(900, None), (901, ""), (902, "idiot " * 40_000), (None, "moron"), (3, rows[3][1])], "doc_id long, text string")
