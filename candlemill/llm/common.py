@@ -111,3 +111,51 @@ def components(edges: DataFrame, label: str) -> DataFrame:
     roots = stored(roots, label)
     least = roots.groupBy("root").agg(F.min("node").alias("component"))
     return roots.join(least, "root").select("node", "component")
+
+
+def prefix_sums(rows: DataFrame, group: str, order: list[str], value: str, label: str) -> DataFrame:
+    """``rows`` with ``before``, the sum of ``value`` over the earlier rows of the group, and ``total``, that over all of it.
+
+    Rows are sorted by ranges of (group, order), so a large group lies in many tasks; each sums up its own rows, and only
+    a row for each task and group is summed across tasks. Rows that are equal in all of ``order`` may come in any
+    order among themselves. ``value`` is a long that is never null. The columns ``part`` and ``before`` must be free.
+    """
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import LongType, StructType
+
+    spread = rows.withColumn("before", F.rand(7))  # equal rows aren't bound to one task
+    dealt = spread.repartitionByRange(group, *order, "before").sortWithinPartitions(group, *order, "before").drop("before")
+    schema = StructType([*rows.schema.fields]).add("before", LongType()).add("part", LongType())
+    out = to_arrow_schema(schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import numpy as np
+        import pyarrow.compute as pc
+        from pyspark import TaskContext
+
+        part, last, carry = TaskContext.get().partitionId(), None, 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            g, n = batch.column(group), batch.num_rows
+            a, b = g.slice(1), g.slice(0, n - 1)
+            differ = pc.or_(pc.fill_null(pc.not_equal(a, b), False), pc.xor(pc.is_null(a), pc.is_null(b))).to_numpy(zero_copy_only=False)
+            starts = np.concatenate([[True], differ])
+            v = batch.column(value).to_numpy(zero_copy_only=False).astype(np.int64)
+            ahead = np.cumsum(v) - v
+            first = np.flatnonzero(starts)
+            base = ahead[first]
+            if last is not None and last[0] == g[0].as_py():
+                base[0] -= carry
+            before = ahead - base[np.cumsum(starts) - 1]
+            last, carry = (g[n - 1].as_py(),), int(before[-1] + v[-1])
+            columns = [*batch.columns, pa.array(before), pa.array(np.full(n, part))]
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(columns, out)], schema=out)
+
+    local = stored(dealt.mapInArrow(run, schema), label)
+    parts = local.groupBy(group, "part").agg(F.sum(value).alias("n"))
+    earlier = Window.partitionBy(group).orderBy("part")
+    ahead = parts.select(F.col(group).alias("g"), F.col("part").alias("p"), (F.sum("n").over(earlier) - F.col("n")).alias("ahead"),
+                         F.sum("n").over(Window.partitionBy(group)).alias("total"))
+    placed = local.join(ahead, F.col(group).eqNullSafe(F.col("g")) & (F.col("part") == F.col("p")))
+    return placed.withColumn("before", F.col("before") + F.col("ahead")).drop("g", "p", "part", "ahead")

@@ -7,7 +7,7 @@ import tempfile
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import bytebpe, htmltext, langid, linededup, packing, quality, simhash, toxicity, urlfilter, vectors
+from candlemill.llm import bytebpe, htmltext, langid, linededup, mixing, packing, quality, simhash, toxicity, urlfilter, vectors
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -160,3 +160,37 @@ SELECT page_id, host, path, rule,
             WHEN {" OR ".join(f"('.' || host) LIKE '%.{b}'" for b in BLOCKED)} THEN 'block' ELSE 'allow' END AS verdict
 FROM ruled
 """
+
+
+@query
+def op13_mixing(spark, sf_dir):
+    return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op13_mixing"] = r"""
+WITH sized AS (
+    SELECT doc_id, source, CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15)) AS BIGINT) AS key,
+           CAST(coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0) AS BIGINT) AS size
+    FROM documents),
+sums AS (
+    SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+           [5, 2, 1][(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight
+    FROM sized GROUP BY source),
+-- sources are full in the order of 2 * size / weight; level k leaves the first k of them full
+steps AS (
+    SELECT *, row_number() OVER fill AS k, 4 * source_size AS most,
+           3 * sum(source_size) OVER () - coalesce(sum(4 * source_size) OVER (fill ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest,
+           sum(weight) OVER (fill ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS over
+    FROM sums WINDOW fill AS (ORDER BY source_size / weight, source)),
+level AS (SELECT rest, over FROM steps WHERE most * over >= rest * weight ORDER BY k LIMIT 1),
+goals AS (
+    SELECT source, source_size,
+           CASE WHEN most * over_ < rest_ * weight THEN CAST(most AS DOUBLE) / 2 ELSE CAST(rest_ * weight AS DOUBLE) / CAST(2 * over_ AS DOUBLE) END AS target,
+           CASE WHEN most * over_ < rest_ * weight THEN most // 2 ELSE (rest_ * weight) // (2 * over_) END AS budget
+    FROM steps, (SELECT rest AS rest_, over AS over_ FROM level)),
+placed AS (
+    SELECT doc_id, source, size, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id) - size AS before FROM sized)
+SELECT doc_id, size, source_size, target,
+       CAST(budget // source_size * size + greatest(0, least(budget % source_size - before, size)) AS BIGINT) AS taken
+FROM placed JOIN goals ON placed.source IS NOT DISTINCT FROM goals.source
+"""
