@@ -7,7 +7,7 @@ import tempfile
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import bytebpe, htmltext, langid, linededup, mixing, packing, quality, simhash, toxicity, urlfilter, vectors
+from candlemill.llm import bytebpe, htmltext, langid, linededup, mixing, packing, prefixtrie, quality, simhash, toxicity, urlfilter, vectors
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -162,6 +162,46 @@ FROM ruled
 """
 
 
+@query
+def op12_prefix_trie(spark, sf_dir):
+    return prefixtrie.trie(*prefixtrie.spliced(prefixtrie.digested(table(spark, sf_dir, "conversations"))))
+
+
+def crc_sql(text: str) -> str:
+    """CRC-32 of ASCII text in SQL: each byte, then eight shifts (marked -1) through the reversed polynomial."""
+    steps = f"flatten(list_transform(string_split({text}, ''), lambda c: [CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1]))"
+    return (f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {steps}), lambda a, x: "
+            f"CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)")
+
+
+ORACLES["op12_prefix_trie"] = f"""
+WITH turns AS (
+    SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+           row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS k
+    FROM conversations WHERE conv_id IS NOT NULL),
+convs AS (SELECT c, c - c % 5 AS base, CAST({crc_sql("CAST(c AS VARCHAR)")} % 9 AS BIGINT) AS h FROM (SELECT DISTINCT c FROM turns)),
+parts AS (
+    SELECT v.c, 0 AS own, k, role, text FROM convs v JOIN turns t ON t.c = v.base WHERE k <= h
+    UNION ALL SELECT v.c, 1, k, role, text FROM convs v JOIN turns t ON t.c = v.c WHERE k > h),
+rebuilt AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, k) AS d, md5(role || chr(0) || text) AS t, strlen(text) AS bytes FROM parts),
+prefixes AS (SELECT c, d, bytes, string_agg(t, ' ') OVER (PARTITION BY c ORDER BY d) AS p FROM rebuilt
+             UNION ALL SELECT c, 0, 0, '' FROM convs),
+ends AS (SELECT c, max(d) AS last FROM prefixes GROUP BY c),
+nodes AS (
+    SELECT p, d, min(f.c) AS conv_id, count(*) AS n, (count(*) - 1) * any_value(bytes) AS saved,
+           sha256(coalesce(string_agg(CAST(f.c AS VARCHAR), ',' ORDER BY f.c) FILTER (WHERE d = last), '')) AS ends_sha256
+    FROM prefixes f JOIN ends e ON e.c = f.c GROUP BY p, d),
+up AS (SELECT v.p, v.d, u.p AS above FROM nodes v JOIN prefixes u ON u.c = v.conv_id AND u.d = v.d - 1),
+kids AS (SELECT above, count(*) AS n FROM up GROUP BY above),
+full_nodes AS (SELECT v.*, coalesce(k.n, 0) AS n_children FROM nodes v LEFT JOIN kids k ON k.above = v.p),
+sums AS (
+    SELECT u.p, CAST(sum(v.saved) AS BIGINT) AS saved_tokens, CAST(count(*) FILTER (WHERE v.n_children = 0) AS BIGINT) AS n_leaves
+    FROM full_nodes v JOIN prefixes u ON u.c = v.conv_id AND u.d <= v.d GROUP BY u.p)
+SELECT v.conv_id, CAST(v.d AS BIGINT) AS depth, w.conv_id AS parent_conv_id, v.n AS n_convs, v.n_children, n_leaves, saved_tokens, v.ends_sha256
+FROM full_nodes v JOIN sums s ON s.p = v.p LEFT JOIN up ON up.p = v.p LEFT JOIN nodes w ON w.p = up.above
+"""
+
+
 @query
 def op13_mixing(spark, sf_dir):
     return mixing.mixed(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -170,7 +210,8 @@ def op13_mixing(spark, sf_dir):
 ORACLES["op13_mixing"] = r"""
 WITH sized AS (
     SELECT doc_id, source, CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15)) AS BIGINT) AS key,
-           CAST(coalesce(len(regexp_extract_all(text, '[^ 	-]+')), 0) AS BIGINT) AS size
+           CAST(coalesce(len(regexp_extract_all(text, '[^ 	-
+]+')), 0) AS BIGINT) AS size
     FROM documents),
 sums AS (
     SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
