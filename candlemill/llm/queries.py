@@ -7,7 +7,7 @@ import tempfile
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from candlemill.llm import bytebpe, htmltext, langid, linededup, mixing, packing, prefixtrie, quality, simhash, toxicity, urlfilter, vectors
+from candlemill.llm import bytebpe, htmltext, langid, linededup, mixing, packing, prefixtrie, quality, simhash, toxicity, urlfilter, vectorcodes, vectors
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -162,6 +162,47 @@ FROM ruled
 """
 
 
+@query
+def op11_vector_codes(spark, sf_dir):
+    return vectorcodes.compressed(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def codes_sql(rounds: int = 4) -> str:
+    """The rounds written out: assignment by the least (distance, entry), then floored means of whole numbers."""
+    steps = """,
+near{k} AS (
+    SELECT vec_id, p, min(CAST(xx + yy - 2 * list_dot_product(x, y) AS BIGINT) * 256 + e) AS best
+    FROM parts JOIN book{k} USING (p) GROUP BY vec_id, p)"""
+    means = """,
+sums{k} AS (
+    SELECT p, best % 256 AS e, j, CAST(floor(sum(CAST(x[j] AS BIGINT)) / count(*)) AS DOUBLE) AS m
+    FROM near{k} JOIN parts USING (vec_id, p), range(1, 17) t(j) GROUP BY p, e, j),
+means{k} AS (SELECT p, e, list(m ORDER BY j) AS y FROM sums{k} GROUP BY p, e),
+book{n} AS (
+    SELECT p, e, y, list_dot_product(y, y) AS yy
+    FROM (SELECT b.p, b.e, coalesce(m.y, b.y) AS y FROM book{k} b LEFT JOIN means{k} m ON m.p = b.p AND m.e = b.e))"""
+    return """
+WITH kept AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS (SELECT vec_id, p, x, list_dot_product(x, x) AS xx FROM (SELECT vec_id, p, v[p * 16 + 1:p * 16 + 16] AS x FROM kept, range(4) t(p))),
+book0 AS (
+    SELECT p, e, x AS y, xx AS yy FROM (SELECT *, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e FROM parts) WHERE e < 256)""" + "".join(
+        steps.format(k=k) + (means.format(k=k, n=k + 1) if k < rounds else "") for k in range(rounds + 1)) + f""",
+coded AS (
+    SELECT vec_id, string_agg(format('{{:02x}}', best % 256), '' ORDER BY p) AS code, CAST(sum(best // 256) AS BIGINT) AS error
+    FROM near{rounds} GROUP BY vec_id),
+said AS (
+    SELECT sha256(string_agg(CAST(CAST(c AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, j)) AS codebooks_sha256
+    FROM (SELECT p, e, j, y[j] AS c FROM book{rounds}, range(1, 17) t(j)))
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), said
+"""
+
+
+ORACLES["op11_vector_codes"] = codes_sql()
+
+
 @query
 def op12_prefix_trie(spark, sf_dir):
     return prefixtrie.trie(*prefixtrie.spliced(prefixtrie.digested(table(spark, sf_dir, "conversations"))))
