@@ -59,10 +59,22 @@ def versioned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     return docs.withColumns({"doc_id": F.col(f"`{id_col}`").cast("long"), "version": F.xxhash64(F.col(f"`{text_col}`"))})
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores behind it as it takes to differ from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name += "_"
+        out.append(name)
+    return out
+
+
 def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """The documents that ``gone`` (doc_id, version) doesn't name; all rows of an id and text share their fate."""
-    named = gone.select(F.col("doc_id").alias("__doc"), F.col("version").alias("__version")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64("text") == F.col("__version"))
+    d, v = free(docs, "gone_doc", "gone_version")
+    named = gone.select(F.col("doc_id").alias(d), F.col("version").alias(v)).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(d)) & (F.xxhash64("text") == F.col(v))
     return docs.join(named, same, "left_anti")
 
 

@@ -9,8 +9,8 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from candlemill.llm import likeness
-from candlemill.llm.common import by_batch, components, shipped, stored, versioned
+from candlemill.llm.common import by_batch, components, free, shipped, stored, versioned
+from candlemill.llm.likeness import band_keys, links as likeness_links, shingles
 
 shipped(__name__)
 
@@ -44,9 +44,9 @@ def marks(docs: DataFrame, width: int) -> DataFrame:
     """(doc_id, version, fp, node, bands) for every document: the fingerprint, a hash of the shingle set and its bands."""
 
     def step(ids, versions, texts):
-        sets = [likeness.shingles(t) for t in texts]
+        sets = [shingles(t) for t in texts]
         return [ids, versions, [fingerprint(t, width) for t in texts], [xxhash.xxh64_intdigest(s.tobytes()) - 2**63 for s in sets],
-                [likeness.band_keys(s) for s in sets]]
+                [band_keys(s) for s in sets]]
 
     return by_batch(docs, lambda: step, "doc_id long, version long, fp long, node long, bands array<long>", "doc_id", "version", "text")
 
@@ -236,7 +236,7 @@ def near_duplicates(docs: DataFrame, width: int = 3, budget: int = 2, id_col: st
     classes = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("doc")), "simhash-classes")
     edges = links(classes.select("fp", F.col("fp").alias("rep")), budget, **sizes)
     if alike is not None:
-        edges = edges.unionAll(likeness.links(taken, fps, alike))
+        edges = edges.unionAll(likeness_links(taken, fps, alike))
     joined = components(edges, "simhash").select(F.col("node").alias("fp"), F.col("component").alias("group"))
     grouped = stored(joined.join(classes.select("fp", "doc"), "fp"), "simhash-groups")
     least = grouped.groupBy("group").agg(F.min("doc").alias("component_id"))
@@ -254,4 +254,5 @@ def keep_one(docs: DataFrame, width: int = 3, budget: int = 2, alike: float | No
     Null ids and rows that repeat a kept one stay.
     """
     found = near_duplicates(docs, width, budget, alike=alike).where("NOT kept AND doc_id IS NOT NULL AND component_id IS NOT NULL")
-    return docs.join(found.select(F.col("doc_id").alias("__doc")).distinct(), F.col("doc_id").cast("long") == F.col("__doc"), "left_anti")
+    (d,) = free(docs, "gone_doc")
+    return docs.join(found.select(F.col("doc_id").alias(d)).distinct(), F.col("doc_id").cast("long") == F.col(d), "left_anti")

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from candlemill.llm.common import by_batch, first_by_hash, shipped, stored, versioned, without
@@ -18,6 +19,9 @@ shipped(__name__)
 EDGE = ".,;:!?'\"()[]{}-_/\\#*$%&|<>"
 STEMS = range(4, 10)  # the beginning of so many characters of a longer word is a term too
 ALIKE = 0.8  # five-word Jaccard of near copies
+FEW = 10_000  # ids that go to the tasks with the plan
+TASK = 8192  # documents that a task searches for
+SPAN = 512  # terms whose counts travel together
 
 
 def terms_of(word: str) -> tuple[str, ...]:
@@ -61,8 +65,8 @@ def examples(docs: DataFrame, labels: DataFrame, train: F.Column, per_label: int
     """
     held = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").alias("label"))
     known = stored(docs.select("doc_id").where(train).join(held, "doc_id").distinct(), "toxicity-train")
-    taken, totals = first_by_hash(known, "label", per_label)
-    first = taken.select("doc_id", "label", F.xxhash64("doc_id").alias("h")).collect()  # 2 * per_label rows at most
+    taken, totals = first_by_hash(known, "label", 2 * per_label)
+    first = taken.select("doc_id", "label", F.xxhash64("doc_id").alias("h")).collect()  # 4 * per_label rows at most
     sample = []
 
     def take(label: int, held: Kept, ids: list[int]) -> None:
@@ -75,48 +79,90 @@ def examples(docs: DataFrame, labels: DataFrame, train: F.Column, per_label: int
                 held.add(hashes)
                 sample.append((doc_id, label))
 
+    h = F.xxhash64("doc_id")
     for label, total in sorted(totals.items()):
-        kept, last, width = Kept(), (-2**63, -2**63), 2 * per_label * 2**64 // total + 1
+        kept, last, width = Kept(), (-2**63, -2**63), 4 * per_label * 2**64 // total + 1
         batch = sorted((r["h"], r["doc_id"]) for r in first if r["label"] == label)
         while True:
-            if batch:
-                take(label, kept, [doc_id for _, doc_id in batch])
-                last = max(last, batch[-1])
-            if len(kept.sets) >= per_label or total <= per_label or last[0] >= 2**63 - 1:
+            for at in range(0, len(batch), per_label):
+                if len(kept.sets) < per_label:
+                    take(label, kept, [doc_id for _, doc_id in batch[at:at + per_label]])
+            last = max([last, *batch[-1:]])
+            if len(kept.sets) >= per_label or total <= 2 * per_label or last[0] >= 2**63 - 1:
                 break
             # the next part of the order, twice as wide each time
             end, width = min(2**63 - 1, last[0] + width), 2 * width
-            h = F.xxhash64("doc_id")
-            part = known.where((F.col("label") == label) & (h <= F.lit(end)) & ((h > F.lit(last[0])) | (h == F.lit(last[0])) & (F.col("doc_id") > F.lit(last[1]))))
+            inside = (h <= F.lit(end)) & ((h > F.lit(last[0])) | (h == F.lit(last[0])) & (F.col("doc_id") > F.lit(last[1])))
+            part = known.where((F.col("label") == label) & inside).select("doc_id")
+            # few ids are looked up where the texts are read; of more, only the same part of the order is shuffled
+            few = part.limit(FEW + 1).collect()
+            texts = docs.where(train & inside)
+            texts = texts.where(F.col("doc_id").isin([r["doc_id"] for r in few])) if len(few) <= FEW else texts.join(part, "doc_id", "left_semi")
 
             def other(ids, texts, kept=kept):
                 return [[i for i, t in zip(ids, texts) if not kept.near(shingles(t))]]
 
-            left = by_batch(docs.join(part.select("doc_id"), "doc_id", "left_semi"), lambda f=other: f, "doc_id long", "doc_id", "text").distinct()
-            rows = left.select(h.alias("h"), "doc_id").orderBy("h", "doc_id").limit(per_label).collect()
+            rows = by_batch(texts, lambda f=other: f, "doc_id long", "doc_id", "text").distinct().select(h.alias("h"), "doc_id").orderBy("h", "doc_id").limit(per_label).collect()
             batch = [(r["h"], r["doc_id"]) for r in rows]
             if len(batch) < per_label:
                 last = (end, 2**63 - 1)
     return sample, totals
 
 
-def vocabulary(docs: DataFrame, sample: list[tuple[int, int]], size: int, least: float) -> list[str]:
-    """The terms that tell the labels apart best by chi-square over the sample, ``least`` or more; ``size`` at most."""
-    toxic = [k for k, label in sample if label]
-    texts = docs.where(F.col("doc_id").isin([k for k, _ in sample]))
+def telling(a: F.Column, b: F.Column, n1: int, n0: int) -> F.Column:
+    """How many standard errors lie between a term's rates in two groups of n1 and n0 texts, of which a and b have it.
 
-    def step(ids, texts):
-        rows = [(i, t) for i, x in zip(ids, texts) for t in {t for w in set(text_of(x).split()) for t in terms_of(w)}]
-        return [[i for i, _ in rows], [t for _, t in rows]]
-
-    seen = by_batch(texts, lambda: step, "doc_id long, term string", "doc_id", "text")
-    n1, n0 = len(toxic), len(sample) - len(toxic)
-    a, b = F.col("a"), F.col("b")
-    chi = (n1 + n0) * (a * (n0 - b) - b * (n1 - a)) ** 2 / ((a + b) * (n1 + n0 - a - b) * n1 * n0 + 1e-9)
-    counts = seen.groupBy("term").agg(F.count(F.when(F.col("doc_id").isin(toxic), 1)).cast("double").alias("a"),
-                                      F.count(F.when(~F.col("doc_id").isin(toxic), 1)).cast("double").alias("b"))
-    best = counts.withColumn("chi", chi).where((F.col("chi") >= least) & (a + b >= 3)).orderBy(F.desc("chi"), "term").limit(size)
-    return ["~", *(r["term"] for r in best.collect())]
+    Each rate has the error of its own group, so a term that one group alone has is judged by how many of that group have
+    it, whatever the other group's size.
+    """
+    p, q = (a + 0.5) / (n1 + 1), (b + 0.5) / (n0 + 1)
+    return F.abs(p - q) / F.sqrt(p * (1 - p) / n1 + q * (1 - q) / n0)
+
+
+def vocabulary(docs: DataFrame, sample: list[tuple[int, int]], least: float) -> list[str]:
+    """All terms of the sample whose rates in the two labels lie ``least`` standard errors or more apart, and "~"."""
+    label = dict(sample)
+    texts = docs.where(F.col("doc_id").isin(list(label)))
+
+    def count(batches):
+        """How many toxic and other texts have a term, in one task."""
+        have = (Counter(), Counter())
+        for batch in batches:
+            for i, x in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                have[label[i]].update({t for w in set(text_of(x).split()) for t in terms_of(w)})
+        terms = list(have[0] | have[1])
+        for at in range(0, len(terms), 10_000):
+            some = terms[at:at + 10_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.string()), *(pa.array([have[k][t] for t in some], pa.int64()) for k in (1, 0))], names=["term", "a", "b"])
+
+    seen = texts.select("doc_id", F.col("text").cast("binary")).mapInArrow(count, "term string, a long, b long")
+    n1, n0 = sum(label.values()), len(label) - sum(label.values())
+    both = seen.where("term <> '~'").groupBy("term").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    return ["~", *sorted(r["term"] for r in both.where(telling(F.col("a"), F.col("b"), n1, n0) >= least).select("term").collect())]
+
+
+def frequencies(rows: DataFrame, size: int) -> tuple[np.ndarray, int]:
+    """In how many rows each of ``size`` terms occurs, and the number of rows; a task sends one count for each term."""
+
+    def count(batches):
+        seen, n = np.zeros(size, np.int64), 0
+        for batch in batches:
+            n += batch.num_rows
+            seen += np.bincount(batch.column(0).flatten().to_numpy(), minlength=size)
+        counts = np.append(seen, n)
+        for at in range(0, size + 1, SPAN):
+            part = counts[at:at + SPAN]
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([part.astype("<i8").tobytes()])], names=["at", "counts"])
+
+    def add(key, pdf):
+        return pd.DataFrame({"at": [key[0]], "counts": [np.sum([np.frombuffer(c, "<i8") for c in pdf["counts"]], axis=0).tobytes()]})
+
+    total = np.zeros(size + 1, np.int64)
+    for r in rows.select("terms").mapInArrow(count, "at int, counts binary").groupBy("at").applyInPandas(add, "at int, counts binary").collect():
+        part = np.frombuffer(r["counts"], "<i8")
+        total[r["at"]:r["at"] + len(part)] = part
+    return total[:-1], int(total[-1])
 
 
 def vectors(docs: DataFrame, terms: list[str]) -> DataFrame:
@@ -212,12 +258,13 @@ def logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]
     return float(b[0]), float(b[1])
 
 
-def scored(docs: DataFrame, labels: DataFrame, per_label: int = 1500, size: int = 4096, least: float = 15.0, k: int = 15) -> DataFrame:
+def scored(docs: DataFrame, labels: DataFrame, per_label: int = 1500, least: float = 2.5, k: int = 15) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted, nearest, similarity, version (a hash of the text).
 
     Examples: at most ``per_label`` documents of each label of ``labels`` (doc_id, toxic), none with
-    crc32(doc_id) mod 5 = 0, near copies within a label taken once and the sample filled up from further rows. Terms: words and word beginnings that tell the examples' labels
-    apart (chi-square of ``least``, ``size`` terms at most); their inverse document frequency is over all ``docs``.
+    crc32(doc_id) mod 5 = 0, near copies within a label taken once and the sample filled up from further rows. Terms: all words and word beginnings of the examples whose
+    rates in the two labels lie ``least`` standard errors or more apart; how many examples the other label has doesn't
+    weigh in that. Their inverse document frequency is over all ``docs``.
     ``nearest`` are the ids of the up to ``k`` nearest examples and ``similarity`` their cosines: the evidence. The
     score is their vote on a curve fitted to the examples (each scored without itself), weighted to the labels' real
     shares. The sample, terms and index are bounded by the parameters; every text is scored whole.
@@ -235,11 +282,10 @@ def scored(docs: DataFrame, labels: DataFrame, per_label: int = 1500, size: int
         only = float(sample[0][1]) if sample else 0.0
         return docs.select("doc_id", held_out, F.lit(only).alias("score"), F.lit(int(only >= 0.5)).alias("predicted"),
                            F.lit(None).cast("array<bigint>").alias("nearest"), F.lit(None).cast("array<double>").alias("similarity"), "version")
-    terms = vocabulary(docs, sample, size, least)
+    terms = vocabulary(docs, sample, least)
     rows = stored(vectors(docs, terms), "toxicity-vectors")
-    seen = {r["term"]: r["n"] for r in rows.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count("*").alias("n")).collect()}
-    total = rows.count()
-    idf = np.array([math.log((1 + total) / (1 + seen.get(t, 0))) + 1 for t in range(len(terms))])
+    seen, total = frequencies(rows, len(terms))
+    idf = np.log((1 + total) / (1 + seen)) + 1
     own = {r["doc_id"]: r for r in rows.where(F.col("doc_id").isin([i for i, _ in sample])).collect()}
     # examples with the same leading term stand together, so a block's greatest weights are close to all its weights
     ready = sorted(((i, label, own[i]["terms"], weighed(own[i]["terms"], own[i]["counts"], idf)) for i, label in sample if i in own),
@@ -266,7 +312,8 @@ def scored(docs: DataFrame, labels: DataFrame, per_label: int = 1500, size: int
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "version": pdf["version"], "score": score, "predicted": (score >= 0.5).astype(np.int32),
                                 "nearest": pd.Series(nearest, dtype=object), "similarity": pd.Series(similarity, dtype=object)})
 
-    made = rows.mapInPandas(judge, "doc_id long, version long, score double, predicted int, nearest array<long>, similarity array<double>")
+    # a few numbers a row make few partitions of a large table: searching takes more time than reading
+    made = rows.repartition(max(1, -(-total // TASK))).mapInPandas(judge, "doc_id long, version long, score double, predicted int, nearest array<long>, similarity array<double>")
     return made.select("doc_id", held_out, "score", "predicted", "nearest", "similarity", "version")
 
 

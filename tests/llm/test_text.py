@@ -224,6 +224,77 @@ def test_toxicity_examples_are_greedy_within_a_label(table):
         assert sorted(got) == sorted(want) and totals == {0: 200, 1: 200}
 
 
+def plain_toxicity(rows, labels, k=15):
+    """Scores of (doc_id, text) rows in plain Python: sample, terms, weights, cosines with all examples, votes, curve."""
+    def terms(text):
+        words = [w for x in text.split() if (w := x.lower().strip(toxicity.EDGE))]
+        return collections.Counter(t for w in words for t in ("~", w, *(w[:n] + "~" for n in range(4, 10) if len(w) > n)))
+
+    counts = {i: terms(t) for i, t in rows}
+    grams = {i: {tuple(w[n:n + 5]) for n in range(max(1, len(w) - 4))} if (w := t.lower().split()) else set() for i, t in rows}
+    sample = []
+    for label in (0, 1):
+        kept = []
+        for i, _ in rows:
+            if labels.get(i) == label and zlib.crc32(str(i).encode()) % 5 and not any(10 * len(grams[i] & grams[x]) >= 8 * len(grams[i] | grams[x]) for x in kept):
+                kept.append(i)
+        sample += [(i, label) for i in kept]
+    n1, n0 = sum(y for _, y in sample), sum(1 - y for _, y in sample)
+    have = [collections.Counter(t for i, y in sample if y == side for t in counts[i]) for side in (1, 0)]
+    used = {"~"}
+    for t in have[0] | have[1]:
+        p, q = (have[0][t] + 0.5) / (n1 + 1), (have[1][t] + 0.5) / (n0 + 1)
+        if abs(p - q) >= 2.5 * (p * (1 - p) / n1 + q * (1 - q) / n0) ** 0.5:
+            used.add(t)
+    names = sorted(used)
+    matrix = np.array([[counts[i][t] for t in names] for i, _ in rows], float)
+    idf = np.log((1 + len(rows)) / (1 + (matrix > 0).sum(axis=0))) + 1
+    matrix = np.where(matrix > 0, 1 + np.log(np.maximum(matrix, 1)), 0) * idf
+    matrix /= np.maximum(np.sqrt((matrix ** 2).sum(axis=1, keepdims=True)), 1e-300)
+    at = {i: n for n, (i, _) in enumerate(rows)}
+    truth = np.array([y for _, y in sample], float)
+    cosine = matrix @ matrix[[at[i] for i, _ in sample]].T
+
+    def vote(row, without=None):
+        row = row.copy()
+        if without is not None:
+            row[without] = 0
+        least = np.sort(row)[::-1][:k].min()
+        w = np.where((row >= max(least, 1e-12)), row ** 2, 0)
+        return (w * truth).sum() / w.sum() if w.sum() else 0.0, (np.abs(row - least) < 1e-9).sum() > 1 and least > 0
+
+    own = [vote(cosine[at[i]], n)[0] for n, (i, _) in enumerate(sample)]
+    known = [y for i, y in labels.items() if zlib.crc32(str(i).encode()) % 5]
+    share = np.mean(known)
+    slope, base = toxicity.logistic(np.array(own), truth, np.where(truth == 1, share / truth.sum(), (1 - share) / (1 - truth).sum()) * len(truth))
+    return {i: (1 / (1 + np.exp(-(slope * v + base))), tied) for (i, _), (v, tied) in zip(rows, map(vote, cosine))}
+
+
+def test_toxicity_is_brute_force(table):
+    rng = np.random.default_rng(12)
+    rows, labels = [], {}
+    for i in range(200):
+        words = [f"w{x}" for x in rng.integers(0, 25, rng.integers(30, 90)) + rng.integers(0, 12) * (i % 5 == 0)]
+        rows.append((i, " ".join(words)))
+        if i < 150:
+            labels[i] = int(i % 5 == 0)
+    order = {r.id: k for k, r in enumerate(table([(i,) for i, _ in rows], "id long").orderBy(F.xxhash64("id"), "id").collect())}
+    want = plain_toxicity(sorted(rows, key=lambda r: order[r[0]]), labels)
+    got = toxicity.scored(table(rows, "doc_id long, text string"), table(list(labels.items()), "doc_id long, toxic int")).collect()
+    clear = [r for r in got if not want[r.doc_id][1]]  # else neighbours are tied at the edge
+    assert len(got) == 200 and len(clear) > 120 and all(abs(r.score - want[r.doc_id][0]) < 1e-6 for r in clear)
+
+
+def test_toxicity_of_few_examples(table):
+    """Twelve labelled texts of clearly different words are enough, and the terms don't depend on how many clean ones there are."""
+    toxic, clean = ["you idiot and moron", "an idiot is a moron", "moron or idiot", "idiot moron scum", "such an idiot moron", "moron idiot you"], ["a nice day out"] * 60
+    for many in (6, 60):
+        rows = [(2 * k, t + f" x{k}") for k, t in enumerate(toxic * 2)] + [(2 * k + 1, t + f" y{k}") for k, t in enumerate(clean[:many] * 2)]
+        docs, labels = table(rows + [(9001, "what a moron"), (9002, "a nice place")], "doc_id long, text string"), table([(i, 1 - i % 2) for i, _ in rows], "doc_id long, toxic int")
+        got = {r.doc_id: r.predicted for r in toxicity.scored(docs, labels).collect()}
+        assert got[9001] == 1 and got[9002] == 0
+
+
 def test_toxicity_odd_rows(table):
     rows = [(k, "you are an idiot and a moron" if k % 2 else "a nice day with some friends", k % 2) for k in range(200)]
     docs = table([(k, t) for k, t, _ in rows] + [(900, None), (901, ""), (902, "idiot " * 40_000), (None, "moron"), (3, rows[3][1])], "doc_id long, text string")
