@@ -45,16 +45,16 @@ lines AS (
     SELECT doc_id, CAST(k AS INTEGER) AS line, parts[k] AS raw,
            list_filter(regexp_split_to_array(parts[k], '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
     FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS k FROM split)),
-long AS (SELECT doc_id, line, len(words) AS n, words, md5(array_to_string(words, ' ')) AS h FROM lines WHERE len(words) >= 5),
+long AS (SELECT doc_id, line, len(words) AS n, words, md5(array_to_string(words, ' ')) AS h FROM lines WHERE len(words) > 0),
 firsts AS (SELECT h, min({'d': doc_id, 'l': line}) AS place, arg_min(words, doc_id) AS words, any_value(n) AS n FROM long GROUP BY h),
 cuts AS (
     SELECT h, place, i, md5(array_to_string(words[:i - 1] || words[i + 1:], ' ')) AS v
-    FROM (SELECT h, place, words, unnest(range(1, n + 1)) AS i FROM firsts)),
+    FROM (SELECT h, place, words, unnest(range(1, n + 1)) AS i FROM firsts WHERE n >= 5)),
 same AS (SELECT v, i, min(place) AS least FROM cuts GROUP BY v, i HAVING count(*) > 1),
 pairs AS (
     SELECT c.h, c.place, s.least FROM cuts c JOIN same s ON c.v = s.v AND c.i = s.i
-    UNION ALL SELECT c.h, c.place, f.place FROM cuts c JOIN firsts f ON c.v = f.h
-    UNION ALL SELECT f.h, f.place, c.place FROM cuts c JOIN firsts f ON c.v = f.h),
+    UNION ALL SELECT c.h, c.place, f.place FROM cuts c JOIN firsts f ON c.v = f.h AND f.n >= 5
+    UNION ALL SELECT f.h, f.place, c.place FROM cuts c JOIN firsts f ON c.v = f.h AND f.n >= 5),
 near AS (SELECT DISTINCT h FROM pairs WHERE least < place),
 told AS (
     SELECT l.doc_id, l.line, n.h IS NOT NULL AS near, f.place < {'d': l.doc_id, 'l': l.line} AS copy
