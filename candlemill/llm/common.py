@@ -167,7 +167,8 @@ def prefix_sums(rows: DataFrame, group: str, order: list[str], value: str, label
     local = stored(dealt.mapInArrow(run, schema), label)
     parts = local.groupBy(group, "part").agg(F.sum(value).alias("n"))
     earlier = Window.partitionBy(group).orderBy("part")
-    ahead = parts.select(F.col(group).alias("g"), F.col("part").alias("p"), (F.sum("n").over(earlier) - F.col("n")).alias("ahead"),
-                         F.sum("n").over(Window.partitionBy(group)).alias("total"))
-    placed = local.join(ahead, F.col(group).eqNullSafe(F.col("g")) & (F.col("part") == F.col("p")))
-    return placed.withColumn("before", F.col("before") + F.col("ahead")).drop("g", "p", "part", "ahead")
+    g, p, ahead = free(local, "sum_group", "sum_part", "sum_ahead")
+    sums = parts.select(F.col(group).alias(g), F.col("part").alias(p), (F.sum("n").over(earlier) - F.col("n")).alias(ahead),
+                        F.sum("n").over(Window.partitionBy(group)).alias("total"))
+    placed = local.join(sums, F.col(group).eqNullSafe(F.col(g)) & (F.col("part") == F.col(p)))
+    return placed.withColumn("before", F.col("before") + F.col(ahead)).drop(g, p, "part", ahead)

@@ -201,7 +201,7 @@ def owned(tree: dict, book: np.ndarray, each: bool) -> tuple[np.ndarray, np.ndar
 def read_tree(t: dict, width: int) -> dict:
     """A tree as arrays, from a row of the table of blocks."""
     out = {k: np.asarray(t[k]) for k in ("lo", "hi", "level", "radius", "order")}
-    return out | {k: np.frombuffer(t[k], "<i8").reshape(-1, width) for k in ("points", "sums")}
+    return out | {k: np.frombuffer(t[k], "<i8").reshape(len(out[n]), width) for k, n in (("points", "order"), ("sums", "lo"))}
 
 
 def kept_rows(vectors: DataFrame, id_col: str, vector_col: str, label_col: str | None, scale: int) -> DataFrame:

@@ -20,7 +20,7 @@ def test_query_matches_sql(spark, name):
 
 def test_one_query_for_each_operator():
     numbers = sorted(int(m[1]) for name in entry.queries() if (m := re.match(r"op(\d+)_", name)))
-    assert numbers == list(range(1, 11)) and "pipeline" in entry.queries()
+    assert numbers == list(range(1, 14)) and "pipeline" in entry.queries()
 
 
 @pytest.mark.parametrize("name, rows", [("op3_main_text", "pages"), ("op5_quality", "documents"), ("op9_language", "documents"), ("op10_toxicity", "documents")])
