@@ -97,3 +97,29 @@ def prefix_max(df: DataFrame, keys: list[str], order: list[str], value: Column,
         .withColumn(name, F.greatest("_inside", "_carry"))
         .select(*df.columns, name)
     )
+
+
+def bounded_count(df: DataFrame, keys: list[str], order: list[str], delta: Column, before: str, after: str,
+                  chunk: Column) -> DataFrame:
+    """Add a running sum of ``delta`` that never falls below zero: its value ``before`` and ``after`` each row.
+
+    A step that would go below zero ends at zero. The value is the plain running sum less the least value that sum has
+    had so far (if that is below zero), so chunks need only carry their sum and their least running sum. ``chunk`` must
+    not decrease along ``order``, which must be unique within a key.
+    """
+    rows = df.withColumns({"_delta": delta.cast("long"), CHUNK: chunk})
+    upto = Window.partitionBy(*keys, CHUNK).orderBy(*order)
+    earlier = upto.rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.withColumn("_sum", F.sum("_delta").over(upto)).withColumn("_low", F.min("_sum").over(earlier))
+    across = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
+    chunks = (
+        sums.groupBy(*keys, CHUNK).agg(F.sum("_delta").alias("_total"), F.min("_sum").alias("_least"))
+        .withColumn("_base", F.coalesce(F.sum("_total").over(across), F.lit(0)))
+        .withColumn("_floor", F.least(F.min(F.col("_base") + F.col("_least")).over(across), F.lit(0)))
+        .select(*keys, CHUNK, (F.col("_base") - F.coalesce("_floor", F.lit(0))).alias("_carry")))
+    here = F.col("_sum") - F.col("_delta")
+    value = F.greatest(F.col("_carry") + here, here - F.least(F.coalesce("_low", F.lit(0)), F.lit(0)))
+    return (
+        sums.join(chunks, [*keys, CHUNK]).withColumn(before, value)
+        .withColumn(after, F.greatest(F.col(before) + F.col("_delta"), F.lit(0)))
+        .select(*df.columns, before, after))

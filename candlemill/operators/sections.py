@@ -117,6 +117,43 @@ def suppress_held(events: DataFrame, holds: DataFrame, requeue: bool = False) ->
         "published_ms", F.coalesce("to_ms", "published_ms")).select(*events.columns)
 
 
+HOLD, RELEASE = "hold", "release"
+# a command takes effect before an event of the same millisecond
+_HOLD_ORDER = ["at_ms", "_event", "seq"]
+
+
+def held_keys(commands: DataFrame, chunk_ms: int = tg.DAY_MS) -> DataFrame:
+    """How many holders each key has before and after every command, as ``before`` and ``after``.
+
+    ``commands``: ``symbol, interval, at_ms, seq, command``. Every hold counts one more, every release one less; a release
+    of a key that nobody holds does nothing. Keys are told apart without regard to the symbol's case.
+    """
+    rows = commands.withColumn("symbol", F.upper("symbol"))
+    step = F.when(F.col("command") == HOLD, 1).when(F.col("command") == RELEASE, -1).otherwise(0)
+    return ordered.bounded_count(rows, ["symbol", "interval"], ["at_ms", "seq"], step, "before", "after",
+                                 tg.whole(F.col("at_ms"), chunk_ms))
+
+
+def suppress_counted(events: DataFrame, commands: DataFrame, chunk_ms: int = tg.DAY_MS) -> DataFrame:
+    """Drop events published while any key of their interval has a holder.
+
+    A sweep over commands and events: a key that gets its first holder adds one to its interval's held keys, one that
+    loses its last takes one away, and an event goes if the sum before it isn't zero. Derive events of coarser intervals
+    from what is left, so that they go with their base event.
+    """
+    keys = held_keys(commands, chunk_ms)
+    turn = F.when((F.col("before") == 0) & (F.col("after") == 1), 1).when((F.col("before") == 1) & (F.col("after") == 0), -1)
+    turns = keys.withColumn("_turn", turn).where(F.col("_turn").isNotNull()).select(
+        "interval", "at_ms", "seq", F.col("symbol").alias("_by"), "_turn", F.lit(0).alias("_event"))
+    asked = events.withColumn("_row", F.struct(*events.columns)).select(
+        "interval", F.col("published_ms").alias("at_ms"), F.col("timestamp").alias("seq"), F.lit("").alias("_by"),
+        F.lit(0).alias("_turn"), F.lit(1).alias("_event"), "_row")
+    both = turns.unionByName(asked, allowMissingColumns=True)
+    told = ordered.bounded_count(both, ["interval"], [*_HOLD_ORDER, "_by"], F.col("_turn"), "_held", "_left",
+                                 tg.whole(F.col("at_ms"), chunk_ms))
+    return told.where((F.col("_event") == 1) & (F.col("_held") == 0)).select("_row.*")
+
+
 def section_latency(events: DataFrame, universe_size: int, steps: dict[str, int]) -> DataFrame:
     """Delay between a section's close and its event, and how much of the market it holds."""
     step = F.create_map(*[F.lit(x) for pair in steps.items() for x in pair])[F.col("interval")]

@@ -67,6 +67,37 @@ def section_stream(closed: DataFrame, universe: DataFrame | None, timeout_ms: in
         P.SectionReady(timeout_ms, retention_ms), P.SectionReady.schema, "Append", clock)
 
 
+def gate_input(events: DataFrame, commands: DataFrame) -> DataFrame:
+    """Section events and hold commands (``symbol, interval, at_ms, seq, command``) as the one input of a gate."""
+    nothing = {"symbols_count": F.lit(None).cast("long"), "reason": F.lit(None).cast("string"), "timestamp": F.lit(None).cast("long")}
+    told = commands.select("interval", F.col("command").alias("kind"), "symbol", "at_ms", "seq", *[c.alias(n) for n, c in nothing.items()])
+    made = events.select("interval", F.lit("event").alias("kind"), F.lit(None).cast("string").alias("symbol"),
+                         F.col("published_ms").alias("at_ms"), F.col("timestamp").alias("seq"), "symbols_count", "reason", "timestamp")
+    return told.unionByName(made)
+
+
+def hold_stream(rows: DataFrame) -> DataFrame:
+    """The events of ``gate_input`` that no held key of their interval suppresses."""
+    use_rocksdb_state(rows.sparkSession)
+    return rows.groupBy("interval").transformWithState(P.HoldGate(), P.HoldGate.schema, "Append", "None")
+
+
+def rebuild_input(closed: DataFrame, rebuilds: DataFrame) -> DataFrame:
+    """Closed bars and rebuild commands (``symbol, bars, arrival_ms, seq``; bars as in a rolling window) as one input."""
+    kind = dict(rebuilds.dtypes)["bars"]
+    names = ("open_ms", *S.PRICES, *S.VOLUMES, "trade_count", "arrival_ms", "seq")
+    bars = closed.select("symbol", *names, F.lit(None).cast(kind).alias("stored"))
+    # a rebuild without bars clears the window
+    told = rebuilds.select("symbol", "arrival_ms", "seq", F.coalesce("bars", F.array().cast(kind)).alias("stored"))
+    return bars.unionByName(told, allowMissingColumns=True)
+
+
+def rebuild_stream(rows: DataFrame, size: int = 200) -> DataFrame:
+    """Changed windows after each batch of ``rebuild_input``."""
+    use_rocksdb_state(rows.sparkSession)
+    return rows.groupBy("symbol").transformWithState(P.RebuiltWindow(size), P.RebuiltWindow.schema, "Update", "None")
+
+
 def stream_rollup(events: DataFrame, interval: str, late: str = "10 minutes") -> DataFrame:
     """Preview bars straight from closed 1m bars; the refresh job stays authoritative.
 

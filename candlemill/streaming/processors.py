@@ -189,3 +189,80 @@ class SectionReady(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class HoldGate(StatefulProcessor):
+    """Pass on section events of an interval while none of its keys is held.
+
+    One input carries hold and release commands and events. The state counts the holders of each held key, so holds that
+    overlap add up and a release without a hold does nothing. A batch is gone through in the order of its times,
+    commands first.
+    """
+
+    schema = "interval string, timestamp long, symbols_count long, reason string, published_ms long"
+
+    def init(self, handle) -> None:
+        self.holders = handle.getMapState("holders", "symbol string", "n long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        holders = {k[0]: n[0] for k, n in self.holders.iterator()} if self.holders.exists() else {}
+        known = dict(holders)
+        for row in sorted(rows, key=lambda r: (r.at_ms, r.kind == "event", r.seq)):
+            if row.kind == "event":
+                if not holders:
+                    yield Row(interval=key[0], timestamp=row.timestamp, symbols_count=row.symbols_count,
+                              reason=row.reason, published_ms=row.at_ms)
+                continue
+            symbol = row.symbol.upper()
+            n = holders.get(symbol, 0) + (1 if row.kind == "hold" else -1)
+            if n > 0:
+                holders[symbol] = n
+            else:
+                holders.pop(symbol, None)
+        for symbol in known.keys() - holders.keys():
+            self.holders.removeKey((symbol,))
+        for symbol, n in holders.items():
+            if known.get(symbol) != n:
+                self.holders.updateValue((symbol,), (n,))
+
+    def close(self) -> None:
+        pass
+
+
+class RebuiltWindow(StatefulProcessor):
+    """Rolling windows that a command may replace while the feed runs.
+
+    A row with ``stored`` (not null) is a rebuild: the window becomes its newest ``size`` bars, none if it is empty. A row
+    without it is a closed bar, which enters if it is newer than the head. Both are taken in the order of arrival, so the
+    feed joins a rebuilt window without a seam. Every change gives the whole window, an empty one if it was cleared.
+    """
+
+    schema = f"symbol string, bars array<struct<{_STATE_BAR.replace(' ', ':').replace(',:', ',')}>>"
+
+    def __init__(self, size: int = 200):
+        self.size = size
+
+    def init(self, handle) -> None:
+        self.bars = handle.getListState("bars", _STATE_BAR)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        window = [tuple(bar) for bar in self.bars.get()] if self.bars.exists() else []
+        changed = False
+        for row in sorted(rows, key=_arrival_order):
+            if row.stored is not None:
+                window = sorted((tuple(bar[n] for n in _BAR_NAMES) for bar in row.stored), reverse=True)[:self.size]
+            elif not window or row.open_ms > window[0][0]:
+                window = [tuple(row[name] for name in _ROW_NAMES), *window][:self.size]
+            else:
+                continue
+            changed = True
+        if not changed:
+            return
+        if window:
+            self.bars.put(window)
+        else:
+            self.bars.clear()
+        yield Row(symbol=key[0], bars=[Row(**dict(zip(_BAR_NAMES, bar))) for bar in window])
+
+    def close(self) -> None:
+        pass

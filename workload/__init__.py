@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from workload import (  # noqa: F401  (importing registers the queries)
-    landing, versions, rollups, quality, series, joins, repair, streams,
+    landing, versions, rollups, quality, series, joins, repair, streams, live,
 )
 from workload.base import ORACLES, QUERIES
 
