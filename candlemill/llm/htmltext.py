@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -30,6 +31,9 @@ WEIGHT = {"article": 3, "main": 2, "body": 0.7, "html": 0.5, "": 0.4}
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.S)
 NAMED = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|\d+")
+# a name that begins so tells what stands beside or inside an element, not what it is
+BESIDE = re.compile(r"(?:with|without|has|have|no|not|is|show|hide|after|before|above|below|js)[-_]", re.I)
+ENOUGH = 0.2  # part of a page's running text that is main text, if it is to be found at all
 
 
 def names_of(attributes: str) -> tuple[set[str], str]:
@@ -37,7 +41,7 @@ def names_of(attributes: str) -> tuple[set[str], str]:
     words, classes = set(), ""
     for kind, *values in NAMED.findall(attributes):
         value = html.unescape("".join(values))
-        words.update(w.lower() for w in WORD.findall(value))
+        words.update(w.lower() for name in value.split() if not BESIDE.match(name) for w in WORD.findall(name))
         if kind.lower() == "class":
             classes = "".join("." + c for c in sorted(re.sub(r"\d+", "#", value.lower()).split()))
     return words, classes
@@ -48,16 +52,20 @@ class Page:
 
     ``tags``, ``paths`` and ``parents`` are by element, 0 being the page itself; ``text`` is a list of (element, string,
     in a link). A string of one space parts two blocks.
+
+    An element is boilerplate by its tag or by a word in its class, id or role. If what is left has little of the page's
+    running text, such a name is taken to be wrong on elements that hold an article (or main) or two thirds of that text.
     """
 
     def __init__(self, source: str):
         self.tags, self.paths, self.parents, self.text = [""], [""], [-1], []
-        stack, hidden, links, at = [(0, "", False)], 0, 0, 0
+        self.flags = [False]  # by element, whether its own name is one of boilerplate
+        stack, links, at = [(0, "")], 0, 0
         for token in TOKEN.finditer(source):
             begin, end = token.span()
             if begin < at:
                 continue  # inside a raw element
-            if begin > at and not hidden:
+            if begin > at:
                 self.text.append((stack[-1][0], html.unescape(source[at:begin]), links > 0))
             at = end
             if token[2] is None:
@@ -66,10 +74,9 @@ class Page:
             if tag in BLOCK or tag == "br":
                 self.text.append((stack[-1][0], " ", False))
             if token[1]:
-                if any(t == tag for _, t, _ in stack):
+                if any(t == tag for _, t in stack):
                     while len(stack) > 1:
-                        _, name, drop = stack.pop()
-                        hidden -= drop
+                        _, name = stack.pop()
                         links -= name == "a"
                         if name == tag:
                             break
@@ -88,24 +95,48 @@ class Page:
                 elif stack[depth][1] in until:
                     break
             while found and len(stack) > found:
-                _, name, drop = stack.pop()
-                hidden -= drop
+                _, name = stack.pop()
                 links -= name == "a"
             words, classes = names_of(token[3]) if "=" in token[3] else ((), "")
-            inside = any(t in ("article", "main") for _, t, _ in stack)
+            inside = any(t in ("article", "main") for _, t in stack)
             drop = tag in NEVER or (tag == "header" or "header" in words) and not inside
-            drop = drop or tag not in ("html", "body", "main") and not BOILERPLATE.isdisjoint(words)
             element = stack[-1][0]
-            if not hidden and not drop:
-                self.tags.append(tag)
-                self.paths.append(f"{self.paths[element]}/{tag}{classes}")
-                self.parents.append(element)
-                element = len(self.tags) - 1
-            stack.append((element, tag, drop))
-            hidden += drop
+            self.tags.append(tag)
+            self.paths.append(f"{self.paths[element]}/{tag}{classes}")
+            self.parents.append(element)
+            self.flags.append(drop or tag not in ("html", "body", "main") and not BOILERPLATE.isdisjoint(words))
+            stack.append((len(self.tags) - 1, tag))
             links += tag == "a"
-        if at < len(source) and not hidden:
+        if at < len(source):
             self.text.append((stack[-1][0], html.unescape(source[at:]), links > 0))
+        self.prune()
+
+    def hidden(self) -> list[bool]:
+        out = [False]
+        for k in range(1, len(self.tags)):
+            out.append(self.flags[k] or out[self.parents[k]])
+        return out
+
+    def prune(self) -> None:
+        """Keep the text that stands in no boilerplate, and take back names that hide the main text."""
+        gone = self.hidden()
+        if any(self.flags):
+            running = [0] * len(self.tags)
+            for element, text, link in self.text:
+                if not link:
+                    running[element] += len(text.strip())
+            seen = sum(n for n, x in zip(running, gone) if not x)
+            for k in range(len(self.tags) - 1, 0, -1):
+                running[self.parents[k]] += running[k]
+            total, holds = running[0], [False] * len(self.tags)
+            if seen < ENOUGH * total:
+                for k in range(len(self.tags) - 1, 0, -1):
+                    named = self.tags[k] in ("article", "main") and 4 * running[k] >= total
+                    if (holds[k] or named or 3 * running[k] > 2 * total) and self.tags[k] not in ("head", "nav", "footer", "aside"):
+                        self.flags[k] = False
+                    holds[self.parents[k]] |= holds[k] or named
+                gone = self.hidden()
+        self.text = [x for x in self.text if not gone[x[0]]]
 
     def container(self, element: int) -> int:
         while element > 0 and self.tags[element] not in CONTAINER:
@@ -144,17 +175,21 @@ class Page:
         return " ".join("".join(t for element, t, _ in self.text if inside[element]).split())
 
 
-def best(scores: dict[str, float], top: int) -> list[tuple[str, int]]:
-    """The ``top`` paths with their parts of 1000 of what the page's best path has."""
-    first = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:top]
+def best(scores: dict[str, float]) -> list[tuple[str, int]]:
+    """All paths, the best one first, with their parts of 1000 of what that has."""
+    first = sorted(scores.items(), key=lambda x: (-x[1], x[0]))
     return [(path, round(1000 * s / first[0][1])) for path, s in first if s > 0]
 
 
-def consensus(pages: DataFrame, top: int = 5) -> DataFrame:
+def consensus(pages: DataFrame) -> DataFrame:
     """(host, path): the path with most votes of each host's pages. Votes are pre-aggregated, so no host is a hot key."""
 
     def step(hosts, texts):
-        rows = [(h.decode("utf-8", "replace"), *r) for h, t in zip(hosts, texts) if t for r in best(Page(t.decode("utf-8", "replace")).scores(), top)]
+        votes: Counter = Counter()
+        for h, t in zip(hosts, texts):
+            for path, n in best(Page(t.decode("utf-8", "replace")).scores()) if t else ():
+                votes[h.decode("utf-8", "replace"), path] += n
+        rows = [(h, path, n) for (h, path), n in votes.items() if n]
         return [list(c) for c in zip(*rows)] or [[], [], []]
 
     votes = by_batch(pages, lambda: step, "host string, path string, votes long", "host", "html")
@@ -166,8 +201,8 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     """One row per page: page_id, url, text, n_chars, path.
 
     Each page scores its containers; the host's pages vote on paths of tags and classes (digits as #), and every page
-    gives the text of the elements with its host's winning path, or where it has none, with its own best path (``path``
-    is the one that was used). Menus, headers, footers, asides, forms, adverts, notices and comments are left out where
+    gives the text of the elements with its host's winning path, or where there is none in them, with its own best path
+    (``path`` is the one that was used). Menus, headers, footers, asides, forms, adverts, notices and comments are left out where
     they stand, also inside an article. A null or empty html, or one without text, gives an empty text; pages with a null
     url, or one without a host, vote together. Null ids and repeated rows stay, other columns are ignored, and an empty
     table gives no rows.
@@ -183,8 +218,8 @@ def main_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             page = Page((data or b"").decode("utf-8", "replace"))
             path = None if path is None else path.decode()
             text = page.extract(path)
-            if text is None:
-                path = next((p for p, _ in best(page.scores(), 1)), None)
+            if not text:
+                path = next((p for p, _ in best(page.scores())), None)
                 text = page.extract(path)
             used.append(path)
             out.append(text or "")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from collections.abc import Callable
 
@@ -18,10 +19,16 @@ shipped(__name__)
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-def byte_bpe(ranks_path: str, pattern: str) -> Callable[[str], bytes]:
-    """A function from a text to its ids as little-endian unsigned 32-bit numbers, without special tokens."""
+def byte_bpe(ranks_path: str, pattern: str, added: dict[str, int] | None = None) -> Callable[[str], bytes]:
+    """A function from a text to its ids as little-endian unsigned 32-bit numbers.
+
+    Where a text holds one of the ``added`` tokens that is the token's id, and the text is cut there: what stands before
+    and behind is encoded by itself. Without ``added`` every text is ordinary.
+    """
     import tiktoken
 
+    marks = re.compile("|".join(map(re.escape, sorted(added, key=len, reverse=True)))) if added else None
+
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     bpe = tiktoken.Encoding("byte-bpe", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
@@ -31,6 +38,15 @@ def byte_bpe(ranks_path: str, pattern: str) -> Callable[[str], bytes]:
         return [np.array(bpe.encode_ordinary(t), "<u4").tobytes() for t in texts]
 
     def encode(text: str) -> bytes:
+        if marks is not None and marks.search(text):
+            parts, at = [], 0
+            for found in marks.finditer(text):
+                parts += [plain(text[at:found.start()]), np.array([added[found[0]]], "<u4").tobytes()]
+                at = found.end()
+            return b"".join([*parts, plain(text[at:])])
+        return plain(text)
+
+    def plain(text: str) -> bytes:
         cut = chunks(text)
         if cut is None:
             return ids_of([text])[0]
@@ -39,7 +55,7 @@ def byte_bpe(ranks_path: str, pattern: str) -> Callable[[str], bytes]:
     return encode
 
 
-def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, size: int = 2048, end_id: int = 0,
+def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, size: int = 2048, end_id: int = 0, added: dict[str, int] | None = None,
                  id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece of each document's ids followed by ``end_id``; the first piece of a long document is short.
 
@@ -48,7 +64,7 @@ def token_pieces(docs: DataFrame, ranks_path: str, pattern: str, size: int = 204
     end = np.array([end_id], "<u4").tobytes()
 
     def make():
-        encode = byte_bpe(ranks_path, pattern)
+        encode = byte_bpe(ranks_path, pattern, added)
 
         def step(doc_ids, texts):
             rows = []
@@ -161,12 +177,13 @@ def packed(pieces: DataFrame, size: int = 2048, rows: int = 20_000) -> DataFrame
         place, f"{PIECES}, sequence_id long, offset long")
 
 
-def best_fit(docs: DataFrame, ranks_path: str, pattern: str, size: int = 2048, end_id: int = 0,
+def best_fit(docs: DataFrame, ranks_path: str, pattern: str, size: int = 2048, end_id: int = 0, added: dict[str, int] | None = None,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
 
-    Every document with all its tokens and ``end_id`` is placed; only one longer than ``size`` is cut. Null ids are
+    Every document with all its tokens and ``end_id`` is placed; only one longer than ``size`` is cut. A text that holds
+    one of the ``added`` tokens has its id there. Null ids are
     kept as they are, repeated rows are packed as often as they occur, other columns are ignored, and an empty table
     gives no rows.
     """
-    return packed(stored(token_pieces(docs, ranks_path, pattern, size, end_id, id_col, text_col), "packing-pieces"), size)
+    return packed(stored(token_pieces(docs, ranks_path, pattern, size, end_id, added, id_col, text_col), "packing-pieces"), size)

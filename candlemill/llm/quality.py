@@ -19,6 +19,7 @@ COMMON = {
 SYMBOLS = b"#*$%&|<>"
 CLASSES = (b"abcdefghijklmnopqrstuvwxyz", b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"0123456789", b".,;:!?", b"'\"()[]{}-_/\\", SYMBOLS, b" ", b"\n",
            b"\t\r\x0b\x0c", bytes(range(0xC0, 0x100)))
+LOWER, UPPER, WIDE = 0, 1, 9  # a wide character is one of more than one byte
 OTHER = len(CLASSES)  # class of all other bytes; what continues a character counts for nothing
 
 _CLASS = np.full(256, OTHER, dtype=np.int64)
@@ -137,13 +138,14 @@ def references(measured_docs: DataFrame, min_words: int) -> dict[str, tuple[np.n
 def judged(docs: DataFrame, min_words: int = 50, letters_limit: tuple[float, float] = (0.2, 0.7),
            words_limit: tuple[float, float] = (0.2, 1.1), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row per document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
-    and with it letters_distance, words_distance and nearest (the language they refer to); version is a hash of the text.
+    and with it judged (whether the method was asked), letters_distance, words_distance and nearest (the language they refer to); version is a hash of the text.
 
     ``base_failed``: fewer than 20 words, or more than 30 % of them in repeated 8-word windows. A document with
     ``min_words`` words that passes is held against the language whose references are nearest, and rejected if the
     Jensen-Shannon distance of its character classes or of its common words is over the limit. A limit is (a, b), for
-    n words a + b / sqrt(n): short texts scatter more. Shorter ones, and those labelled with a language that has no
-    reference, are kept. A null text counts as empty (all zero, rejected); null ids, null languages and repeated rows
+    n words a + b / sqrt(n): short texts scatter more. The label is asked for nothing but the references' means. Not judged,
+    and kept, are shorter texts and those in another script than the references': with more wide characters than Latin
+    letters. A null text counts as empty (all zero, rejected); null ids, null languages and repeated rows
     stay; an empty table gives no rows.
     """
     import pandas as pd
@@ -170,12 +172,13 @@ def judged(docs: DataFrame, min_words: int = 50, letters_limit: tuple[float, flo
                 a, b, nearest = la[best, at], wo[best, at], np.array(names, dtype=object)[best]
             root = np.sqrt(np.maximum(n, 1))
             far = (a > letters_limit[0] + letters_limit[1] / root) | (b > words_limit[0] + words_limit[1] / root)
-            covered = pdf["lang"].isna() | pdf["lang"].isin(names)
-            out["kept"] = ~(out["base_failed"] | (n >= min_words) & covered & far)
+            latin = np.array([x[LOWER] + x[UPPER] >= x[WIDE] for x in pdf["letters"]], dtype=bool)
+            out["judged"] = (n >= min_words) & latin & bool(names)
+            out["kept"] = ~(out["base_failed"] | out["judged"] & far)
             out["letters_distance"], out["words_distance"], out["nearest"] = a, b, nearest
             yield out
 
-    return rows.mapInPandas(verdicts, f"doc_id long, version long, {COUNTS}, base_failed boolean, kept boolean, "
+    return rows.mapInPandas(verdicts, f"doc_id long, version long, {COUNTS}, base_failed boolean, judged boolean, kept boolean, "
                                       "letters_distance double, words_distance double, nearest string")
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import tempfile
 
 import public_tokenizers
@@ -110,6 +111,12 @@ def ranks() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def added_tokens() -> dict[str, int]:
+    """The tokens that the tokenizers file adds to the vocabulary; it gives them their id wherever a text holds them."""
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
+        return {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+
+
 @query
 def op6_byte_bpe(spark, sf_dir):
     return bytebpe.digests(table(spark, sf_dir, "documents"), *ranks())
@@ -117,7 +124,7 @@ def op6_byte_bpe(spark, sf_dir):
 
 @query
 def op7_packing(spark, sf_dir):
-    return packing.best_fit(table(spark, sf_dir, "documents"), *ranks(), size=2048, end_id=0)
+    return packing.best_fit(table(spark, sf_dir, "documents"), *ranks(), size=2048, end_id=0, added=added_tokens())
 
 
 @query

@@ -178,33 +178,44 @@ def links(fps: DataFrame, budget: int = 2, node_rows: int = 4096, max_nodes: int
     """Edges (a, b) between the ``rep`` of fingerprints, enough to connect whatever links with whatever.
 
     ``fps``: (fp, rep), fingerprints distinct. The trie's top is opened until no node has more than ``node_rows`` rows
-    (or a 1/``max_nodes`` part of all rows, if that is more); each pair of nodes within the budget is one group, and the
-    group's task goes on down both subtries. A group of linked rows leaves a task as a tree, not as all its pairs.
+    (or a 1/``max_nodes`` part of all rows, if that is more: the driver pairs up the nodes). Each pair of nodes within the
+    budget is one group, cut into blocks of ``node_rows`` on either side, and the group's task goes on down both
+    subtries. So no task holds more than 2 * ``node_rows`` rows, whatever the input. A group of linked rows leaves a task as
+    a tree, not as all its pairs.
     """
     nodes = top_nodes(fps, max(node_rows, -(-fps.count() // max_nodes)))
     pairs = node_pairs(nodes, budget)
     starts = np.array([p << (64 - d) for d, p, _ in nodes], dtype=np.uint64)
-    partners: list[list[int]] = [[] for _ in nodes]
+    blocks = np.array([-(-n // node_rows) for *_, n in nodes], dtype=np.int64)
+    partners: list[list[tuple[int, int, int]]] = [[] for _ in nodes]  # pair, side, the other side's blocks
     for k, (x, y) in enumerate(pairs):
-        partners[x].append(2 * k)
+        partners[x].append((k, 0, int(blocks[y])))
         if x != y:
-            partners[y].append(2 * k + 1)
+            partners[y].append((k, 1, int(blocks[x])))
     alone = np.array([x == y for x, y in pairs], dtype=bool)
+    # what a row of each node is sent to: pair, side, block of the other side
+    dealt = [np.array([(k, s, b) for k, s, n in some for b in range(n)], dtype=np.int64).reshape(-1, 3) for some in partners]
 
     def spread(frames):
         for pdf in frames:
             fp = pdf["fp"].to_numpy()
             at = np.searchsorted(starts, fp.view(np.uint64), side="right") - 1
-            times = np.array([len(p) for p in partners])[at] if len(at) else np.zeros(0, int)
-            sides = np.array([s for x in at for s in partners[x]], dtype=np.int64)
-            yield pd.DataFrame({"pair": (sides // 2).astype(np.int32), "side": (sides % 2).astype(np.int8),
+            times = np.array([len(x) for x in dealt])[at] if len(at) else np.zeros(0, int)
+            pair, side, other = np.concatenate([np.zeros((0, 3), np.int64), *(dealt[x] for x in at)]).T
+            mixed = (fp.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+            own = np.repeat(mixed.astype(np.int64) % blocks[at] if len(at) else mixed, times)
+            # within one node block i meets block j once, i <= j
+            same = alone[pair]
+            side = np.where(same, own > other, side)
+            i, j = np.where(side == 0, own, other), np.where(side == 0, other, own)
+            yield pd.DataFrame({"pair": pair.astype(np.int32), "i": i.astype(np.int32), "j": j.astype(np.int32), "side": side.astype(np.int8),
                                 "fp": np.repeat(fp, times), "rep": np.repeat(pdf["rep"].to_numpy(), times)})
 
-    def meet(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def meet(key, pdf):
         value, rep, side = pdf["fp"].to_numpy().view(np.uint64), pdf["rep"].to_numpy(), pdf["side"].to_numpy()
         order = np.lexsort((value, side))
         value, rep, cut = value[order], rep[order], int((side == 0).sum())
-        if alone[key[0]]:
+        if alone[key[0]] and key[1] == key[2]:
             i, j = close_pairs(value, None, budget)
         else:
             i, j = close_pairs(value[:cut], value[cut:], budget)
@@ -213,8 +224,8 @@ def links(fps: DataFrame, budget: int = 2, node_rows: int = 4096, max_nodes: int
         moved = np.flatnonzero(label != np.arange(len(value)))
         return pd.DataFrame({"a": rep[moved], "b": rep[label[moved]]})
 
-    sent = fps.mapInPandas(spread, "pair int, side byte, fp long, rep long")
-    return sent.groupBy("pair").applyInPandas(meet, "a long, b long")
+    sent = fps.mapInPandas(spread, "pair int, i int, j int, side byte, fp long, rep long")
+    return sent.groupBy("pair", "i", "j").applyInPandas(meet, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, width: int = 3, budget: int = 2, id_col: str = "doc_id", text_col: str = "text",

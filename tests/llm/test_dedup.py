@@ -90,12 +90,12 @@ def plain_fingerprint(text):
     return sum((2 * sum(h >> k & 1 for h in hashes) > len(hashes)) << k for k in range(64))
 
 
-@pytest.mark.parametrize("node_rows", [16, 4096])
-def test_simhash_is_brute_force(docs, node_rows):
+@pytest.mark.parametrize("node_rows, max_nodes", [(16, 4096), (4096, 4096), (16, 3)])
+def test_simhash_is_brute_force(docs, node_rows, max_nodes):
     rows = docs.select("doc_id", "text").collect()
     prints = np.array([plain_fingerprint(r.text) for r in rows], dtype=np.uint64)
     want = reach([r.doc_id for r in rows], np.bitwise_count(prints[:, None] ^ prints[None]) <= 2)
-    got = {r.doc_id: r for r in simhash.near_duplicates(docs, node_rows=node_rows).collect()}
+    got = {r.doc_id: r for r in simhash.near_duplicates(docs, node_rows=node_rows, max_nodes=max_nodes).collect()}
     for r, fp, component in zip(rows, prints, want):
         assert (got[r.doc_id].fingerprint, got[r.doc_id].component_id) == (f"{int(fp):016x}", component)
 
@@ -120,8 +120,10 @@ def test_simhash_of_many_close_fingerprints(spark):
     fps = spark.createDataFrame([(int(v), int(v)) for v in values], "fp long, rep long")
     nodes = simhash.top_nodes(fps, 100)
     assert sum(n for _, _, n in nodes) == len(values) and max(n for _, _, n in nodes) <= 100
-    found = components(simhash.links(fps, 2, node_rows=100), "test").collect()
-    assert len(found) == len(values) and {r.component for r in found} == {1}
+    # with few nodes allowed, heavy ones meet block by block
+    for most in (4096, 5):
+        found = components(simhash.links(fps, 2, node_rows=100, max_nodes=most), "test").collect()
+        assert len(found) == len(values) and {r.component for r in found} == {1}
 
 
 def test_simhash_odd_rows(table):

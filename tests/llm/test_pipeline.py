@@ -9,7 +9,7 @@ import corpus_pipeline
 from candlemill.llm import quality, toxicity
 from candlemill.llm.common import stored
 from test_dedup import brute_lines, plain_fingerprint, reach
-from test_text import check_packing, tokenizer  # noqa: F401
+from test_text import by_default, check_packing  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 
@@ -83,10 +83,10 @@ def test_simhash_stage(kept):
     assert texts(kept[4]) == {i: before[i] for i, c in zip(ids, least) if i == c}
 
 
-def test_packing_stage(kept, tokenizer):  # noqa: F811
+def test_packing_stage(kept, by_default):  # noqa: F811
     rows, pieces = list(texts(kept[4]).items()), kept[5].collect()
     assert {r.doc_id for r in pieces} == {i for i, _ in rows}
-    assert check_packing(rows, pieces, tokenizer, 2048) <= -(-sum(r.length for r in pieces) // 2048) + 1
+    assert check_packing(rows, pieces, by_default, 2048) <= -(-sum(r.length for r in pieces) // 2048) + 1
 
 
 def test_run_is_all_stages(spark, kept):

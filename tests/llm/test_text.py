@@ -18,20 +18,31 @@ from tokenizers import Tokenizer
 
 from candlemill.llm import bytebpe, htmltext, langid, packing, quality, tokens, toxicity, urlfilter
 from candlemill.llm.common import versioned
-from candlemill.llm.queries import BLOCKED, QUERIES, RULES, ranks
+from candlemill.llm.queries import BLOCKED, QUERIES, RULES, added_tokens, ranks
 
 SF = "/root/testdata/sf0.01"
 ODD = ["a   b\n\n c  ", None, "", " ", "\n ", "x \n  y\t z   ", "日本 語テスト 😀😀 ²³ ½ don't  we'LL", "a" * 5000, "ab " * 9 + "  ", "    x　 y",
        "<|endoftext|> hi", "   ", "a\n  b", "long " * 30_000]
 
 
-@pytest.fixture(scope="module")
-def tokenizer():
+def ids_by_file(ordinary):
     out = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    out.encode_special_tokens = True
+    out.encode_special_tokens = ordinary
     return lambda texts: [e.ids for e in out.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
+@pytest.fixture(scope="module")
+def tokenizer():
+    """Ids of texts in which no token is special."""
+    return ids_by_file(True)
+
+
+@pytest.fixture(scope="module")
+def by_default():
+    """Ids as the file gives them: an added token that a text holds has its own id."""
+    return ids_by_file(False)
+
+
 def test_cuts_never_cross_a_pre_token():
     import regex
 
@@ -78,17 +89,17 @@ def check_packing(rows, got, tokenizer, size):
     return len(by_bin)
 
 
-def test_packing_is_gapless_and_tight(docs, tokenizer):
+def test_packing_is_gapless_and_tight(docs, by_default):
     rows = [(r.doc_id, r.text) for r in docs.collect()]
-    got = packing.best_fit(docs, *ranks()).collect()
+    got = packing.best_fit(docs, *ranks(), added=added_tokens()).collect()
     assert {r.doc_id for r in got} == {i for i, _ in rows}
-    assert check_packing(rows, got, tokenizer, 2048) <= -(-sum(r.length for r in got) // 2048) + 1
+    assert check_packing(rows, got, by_default, 2048) <= -(-sum(r.length for r in got) // 2048) + 1
 
 
-def test_packing_odd_rows(spark, tokenizer):
-    rows = list(enumerate(ODD))
-    got = packing.best_fit(spark.createDataFrame(rows, "doc_id long, text string").withColumn("piece", lit("x")), *ranks(), size=512).collect()
-    check_packing(rows, got, tokenizer, 512)
+def test_packing_odd_rows(spark, by_default):
+    rows = list(enumerate([*ODD, "see <|endoftext|> here", "<|endoftext|><|endoftext|>", "a  <|endoftext|>  \n <|endoftex|>" * 500]))
+    got = packing.best_fit(spark.createDataFrame(rows, "doc_id long, text string").withColumn("piece", lit("x")), *ranks(), size=512, added=added_tokens()).collect()
+    check_packing(rows, got, by_default, 512)
     twice = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None)], "doc_id long, text string")
     got = packing.best_fit(twice, *ranks()).collect()
     assert sorted((r.doc_id or 0, r.length) for r in got) == [(0, 1), (1, 3), (1, 3)] and sorted(r.offset for r in got)[0] == 0
@@ -150,6 +161,16 @@ def test_quality_odd_rows(table):
     assert quality.judged(table([], "doc_id long, text string, lang string")).count() == 0
 
 
+def test_quality_does_not_ask_for_the_label(spark, table):
+    """Junk is judged whatever it is labelled; texts in another script are passed on and say so."""
+    clean = [(r.doc_id, r.text, r.lang) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    junk = "zxq kk vvv qqq xxz jjj wqk " * 2 + " ".join(f"{'xqzvkjw'[k % 7]}{'qkx'[k % 3]}zz{k}9" for k in range(200))
+    cyrillic = " ".join("слово другое ещё раз текст номер".split()[k % 6] + "абвгдежзик"[k % 10] * (k % 4) + "а" * (k // 30) for k in range(120))
+    rows = clean + [(90_001 + k, junk, lang) for k, lang in enumerate(["en", None, "xx"])] + [(90_010, cyrillic, "xx"), (90_011, cyrillic, "en")]
+    got = {r.doc_id: (r.judged, r.base_failed, r.kept) for r in quality.judged(table(rows, "doc_id long, text string, lang string")).collect()}
+    assert {got[90_001 + k] for k in range(3)} == {(True, False, False)} and {got[90_010], got[90_011]} == {(False, False, True)}
+
+
 def test_js_distance():
     p, q = np.array([[0.5, 0.5, 0.0], [0.0, 0.0, 1.0], [0.2, 0.3, 0.5]]), np.array([0.5, 0.5, 0.0])
     assert np.allclose(quality.js_distance(p, q)[:2], [0, 1]) and 0 < quality.js_distance(p, q)[2] < 1
@@ -328,6 +349,34 @@ def test_main_text_by_vote(table):
     assert htmltext.main_texts(table([], "page_id long, url string, html string")).count() == 0
 
 
+ARTICLE = "<h1>Head</h1><p>" + "running text of the article " * 12 + "</p>"
+WHOLE = ("Head " + "running text of the article " * 12).strip()
+
+
+@pytest.mark.parametrize("source", [
+    '<div class="layout with-sidebar"><div class="sidebar">side</div><article>{}</article></div>',
+    '<div class="sidebar-layout form"><article>{}</article></div><nav>menu</nav>',
+    '<article class="has-comments">{}</article><section class="comments"><article class="comment"><p>' + "a comment " * 9 + '</p></article></section>',
+    '<form action="/x"><div class="cookie-notice">We use cookies</div><div class="text">{}</div></form>',
+    '<body class="page"><div id="page" class="nav-open notices"><main>{}</main></div><footer>foot</footer></body>',
+    '<div class="social register"><div>{}</div></div><div class="ad">buy</div>',
+])
+def test_main_text_is_not_lost_to_a_name(table, source):
+    """On all pages of a host a name of boilerplate stands on what holds the article."""
+    pages = [(k, f"http://h.example.com/{k}", source.format(ARTICLE)) for k in range(3)]
+    assert {r.text for r in htmltext.main_texts(table(pages, "page_id long, url string, html string")).collect()} == {WHOLE}
+
+
+def test_main_text_behind_an_empty_placeholder(table):
+    pages = [(k, f"http://h.example.com/{k}", f"<div class=story>{ARTICLE}</div>") for k in range(4)] + [(9, "http://h.example.com/9", f"<div class=story> </div><article>{ARTICLE}</article>")]
+    assert {r.text for r in htmltext.main_texts(table(pages, "page_id long, url string, html string")).collect()} == {WHOLE}
+
+
+def test_a_page_of_menus_has_no_main_text(table):
+    menu = "<nav><a href=x>One</a> two three</nav><footer>" + "imprint and terms " * 9 + "</footer>"
+    assert htmltext.main_texts(table([(1, "http://m.example.com/", menu)], "page_id long, url string, html string")).first().text == ""
+
+
 def test_main_text_of_a_table(spark):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{SF}/pages.parquet").collect()}
     for r in QUERIES["op3_main_text"](spark, SF).collect():
@@ -340,6 +389,12 @@ def test_long_broken_page_ends():
         htmltext.Page(source[:100_000]).scores()
 
 
+def test_main_text_of_very_long_pages(table):
+    text = "a word of it " * 40_000
+    rows = [(1, "http://l.example.com/", f"<article><p>{text}</p></article>"), (2, "http://l.example.com/", "<div>" * 3_000 + text + "</div>" * 3_000)]
+    assert {r.n_chars for r in htmltext.main_texts(table(rows, "page_id long, url string, html string")).collect()} == {len(text) - 1}
+
+
 def test_cascade_is_exact(spark):
     keys = spark.range(30_000).selectExpr("concat('k', id) AS key")
     listed = [f"k{n}" for n in range(0, 30_000, 97)] + ["absent"]
