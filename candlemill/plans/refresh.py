@@ -46,6 +46,15 @@ def apply_refold(base: DataFrame, fold: Fold, path: str, interval: str, from_ms:
     facts.overwrite_months(fresh, path, tg.months_between(from_ms, to_ms))
 
 
+def refold_months(base: DataFrame, fold: Fold, path: str, interval: str, months: list[int], version: int) -> None:
+    """Replace some months of a rollup by one fold over their base rows; ``base`` carries its month.
+
+    A rollup's bucket lies within one month. Buckets that lost all rows vanish with the months that are replaced.
+    """
+    rows = fold(base.where(F.col("month").isin(months)), interval)
+    facts.overwrite_months(rows.withColumn("version", F.lit(version).cast("long")), path, months)
+
+
 def rebuild_rollups(base: DataFrame, folds: dict[str, tuple[Fold, str]], version: int) -> None:
     """Recompute rollup tables from base rows; ``folds`` maps interval to (fold, path)."""
     for interval, (fold, path) in folds.items():

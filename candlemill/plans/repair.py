@@ -6,6 +6,8 @@ rows, and write only through ``sources.facts``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from candlemill.functions import columns as fx
 from candlemill.operators import filters, gaps, ranges, snap, versions
 from candlemill.operators.rollup import rollup_oi
 from candlemill.plans import refresh
-from candlemill.session import materialize
+from candlemill.session import exists, materialize
 from candlemill.sources import facts
 
 
@@ -141,8 +143,18 @@ def oi_repair_stats(gap_ranges: DataFrame, raw_oi: DataFrame, candidates: DataFr
 
 # --- repairs that rewrite a table --------------------------------------------
 
+def fingerprint(df: DataFrame, columns: list[str]) -> tuple[int, int]:
+    """Number of the rows and sum of their hashes: equal for the same rows in any order, copies counted."""
+    row = df.agg(F.count("*").alias("n"), F.sum(F.xxhash64(*columns).cast("decimal(38,0)")).alias("h")).first()
+    return row["n"], int(row["h"] or 0)
+
+
+class RepairRefused(RuntimeError):
+    """The table does not look as the repair expects."""
+
+
 class RepairLog:
-    """Steps a repair has finished, kept next to its backup so that it can resume."""
+    """Steps a repair has finished, kept next to its backup so that it can resume, each with what it saw."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder.rstrip("/")
@@ -150,46 +162,94 @@ class RepairLog:
         self.plan = f"{self.folder}/plan"
 
     def done(self, step: str) -> bool:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.folder}/steps/{step}/_SUCCESS")
-        return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
-
-    def mark(self, step: str, at_ms: int) -> None:
-        self.spark.range(1).select(F.lit(step).alias("step"), F.lit(at_ms).alias("at_ms")).write.mode(
-            "overwrite").parquet(f"{self.folder}/steps/{step}")
-
-
-class RepairRefused(RuntimeError):
-    """The table does not look as the repair expects."""
-
-
-def repair_archive_shift(spark: SparkSession, path: str, log_folder: str, cutoff_ms: int,
-                         now_ms: int, shift_ms: int = tg.BAR_MS) -> bool:
-    """Move archive rows snapped at or after ``cutoff_ms`` one bar later, exactly once.
-
-    Backs the affected rows up, checks the copy, replaces the rows, and records
-    each step; a run after a crash resumes. Returns False if already done. An
-    unshifted table holds rows at the bar before the cutoff; without them and
-    without a backup the repair refuses to run. Writes tables.
+        return exists(self.spark, f"{self.folder}/steps/{step}/_SUCCESS")
+
+    def mark(self, step: str, at_ms: int, seen: tuple[int, int] = (0, 0)) -> None:
+        self.spark.range(1).select(F.lit(step).alias("step"), F.lit(at_ms).cast("long").alias("at_ms"), F.lit(seen[0]).cast("long").alias("rows"),
+                                   F.lit(str(seen[1])).alias("hash")).write.mode("overwrite").parquet(f"{self.folder}/steps/{step}")
+
+    def seen(self, step: str) -> tuple[int, int]:
+        """The fingerprint that a finished step noted."""
+        row = self.spark.read.parquet(f"{self.folder}/steps/{step}").first()
+        return row["rows"], int(row["hash"])
+
+    def saved(self, rows: DataFrame, path: str, step: str, now_ms: int) -> DataFrame:
+        """The rows as a table of the repair; written and compared once, then read."""
+        if not self.done(step):
+            want = fingerprint(rows, rows.columns)
+            rows.write.mode("overwrite").parquet(path)
+            got = fingerprint(self.spark.read.schema(rows.schema).parquet(path), rows.columns)
+            if got != want:
+                raise RepairRefused(f"{step} holds {got[0]} rows of {want[0]}, or others")
+            self.mark(step, now_ms, want)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+
+def _replace_months(spark: SparkSession, path: str, log: RepairLog, content: DataFrame, touched: list[int], now_ms: int,
+                    between: Callable[[str], None]) -> None:
+    """Replace some months by ``content``, which must be the rows that the plan of the repair foresaw.
+
+    Their fingerprint is noted before the first write, and held against what is about to be written and what then stands
+    in the table. A run that resumes works on the table as it is; rows that others changed meanwhile give another
+    fingerprint, and nothing is written.
+    """
+    if not touched:
+        log.mark("moved", now_ms)
+        return
+    names = [f.name for f in S.OI_5M.fields]
+    if not log.done("expected"):
+        log.mark("expected", now_ms, fingerprint(content, names))
+    between("expected")
+    want = log.seen("expected")
+    if not log.done("moved"):
+        if fingerprint(content, names) != want:
+            raise RepairRefused("the table changed since the repair was planned")
+        facts.overwrite_months(content, path, touched)
+        between("written")
+        got = fingerprint(facts.read_facts(spark, path, S.OI_5M).where(F.col("month").isin(touched)), names)
+        if got != want:
+            raise RepairRefused(f"{got[0]} rows stand where {want[0]} were planned, or others")
+        log.mark("moved", now_ms, want)
+    between("moved")
+
+
+def checked_refold(spark: SparkSession, path: str, rollup_paths: dict[str, str], months: list[int], version: int) -> None:
+    """Re-fold the open-interest rollups of some months and hold them against the base table. Writes tables.
+
+    Every base bar lies in one bucket of each rollup, so the samples of the months must add up to the bars; and a bucket
+    with an older version than this fold's is an orphan that the replacement should have taken away.
+    """
+    base = versions.latest_snapshots(facts.read_facts(spark, path, S.OI_5M).where(F.col("month").isin(months)))
+    n = base.count()
+    for interval, target in rollup_paths.items():
+        refresh.refold_months(base, rollup_oi, target, interval, months, version)
+        told = spark.read.parquet(target).where(F.col("month").isin(months)).agg(
+            F.coalesce(F.sum("samples"), F.lit(0)).alias("samples"), F.count_if(F.col("version") < version).alias("orphans")).first()
+        if told["samples"] != n or told["orphans"]:
+            raise RepairRefused(f"{interval} rollup: {told['samples']} samples of {n} bars, {told['orphans']} orphans")
+
+
+def repair_archive_shift(spark: SparkSession, path: str, log_folder: str, cutoff_ms: int, now_ms: int, shift_ms: int = tg.BAR_MS,
+                         rollup_paths: dict[str, str] | None = None, between: Callable[[str], None] = lambda step: None) -> bool:
+    """Move archive rows snapped at or after ``cutoff_ms`` one bar later, exactly once, and re-fold the rollups.
+
+    The affected rows are backed up; backup, plan and result are checked by fingerprints of their rows; then the rollups of
+    the touched months are folded anew and their samples counted. Each step is recorded, and a run after a crash
+    resumes (``between`` is told each step; tests break the run there). Returns False if the rows were moved before; the
+    rollups are folded and checked then too. An unshifted table holds rows at the bar before the cutoff; without them and
+    without a backup the repair refuses to run. Only months from the day before the cutoff on are read: a snapshot's bar
+    opens less than a day before it. Writes tables.
     """
     log = RepairLog(spark, log_folder)
-    if log.done("moved"):
-        return False
-    table = facts.read_facts(spark, path, S.OI_5M)
+    facts.preflight(spark, path, S.OI_5M)
+    first = not log.done("moved")
+    table = filters.within(facts.read_facts(spark, path, S.OI_5M), tg.floor_to(cutoff_ms - tg.DAY_MS, tg.DAY_MS), None)
     archive = F.col("src_rank") == S.RANK_ARCHIVE
-    affected = archive & (F.col("snap_ms") >= cutoff_ms)
     names = [f.name for f in S.OI_5M.fields]
-    if not log.done("backup"):
-        edge = table.where(archive & (F.col("start_ms") == cutoff_ms - shift_ms))
-        if edge.isEmpty():
-            raise RepairRefused("no archive row before the cutoff: already shifted?")
-        table.where(affected).select(*names).write.mode("overwrite").parquet(log.backup)
-        copied = spark.read.schema(S.OI_5M).parquet(log.backup).count()
-        present = table.where(affected).count()
-        if copied != present:
-            raise RepairRefused(f"backup holds {copied} rows of {present}")
-        log.mark("backup", now_ms)
-    saved = spark.read.schema(S.OI_5M).parquet(log.backup)
+    if not log.done("backup") and table.where(archive & (F.col("start_ms") == cutoff_ms - shift_ms)).isEmpty():
+        raise RepairRefused("no archive row before the cutoff: already shifted?")
+    saved = log.saved(table.where(archive & (F.col("snap_ms") >= cutoff_ms)).select(*names), log.backup, "backup", now_ms)
+    between("backup")
     moved = versions.latest_snapshots(saved).withColumns({
         "start_ms": F.col("start_ms") + shift_ms, "snap_ms": F.col("snap_ms") + shift_ms})
     # rows are identified by the backup's keys and by the moved keys, so a half
@@ -197,56 +257,53 @@ def repair_archive_shift(spark: SparkSession, path: str, log_folder: str, cutoff
     keys = ["symbol", "start_ms", "src_rank"]
     stale = saved.select(*keys).unionByName(moved.select(*keys)).distinct()
     touched = facts.months_of(saved.select("start_ms").unionByName(moved.select("start_ms")))
-    rest = table.where(F.col("month").isin(touched)).select(*names).join(stale, keys, "left_anti")
-    facts.overwrite_months(rest.unionByName(moved.select(*names)), path, touched)
-    log.mark("moved", now_ms)
-    return True
+    whole = facts.read_facts(spark, path, S.OI_5M).where(F.col("month").isin(touched))
+    rest = whole.select(*names).join(stale, keys, "left_anti")
+    _replace_months(spark, path, log, rest.unionByName(moved.select(*names)), touched, now_ms, between)
+    checked_refold(spark, path, rollup_paths or {}, touched, now_ms)
+    between("refolded")
+    return first
 
 
-def repair_off_grid(spark: SparkSession, path: str, log_folder: str, now_ms: int) -> DataFrame:
-    """Snap off-grid archive rows to their boundary or drop them; returns the plan.
+def repair_off_grid(spark: SparkSession, path: str, log_folder: str, now_ms: int, rollup_paths: dict[str, str] | None = None,
+                    between: Callable[[str], None] = lambda step: None) -> DataFrame:
+    """Snap off-grid archive rows to their boundary or drop them, and re-fold the rollups; returns the plan.
 
-    Plan and backup are written first and kept; a resumed run uses them. Writes
-    tables.
+    Backup, plan (a row for each bar that is off) and result are checked as in :func:`repair_archive_shift`; a resumed
+    run uses the tables that it finds. Off-grid rows are looked for in the whole table, all else touches the plan's months
+    only. Writes tables.
     """
     log = RepairLog(spark, log_folder)
+    facts.preflight(spark, path, S.OI_5M)
     names = [f.name for f in S.OI_5M.fields]
     table = facts.read_facts(spark, path, S.OI_5M)
     wrong = (F.col("src_rank") == S.RANK_ARCHIVE) & (F.pmod("start_ms", F.lit(tg.BAR_MS)) != 0)
+    saved = log.saved(table.where(wrong).select(*names), log.backup, "backup", now_ms)
+    between("backup")
+    off = versions.latest_snapshots(saved)
     if not log.done("planned"):
-        table.where(wrong).select(*names).write.mode("overwrite").parquet(log.backup)
-        off = versions.latest_snapshots(spark.read.schema(S.OI_5M).parquet(log.backup))
-        snap.snap_plan(off, table).write.mode("overwrite").parquet(log.plan)
+        near = facts.months_of(saved.select(F.explode(F.array(F.col("start_ms") - tg.BAR_MS, F.col("start_ms") + tg.BAR_MS)).alias("start_ms")))
+        snap.snap_plan(off, table.where(F.col("month").isin(near))).write.mode("overwrite").parquet(log.plan)
+        planned, bars = spark.read.parquet(log.plan).count(), off.count()
+        if planned != bars:
+            raise RepairRefused(f"the plan has {planned} rows for {bars} bars")
         log.mark("planned", now_ms)
+    between("planned")
     plan = spark.read.parquet(log.plan)
-    if log.done("applied"):
-        return plan
-    off = versions.latest_snapshots(spark.read.schema(S.OI_5M).parquet(log.backup))
     moves = plan.where(F.col("action") == "move").select(
         "symbol", F.col("old_start").alias("start_ms"), "new_start")
     moved = off.join(moves, ["symbol", "start_ms"], "inner").withColumns({
         "start_ms": F.col("new_start"), "snap_ms": F.col("new_start") + tg.BAR_MS})
     touched = sorted(r[0] for r in snap.months_touched(plan).collect())
-    if touched:
-        inside = table.where(F.col("month").isin(touched)).select(*names)
-        kept = versions.without(inside, wrong)
-        landed = moved.select("symbol", "start_ms", "src_rank")
-        kept = kept.join(landed, ["symbol", "start_ms", "src_rank"], "left_anti")
-        facts.overwrite_months(kept.unionByName(moved.select(*names)), path, touched)
-    log.mark("applied", now_ms)
+    inside = table.where(F.col("month").isin(touched)).select(*names)
+    landed = moved.select("symbol", "start_ms", "src_rank")
+    kept = versions.without(inside, wrong).join(landed, ["symbol", "start_ms", "src_rank"], "left_anti")
+    _replace_months(spark, path, log, kept.unionByName(moved.select(*names)), touched, now_ms, between)
+    checked_refold(spark, path, rollup_paths or {}, touched, now_ms)
+    between("refolded")
     return plan
 
 
-def refold_touched(spark: SparkSession, path: str, rollup_paths: dict[str, str],
-                   months: list[int], version: int) -> None:
-    """Re-fold the open-interest rollups of some months. Writes tables."""
-    base = versions.latest_snapshots(facts.read_facts(spark, path, S.OI_5M))
-    for month in months:
-        lo, hi = tg.month_bounds(f"{month // 100:04d}-{month % 100:02d}")
-        for interval, target in rollup_paths.items():
-            refresh.apply_refold(base, rollup_oi, target, interval, lo, hi, version)
-
-
 # --- the periodic sweep ------------------------------------------------------
 
 def sweep(bars: DataFrame, candidates: DataFrame, known_empty: DataFrame, now_ms: int, *,

@@ -25,15 +25,30 @@ class LayoutError(ValueError):
     """A table does not have the columns a job relies on."""
 
 
+def layout_faults(have: StructType, want: StructType) -> list[tuple[str, str, str | None]]:
+    """(column, wanted type, found type or None) of every expected column that is missing or has another type."""
+    found = {f.name: f.dataType for f in have.fields}
+    return [(f.name, f.dataType.simpleString(), found[f.name].simpleString() if f.name in found else None)
+            for f in want.fields if found.get(f.name) != f.dataType]
+
+
 def require_layout(df: DataFrame, schema: StructType) -> DataFrame:
     """Refuse to run on a table that lacks an expected column or type."""
-    have = {f.name: f.dataType for f in df.schema.fields}
-    wrong = [f.name for f in schema.fields if have.get(f.name) != f.dataType]
+    wrong = [name for name, *_ in layout_faults(df.schema, schema)]
     if wrong:
         raise LayoutError(f"missing or differently typed columns: {', '.join(wrong)}")
     return df
 
 
+def preflight(spark: SparkSession, path: str, schema: StructType) -> None:
+    """Refuse a table whose files are not laid out as a job expects, before it writes anything; an absent one is fine.
+
+    Readers impose a schema, under which a column that a file lacks reads as NULL, so the files' own schema is asked.
+    """
+    if months_in(spark, path):
+        require_layout(spark.read.parquet(path), schema)
+
+
 def read_facts(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """All rows of a fact table with their month; folders below the months (stream batches) are not told apart."""
     full = StructType([*schema.fields, StructField("month", IntegerType(), True)])
@@ -105,6 +120,7 @@ def upsert_partitions(new: DataFrame, path: str, schema: StructType, keys: list[
     """Merge rows into the months they touch, the greatest ``order`` wins per key."""
     spark = new.sparkSession
     names = [f.name for f in schema.fields]
+    preflight(spark, path, schema)
     with staged(new, "upsert") as rows:
         touched = months_of(rows)
         if not touched:
@@ -118,6 +134,7 @@ def upsert_partitions(new: DataFrame, path: str, schema: StructType, keys: list[
 def compact(spark: SparkSession, path: str, schema: StructType, keys: list[str],
             order: list[str], months: list[int] | None = None) -> None:
     """Drop superseded row versions of some months, or of all that the table has, for good."""
+    preflight(spark, path, schema)
     months = months_in(spark, path) if months is None else months
     rows = read_facts(spark, path, schema).where(F.col("month").isin(months))
     overwrite_months(versions.latest_by_version(rows.drop("month"), keys, order), path)
@@ -125,6 +142,7 @@ def compact(spark: SparkSession, path: str, schema: StructType, keys: list[str],
 
 def delete_where(spark: SparkSession, path: str, schema: StructType, pred: Column) -> None:
     """Delete the rows for which ``pred`` is true, rewriting only months that hold one."""
+    preflight(spark, path, schema)
     table = read_facts(spark, path, schema)
     hit = sorted(r[0] for r in table.where(pred).select("month").distinct().collect())
     if not hit:

@@ -103,11 +103,100 @@ def test_off_grid_repair_and_refold(spark, frame, folder):
     target = folder("rollup")
     wrong = rollup.rollup_oi(frame(made, OI), "15m").withColumn("version", F.lit(0).cast("long"))
     facts.append_facts(wrong, target)
-    repair.refold_touched(spark, path, {"15m": target}, [202403, 202404], 5)
+    repair.checked_refold(spark, path, {"15m": target}, [202403, 202404], 5)
     fold = spark.read.parquet(target)
     assert fold.agg(F.sum("samples")).first()[0] == 3 and {r.version for r in fold.collect()} == {5}
 
 
+class Crash(Exception):
+    pass
+
+
+def broken_at(*steps):
+    """Breaks once at each of the steps."""
+    left = list(steps)
+
+    def between(at):
+        if at in left:
+            left.remove(at)
+            raise Crash(at)
+    return between
+
+
+def rollup_of(spark, path, target):
+    facts.append_facts(rollup.rollup_oi(versions.latest_snapshots(facts.read_facts(spark, path, S.OI_5M)), "1h").withColumn(
+        "version", F.lit(0).cast("long")), target)
+    return {"1h": target}
+
+
+def two_months(frame, folder):
+    """Archive rows around the end of a month, some off the grid, a bucket that is to lose its only row."""
+    cutoff = ms("2024-03-31 23:55")
+    made = [("A", cutoff + i * BAR, float(i), cutoff + (i + 1) * BAR, 3, i) for i in (-2, -1, 0, 1, 2, 7, 23)]
+    made += [("B", cutoff + 40 * BAR - 1_000, 5.0, cutoff + 41 * BAR, 3, 50), ("A", cutoff + 90 * BAR, 7.0, cutoff + 91 * BAR, 2, 99)]
+    path = folder("two-months")
+    facts.append_facts(frame(made, OI), path)
+    return path, cutoff
+
+
+@pytest.mark.parametrize("kind", ["shift", "grid"])
+def test_repairs_resume_after_every_step(spark, frame, folder, kind):
+    """A run that breaks behind each step in turn, each time on what the last one left, ends like one that doesn't."""
+    steps = ["backup", *["planned"] * (kind == "grid"), "expected", "written", "moved", "refolded"]
+    ends = []
+    for between in (broken_at(), broken_at(*steps)):
+        path, cutoff = two_months(frame, folder)
+        levels, log, crashes = rollup_of(spark, path, folder("hours")), folder("log"), 0
+        while True:
+            try:
+                if kind == "shift":
+                    repair.repair_archive_shift(spark, path, log, cutoff, 9, rollup_paths=levels, between=between)
+                else:
+                    repair.repair_off_grid(spark, path, log, 9, levels, between)
+                break
+            except Crash:
+                crashes += 1
+        hours = spark.read.parquet(levels["1h"])
+        ends.append((rows(facts.read_facts(spark, path, S.OI_5M)), rows(hours)))
+        assert 9 in {r.version for r in hours.collect()}
+    assert ends[0] == ends[1] and crashes == len(steps)
+
+
+@pytest.mark.parametrize("step", ["expected", "written"])
+def test_a_row_that_changed_meanwhile_stops_the_repair(spark, frame, folder, step):
+    path, cutoff = two_months(frame, folder)
+    log = folder("log")
+    with pytest.raises(Crash):
+        repair.repair_archive_shift(spark, path, log, cutoff, 9, between=broken_at(step))
+    facts.append_facts(frame([("C", cutoff + 3 * BAR, 1.0, cutoff + 4 * BAR, 2, 7)], OI), path)
+    before = rows(facts.read_facts(spark, path, S.OI_5M))
+    with pytest.raises(repair.RepairRefused):
+        repair.repair_archive_shift(spark, path, log, cutoff, 9)
+    assert rows(facts.read_facts(spark, path, S.OI_5M)) == before
+
+
+def test_a_repair_refuses_other_layouts_and_short_rollups(spark, frame, folder):
+    path, cutoff = two_months(frame, folder)
+    other = folder("other")
+    facts.append_facts(spark.read.parquet(path).drop("month", "src_rank"), other)
+    for run in (lambda: repair.repair_archive_shift(spark, other, folder("log"), cutoff, 9), lambda: repair.repair_off_grid(spark, other, folder("log"), 9),
+                lambda: facts.compact(spark, other, S.OI_5M, S.BAR_KEYS, ["src_rank"]), lambda: facts.delete_where(spark, other, S.OI_5M, F.lit(True))):
+        with pytest.raises(facts.LayoutError):
+            run()
+    target = folder("short")
+    facts.append_facts(frame([("Z", cutoff, 1, 1.0, 1.0, 1.0, 0)], "symbol string, start_ms long, samples long, close double, high double, low double, version long"), target)
+    base = versions.latest_snapshots(facts.read_facts(spark, path, S.OI_5M))
+    repair.checked_refold(spark, path, {"1h": target}, [202403, 202404], 5)
+    assert rows(spark.read.parquet(target).groupBy().agg(F.sum("samples"))) == [(base.count(),)]
+
+
+def test_fingerprint_tells_rows_and_copies_not_their_order(frame):
+    one = frame([("A", 1), ("B", 2), ("B", 2)], "s string, n long")
+    assert repair.fingerprint(one, ["s", "n"]) == repair.fingerprint(one.orderBy(F.desc("n")), ["s", "n"])
+    for other in ([("A", 1), ("B", 2)], [("A", 1), ("A", 1), ("B", 2)], [("A", 1), ("B", 2), ("B", 3)]):
+        assert repair.fingerprint(frame(other, "s string, n long"), ["s", "n"]) != repair.fingerprint(one, ["s", "n"])
+
+
 def test_refold_drops_buckets_that_lost_their_rows(spark, frame, folder):
     jan, feb, mar = ms("2024-01-01"), ms("2024-02-01"), ms("2024-03-01")
     rows_ = frame([("A", jan, 1.0, 0, 3, 1), ("A", feb, 1.0, 0, 3, 2), ("A", mar, 1.0, 0, 3, 3)], OI)

@@ -370,3 +370,36 @@ def table_of(df: DataFrame, label: str) -> str:
     path = fresh(df.sparkSession, label)
     facts.append_facts(df, path)
     return path
+
+
+# --- an open-interest table with its rollups, as a repair leaves them ------------------------------------------------
+
+_LEVELS = {"1h": HOUR, "1d": DAY}
+
+
+def rollup_tables(raw: DataFrame, label: str) -> dict[str, str]:
+    """Rollups of the table as it is before a repair; returns their paths."""
+    base, out = versions.latest_snapshots(raw), {}
+    for interval in _LEVELS:
+        out[interval] = fresh(raw.sparkSession, f"{label}-{interval}")
+        facts.append_facts(rollup.rollup_oi(base, interval).withColumn("version", F.lit(1).cast("long")), out[interval])
+    return out
+
+
+def table_and_rollups(spark: SparkSession, path: str, levels: dict[str, str]) -> DataFrame:
+    nothing = {c: F.lit(None).cast(t).alias(c) for c, t in (("snap_ms", "long"), ("src_rank", "int"), ("ingest_seq", "long"), ("samples", "long"))}
+    out = facts.read_facts(spark, path, S.OI_5M).select(
+        F.lit("5m").alias("level"), *S.BAR_KEYS, F.col("sum_open_interest").alias("value"), "snap_ms", "src_rank", "ingest_seq", nothing["samples"])
+    for interval, target in levels.items():
+        out = out.unionByName(spark.read.parquet(target).select(
+            F.lit(interval).alias("level"), *S.BAR_KEYS, F.col("close").alias("value"), nothing["snap_ms"], nothing["src_rank"], nothing["ingest_seq"], "samples"))
+    return out
+
+
+def table_and_rollups_sql(source: str) -> str:
+    folds = "".join(f"""
+UNION ALL SELECT '{iv}', symbol, start_ms - start_ms % {ms}, arg_max(sum_open_interest, start_ms), NULL, NULL, NULL, count(*)
+FROM (SELECT symbol, start_ms, sum_open_interest FROM {source} QUALIFY row_number() OVER (
+        PARTITION BY symbol, start_ms ORDER BY src_rank DESC, ingest_seq DESC) = 1) GROUP BY symbol, start_ms - start_ms % {ms}""" for iv, ms in _LEVELS.items())
+    return f"""SELECT '5m' AS level, symbol, start_ms, sum_open_interest AS value, snap_ms, CAST(src_rank AS INTEGER) AS src_rank, ingest_seq, CAST(NULL AS BIGINT) AS samples
+FROM {source}{folds}"""

@@ -11,7 +11,7 @@ from candlemill.plans import repair
 from candlemill.sources import facts
 from workload.base import (
     BAR, CTES, DAY, HOUR, MINUTE, NOW, SPAN_FROM, bars, bars_raw, fresh, gaps_5m, kline_events, oi, oi_off_grid,
-    oi_raw, query, table_of, ticks, universe,
+    oi_raw, query, rollup_tables, table_and_rollups, table_and_rollups_sql, table_of, ticks, universe,
 )
 from workload.joins import repair_ranges
 
@@ -185,19 +185,23 @@ def validate_live(spark, sf):
     return rows.select("symbol", "status", F.coalesce("notes", F.lit("none")).alias("notes"))
 
 
-@query("""
-SELECT symbol, new_start AS start_ms, value AS sum_open_interest, new_start + 300000 AS snap_ms, CAST(3 AS INTEGER) AS src_rank
-FROM snap_plans WHERE action = 'move'
-UNION ALL SELECT symbol, start_ms, sum_open_interest, snap_ms, src_rank FROM oi WHERE start_ms // 300000 % 2 = 1""")
+CTES["grid_repaired"] = """
+SELECT p.symbol, new_start AS start_ms, value AS sum_open_interest, new_start + 300000 AS snap_ms, CAST(3 AS INTEGER) AS src_rank, o.ingest_seq
+FROM snap_plans p JOIN oi_best_off o ON o.symbol = p.symbol AND o.start_ms = p.old_start WHERE action = 'move'
+UNION ALL SELECT symbol, start_ms, sum_open_interest, snap_ms, src_rank, ingest_seq FROM oi WHERE start_ms // 300000 % 2 = 1"""
+CTES["oi_best_off"] = "SELECT symbol, start_ms, max(ingest_seq) AS ingest_seq FROM oi_off GROUP BY 1, 2"
+
+
+@query(table_and_rollups_sql("grid_repaired"))
 def off_grid_repair(spark, sf):
-    """Off-grid rows of a table snapped or dropped in place; a second run does nothing."""
+    """Off-grid rows of a table snapped or dropped in place, its rollups folded anew; a second run moves nothing."""
     names = [f.name for f in S.OI_5M.fields]
     grid = oi(spark, sf).where((F.col("start_ms") / BAR) % 2 == 1).select(*names)
-    path, log = table_of(grid.unionByName(oi_off_grid(spark, sf).select(*names)), "offgrid"), fresh(spark, "offgrid-log")
-    for _ in range(2):
-        repair.repair_off_grid(spark, path, log, NOW)
-    return facts.read_facts(spark, path, S.OI_5M).select(
-        *S.BAR_KEYS, "sum_open_interest", "snap_ms", "src_rank")
+    raw = grid.unionByName(oi_off_grid(spark, sf).select(*names))
+    path, log, levels = table_of(raw, "offgrid"), fresh(spark, "offgrid-log"), rollup_tables(raw, "offgrid")
+    for k in range(2):
+        repair.repair_off_grid(spark, path, log, NOW + k, levels)
+    return table_and_rollups(spark, path, levels)
 
 
 _SWEEP_DAYS = 12

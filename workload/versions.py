@@ -9,8 +9,8 @@ from candlemill.operators import rollup, versions
 from candlemill.plans import refresh, repair
 from candlemill.sources import facts
 from workload.base import (
-    BAR, CTES, DAY, HOUR, NOW, SPAN_FROM, bars, bars_raw, fresh, oi, oi_raw, query, round_sql, rounded,
-    table_of,
+    BAR, CTES, DAY, HOUR, NOW, SPAN_FROM, bars, bars_raw, fresh, oi, oi_raw, query, rollup_tables, round_sql, rounded,
+    table_and_rollups, table_and_rollups_sql, table_of,
 )
 
 _BAR_COLUMNS = f"symbol, start_ms, version, ingest_seq, close, {round_sql('volume')}"
@@ -88,17 +88,38 @@ FROM oi_raw WHERE src_rank = 3
 QUALIFY row_number() OVER (PARTITION BY symbol, start_ms ORDER BY ingest_seq DESC) = 1"""
 
 
-@query("""SELECT symbol, start_ms, sum_open_interest, snap_ms, src_rank, ingest_seq FROM archive_moved
-          UNION ALL SELECT symbol, start_ms, sum_open_interest, snap_ms, src_rank, ingest_seq
-          FROM oi_raw WHERE src_rank < 3""")
+CTES["archive_shifted"] = """
+SELECT * FROM archive_moved
+UNION ALL SELECT symbol, start_ms, sum_open_interest, snap_ms, src_rank, ingest_seq FROM oi_raw WHERE src_rank < 3"""
+
+
+@query(table_and_rollups_sql("archive_shifted"))
 def archive_shift_repair(spark, sf):
-    """All archive rows moved one bar later, once; a second run is refused quietly."""
+    """All archive rows moved one bar later, once, and the rollups folded anew; a second run moves nothing."""
     raw = oi_raw(spark, sf)
-    path, log = table_of(raw, "shift"), fresh(spark, "shift-log")
+    path, log, levels = table_of(raw, "shift"), fresh(spark, "shift-log"), rollup_tables(raw, "shift")
     earliest = raw.where(F.col("src_rank") == 3).agg(F.min("start_ms")).first()[0]
-    for _ in range(2):
-        repair.repair_archive_shift(spark, path, log, earliest + BAR, NOW)
-    return facts.read_facts(spark, path, S.OI_5M).drop("month")
+    for k in range(2):
+        repair.repair_archive_shift(spark, path, log, earliest + BAR, NOW + k, rollup_paths=levels)
+    return table_and_rollups(spark, path, levels)
+
+
+@query(f"""SELECT 'sound' AS name, count(*) AS bars, '' AS faults FROM oi
+           UNION ALL SELECT 'short', count(*), 'src_rank:int:none' FROM oi
+           UNION ALL SELECT 'mixed', count(*), 'sum_open_interest:double:string;snap_ms:bigint:string' FROM oi""")
+def layout_check(spark, sf):
+    """The preflight of the table jobs, on a sound table, one that lacks a column and one with columns of other types."""
+    names = [f.name for f in S.OI_5M.fields]
+    rows = oi(spark, sf).select(*names)
+    made = {"sound": rows, "short": rows.drop("src_rank"), "mixed": rows.withColumns({
+        "snap_ms": F.col("snap_ms").cast("string"), "sum_open_interest": F.col("sum_open_interest").cast("string")})}
+    out = None
+    for name, df in made.items():
+        stored = spark.read.parquet(table_of(df, f"layout-{name}"))
+        faults = ";".join(f"{c}:{want}:{found or 'none'}" for c, want, found in facts.layout_faults(stored.schema, S.OI_5M))
+        told = stored.agg(F.lit(name).alias("name"), F.count("*").alias("bars"), F.lit(faults).alias("faults"))
+        out = told if out is None else out.union(told)
+    return out
 
 
 @query("""SELECT symbol, day_ms FROM (SELECT DISTINCT symbol, start_ms - start_ms % 86400000 AS day_ms FROM oi)
