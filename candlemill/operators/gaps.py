@@ -8,10 +8,9 @@ from pyspark.sql import functions as F
 from candlemill import timegrid as tg
 from candlemill.operators import ordered
 from candlemill.operators.filters import within
+from candlemill.operators.presence import bar_words, bit_runs
 from candlemill.operators.ranges import merge_ranges
 
-WORD = 60  # bars per presence word: an hour of minutes, and it fits a long
-
 
 def find_gaps(bars: DataFrame, step: int, from_ms: int | None = None,
               to_ms: int | None = None, on_grid: bool = False) -> DataFrame:
@@ -39,26 +38,7 @@ def find_gaps(bars: DataFrame, step: int, from_ms: int | None = None,
 
 def _steps_between_runs(rows: DataFrame, step: int, chunk_ms: int) -> DataFrame:
     """Last bar of a run and first bar of the next one, for runs of unbroken bars."""
-    slot = tg.whole(F.col("start_ms"), step)
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(WORD)).cast("int"))
-    words = (
-        rows.where(F.pmod("start_ms", F.lit(step)) == 0)
-        .groupBy("symbol", tg.whole(slot, WORD).alias("word"))
-        .agg(F.bit_or(bit).alias("bits")))
-    bits = F.col("bits")
-    opening = bits.bitwiseAND(F.bitwise_not(F.shiftleft(bits, 1)))
-    closing = bits.bitwiseAND(F.bitwise_not(F.shiftright(bits, 1)))
-    places = F.sequence(F.lit(0), F.lit(WORD - 1))
-
-    def set_places(mask):
-        return F.filter(places, lambda i: F.getbit(mask, i) == 1)
-
-    # the n-th opening bit and the n-th closing bit bound the n-th run of a word
-    runs = F.explode(F.arrays_zip(set_places(opening).alias("a"), set_places(closing).alias("b")))
-    first = F.col("word") * WORD
-    runs = words.select("symbol", first.alias("first"), runs.alias("r")).select(
-        "symbol", ((F.col("first") + F.col("r.a")) * step).alias("head"),
-        ((F.col("first") + F.col("r.b")) * step).alias("tail"))
+    runs = bit_runs(bar_words(rows, step), step)
     runs = runs.withColumn("_chunk", tg.whole(F.col("head"), chunk_ms))
     inside = Window.partitionBy("symbol", "_chunk").orderBy("head")
     apart = (

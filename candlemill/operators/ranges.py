@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from candlemill import timegrid as tg
+from candlemill.operators import presence
 
 # ranges are joined to bars through the day chunks they cover
 _JOIN_CHUNK_MS = tg.DAY_MS
@@ -74,12 +75,29 @@ def range_bars(ranges: DataFrame, step: int) -> DataFrame:
 
 
 def subtract_present(ranges: DataFrame, bars: DataFrame, step: int) -> DataFrame:
-    """Parts of the (merged) ranges for which no bar exists."""
-    wanted = range_bars(ranges.select("symbol", "from_ms", "to_ms"), step)
-    missing = wanted.join(bars.select("symbol", "start_ms"), ["symbol", "start_ms"], "left_anti")
-    unit = missing.select("symbol", F.col("start_ms").alias("from_ms"),
-                          (F.col("start_ms") + step).alias("to_ms"))
-    return merge_ranges(unit)
+    """Parts of the ranges for which no bar exists; bars are those on the grid of ``step``.
+
+    Ranges and bars are laid side by side as words of 60 bars, so a range of years costs its words, and what is left
+    over is read off in runs. ``bars`` are bound to the ranges' months if they carry theirs.
+    """
+    asked = ranges.select("symbol", "from_ms", "to_ms")
+    words = presence.compared(presence.range_words(asked, step), presence.bar_words(in_months_of(bars, asked), step))
+    left = words.select("symbol", "word", presence.without_bits(F.col("bits"), F.col("bits_1")).alias("bits")).where("bits <> 0")
+    runs = presence.bit_runs(left, step)
+    return merge_ranges(runs.select("symbol", F.col("head").alias("from_ms"), (F.col("tail") + step).alias("to_ms")))
+
+
+def in_months_of(rows: DataFrame, ranges: DataFrame) -> DataFrame:
+    """The rows of the months that the ranges touch; all of them if the rows don't carry their month.
+
+    The driver gets the months, a list that the calendar bounds.
+    """
+    if "month" not in rows.columns:
+        return rows
+    days = F.explode(F.sequence(tg.whole(F.col("from_ms"), tg.DAY_MS), tg.whole(F.col("to_ms") - 1, tg.DAY_MS)))
+    touched = ranges.where(F.col("to_ms") > F.col("from_ms")).select(days.alias("day"))
+    months = touched.select(tg.month_of(F.col("day") * tg.DAY_MS).alias("m")).distinct().collect()
+    return rows.where(F.col("month").isin(sorted(r["m"] for r in months)))
 
 
 def wanted_bars(bars: DataFrame, ranges: DataFrame) -> DataFrame:

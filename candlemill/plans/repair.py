@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from candlemill import schemas as S
 from candlemill import timegrid as tg
 from candlemill.functions import columns as fx
-from candlemill.operators import filters, gaps, ranges, snap, versions
+from candlemill.operators import filters, gaps, presence, ranges, snap, versions
 from candlemill.operators.rollup import rollup_oi
 from candlemill.plans import refresh
-from candlemill.session import exists, materialize
+from candlemill.session import exists, materialize, newest_whole, remove, scratch_path
 from candlemill.sources import facts
 
 
@@ -34,30 +34,28 @@ def repair_bars(gap_ranges: DataFrame, bars: DataFrame, candidates: DataFrame, n
     closed_before = tg.floor_to(now_ms, step)
     due = gap_ranges.where(F.col("from_ms") < closed_before).withColumn(
         "to_ms", F.least("to_ms", F.lit(closed_before)))
-    closed = candidates.where(F.col("end_ms") < now_ms)
+    closed = ranges.in_months_of(candidates, due).where(F.col("end_ms") < now_ms)
     fitting = ranges.wanted_bars(closed, ranges.merge_ranges(due))
-    absent = fitting.join(bars.select(*S.BAR_KEYS), S.BAR_KEYS, "left_anti")
+    absent = fitting.join(ranges.in_months_of(bars, due).select(*S.BAR_KEYS), S.BAR_KEYS, "left_anti")
     return _one_each(absent)
 
 
 def repair_stats(gap_ranges: DataFrame, bars: DataFrame, candidates: DataFrame, now_ms: int,
                  step: int = tg.MINUTE_MS) -> DataFrame:
-    """Per symbol: bars asked for, already there, found and not found."""
+    """Per symbol: bars asked for, already there, found and not found; bars are those on the grid of ``step``.
+
+    Ranges, bars and candidates meet as words of 60 bars; no row stands for a single bar that is asked for.
+    """
     closed_before = tg.floor_to(now_ms, step)
-    due = ranges.merge_ranges(
-        gap_ranges.where(F.col("from_ms") < closed_before)
-        .withColumn("to_ms", F.least("to_ms", F.lit(closed_before))))
-    wanted = ranges.range_bars(due, step)
-    have = bars.select(*S.BAR_KEYS).distinct().withColumn("_have", F.lit(1))
-    offered = candidates.where(F.col("end_ms") < now_ms).select(*S.BAR_KEYS).distinct().withColumn(
-        "_offered", F.lit(1))
-    joined = wanted.join(have, S.BAR_KEYS, "left").join(offered, S.BAR_KEYS, "left")
-    fetched = F.col("_have").isNull() & F.col("_offered").isNotNull()
-    return joined.groupBy("symbol").agg(
-        F.count("*").alias("requested"),
-        F.count("_have").alias("present"),
-        F.count_if(fetched).alias("fetched"),
-        F.count_if(F.col("_have").isNull() & F.col("_offered").isNull()).alias("empty"))
+    due = (gap_ranges.where(F.col("from_ms") < closed_before)
+           .select("symbol", "from_ms", F.least("to_ms", F.lit(closed_before)).alias("to_ms")))
+    have = presence.bar_words(ranges.in_months_of(bars, due), step)
+    offered = presence.bar_words(ranges.in_months_of(candidates, due).where(F.col("end_ms") < now_ms), step)
+    words = presence.compared(presence.range_words(due, step), have, offered)
+    asked, here, found = (F.col(c) for c in ("bits", "bits_1", "bits_2"))
+    absent = presence.without_bits(asked, here)
+    counts = {"requested": asked, "present": asked.bitwiseAND(here), "fetched": absent.bitwiseAND(found), "empty": presence.without_bits(absent, found)}
+    return words.groupBy("symbol").agg(*[F.sum(F.bit_count(c)).alias(n) for n, c in counts.items()])
 
 
 def oldest_offered(now_ms: int, retention_ms: int | None) -> int | None:
@@ -309,7 +307,8 @@ def repair_off_grid(spark: SparkSession, path: str, log_folder: str, now_ms: int
 def sweep(bars: DataFrame, candidates: DataFrame, known_empty: DataFrame, now_ms: int, *,
           step: int = tg.MINUTE_MS, settle_ms: int = 3 * tg.MINUTE_MS,
           window_ms: int = tg.DAY_MS, empty_ttl_ms: int = 12 * tg.HOUR_MS,
-          failed: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+          failed: DataFrame | None = None,
+          store: Callable[[DataFrame, str], DataFrame] = materialize) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Find holes in the recent window and repair them from the candidates.
 
     All ranges that are due are taken at once. Returns the rows to append, the outcome of every range (``repaired``,
@@ -318,12 +317,12 @@ def sweep(bars: DataFrame, candidates: DataFrame, known_empty: DataFrame, now_ms
     """
     from_ms, to_ms = tg.sweep_window(now_ms, settle_ms, window_ms, step)
     holes = gaps.find_gaps(bars, step, from_ms, to_ms)
-    plan = materialize(ranges.sweep_plan(holes, known_empty, now_ms), "sweep")
+    plan = store(ranges.sweep_plan(holes, known_empty, now_ms), "sweep")
     usable = plan
     if failed is not None:
         usable = plan.join(failed.select("symbol", "from_ms"), ["symbol", "from_ms"], "left_anti")
     rows = repair_bars(usable.select("symbol", "from_ms", "to_ms"), bars, candidates, now_ms, step)
-    found = materialize(rows, "sweep-rows")
+    found = store(rows, "sweep-rows")
     # holes never overlap, so each repaired bar belongs to one range
     spans = plan.select("symbol", "from_ms", "to_ms", F.explode(F.sequence(
         tg.whole(F.col("from_ms"), tg.DAY_MS), tg.whole(F.col("to_ms") - 1, tg.DAY_MS))).alias("_d"))
@@ -348,6 +347,51 @@ def sweep(bars: DataFrame, candidates: DataFrame, known_empty: DataFrame, now_ms
     return found, outcome, remembered.unionByName(fresh)
 
 
+_MEMORY = "symbol string, from_ms long, expires_ms long"
+
+
+def read_memory(spark: SparkSession, path: str) -> DataFrame:
+    """Ranges that sweeps found empty; of the folders that were written whole the newest counts."""
+    kept = newest_whole(spark, path)
+    return spark.createDataFrame([], _MEMORY) if kept is None else spark.read.schema(_MEMORY).parquet(kept)
+
+
+def write_memory(memory: DataFrame, path: str, now_ms: int) -> None:
+    """Replace the memory at once: readers see the old folder until the new one is whole, then that alone."""
+    spark, before = memory.sparkSession, newest_whole(memory.sparkSession, path)
+    target = f"{path.rstrip('/')}/at={now_ms:020d}"
+    memory.write.mode("overwrite").parquet(target)
+    if before and not before.endswith(target.rsplit("/", 1)[-1]):
+        remove(spark, before)
+
+
+def sweep_job(spark: SparkSession, bars_path: str, candidates: DataFrame, memory_path: str, log_path: str, now_ms: int,
+              version: int | None = None, **options) -> DataFrame:
+    """One sweep over a stored table: fill its holes, remember what was found empty, and log each range's outcome.
+
+    Only the months of the swept window are read, and of the candidates those of the holes. The rows are appended, then the
+    memory is replaced, then the log written; a run that breaks leaves holes that the next one finds again. What the
+    run wrote for itself is removed. Returns the outcomes. Writes tables.
+    """
+    facts.preflight(spark, bars_path, S.BARS_1M)
+    bars = facts.read_facts(spark, bars_path, S.BARS_1M)
+    own = scratch_path(spark, "sweep")
+
+    def store(df: DataFrame, label: str) -> DataFrame:
+        df.write.parquet(f"{own}/{label}")
+        return spark.read.schema(df.schema).parquet(f"{own}/{label}")
+
+    memory = store(read_memory(spark, memory_path), "memory")
+    found, outcome, remembered = sweep(bars, candidates, memory, now_ms, store=store, **options)
+    told = store(outcome, "outcome")
+    facts.append_facts(found.select(*[f.name for f in S.BARS_1M.fields]), bars_path, now_ms if version is None else version)
+    write_memory(remembered, memory_path, now_ms)
+    log = f"{log_path.rstrip('/')}/sweep={now_ms}"
+    told.write.mode("overwrite").parquet(log)
+    remove(spark, own)
+    return spark.read.schema(told.schema).parquet(log)
+
+
 def sweep_stats(bars: DataFrame, known_empty: DataFrame, outcome: DataFrame, now_ms: int, *, step: int = tg.MINUTE_MS,
                 settle_ms: int = 3 * tg.MINUTE_MS, window_ms: int = tg.DAY_MS) -> DataFrame:
     """Per symbol: holes found, skipped since they were found empty before, submitted, and what became of these."""

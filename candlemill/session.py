@@ -50,6 +50,15 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def newest_whole(spark: SparkSession, path: str) -> str | None:
+    """The last by name of the folders below ``path`` that were written to their end; None if there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [s.getPath() for s in system.listStatus(target)] if system.exists(target) else []
+    whole = [p.toString() for p in found if system.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
+    return max(whole, default=None)
+
+
 @contextmanager
 def staged(df, label: str) -> Iterator:
     """The frame as a written table for the time of a rewrite; removed once that is through.

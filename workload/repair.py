@@ -244,6 +244,35 @@ def sweep_stats(spark, sf):
     return repair.sweep_stats(held, known, outcome, NOW, **days)
 
 
+# a second sweep finds what the first one left; its holes have new borders, or were found empty and are remembered
+CTES["sweep_first"] = """
+SELECT g.symbol, g.from_ms, g.to_ms, (SELECT count(*) FROM offered_bars o WHERE o.symbol = g.symbol AND o.start_ms >= g.from_ms AND o.start_ms < g.to_ms
+  AND (o.symbol, o.start_ms) NOT IN (SELECT (symbol, start_ms) FROM held_bars)) AS fetched FROM sweep_gaps g"""
+CTES["sweep_filled"] = f"""
+SELECT symbol, start_ms FROM held_bars UNION SELECT o.symbol, o.start_ms FROM offered_bars o JOIN sweep_gaps g
+ON o.symbol = g.symbol AND o.start_ms >= g.from_ms AND o.start_ms < g.to_ms"""
+CTES["sweep_second"] = f"""
+SELECT symbol, prev + 60000 AS from_ms, start_ms AS to_ms FROM (
+  SELECT symbol, start_ms, lag(start_ms) OVER (PARTITION BY symbol ORDER BY start_ms) AS prev FROM sweep_filled
+  WHERE start_ms >= {NOW - 180_000 - _SWEEP_DAYS * DAY} AND start_ms < {NOW - 180_000}) WHERE start_ms - prev > 60000
+AND (symbol, prev + 60000) NOT IN (SELECT (symbol, from_ms) FROM sweep_first WHERE fetched = 0)"""
+
+
+@query("""SELECT CAST(1 AS INTEGER) AS run, symbol, from_ms, to_ms, fetched, CASE WHEN fetched = 0 THEN 'empty' ELSE 'repaired' END AS outcome FROM sweep_first
+          UNION ALL SELECT 2, symbol, from_ms, to_ms, 0, 'empty' FROM sweep_second""")
+def sweep_job(spark, sf):
+    """Two sweeps in a row over a written table; the second asks for nothing that the first found empty."""
+    names = [f.name for f in S.BARS_1M.fields]
+    path, memory, log = table_of(_held(spark, sf).select(*names), "swept"), fresh(spark, "swept-memory"), fresh(spark, "swept-log")
+    offered = facts.read_facts(spark, table_of(_offered(spark, sf).select(*names), "offered"), S.BARS_1M)
+    out = None
+    for run in (1, 2):
+        told = repair.sweep_job(spark, path, offered, memory, log, NOW + run - 1, window_ms=_SWEEP_DAYS * DAY)
+        told = told.select(F.lit(run).alias("run"), "symbol", "from_ms", "to_ms", "fetched", "outcome")
+        out = told if out is None else out.unionByName(told)
+    return out
+
+
 _OLDEST = tg.floor_to(NOW - 20 * DAY, BAR) + BAR
 CTES["oi_wanted"] = f"""
 SELECT w.symbol, w.t, w.t < {_OLDEST} AS gone, EXISTS (SELECT 1 FROM hist_points p WHERE p.symbol = w.symbol AND p.label_ms = w.t + 300000) AS hit
