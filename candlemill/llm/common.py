@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window, functions as F
@@ -94,6 +95,23 @@ def first_by_hash(rows: DataFrame, group: str, n: int) -> tuple[DataFrame, dict]
     return early.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= n), sizes
 
 
+def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For each of n positions the least position that the links i-j reach."""
+    label = np.arange(n)
+    while len(i):
+        least = np.minimum(label[i], label[j])
+        np.minimum.at(label, label[i], least)
+        np.minimum.at(label, label[j], least)
+        while True:
+            up = label[label]
+            if (up == label).all():
+                break
+            label = up
+        open_ = label[i] != label[j]
+        i, j = i[open_], j[open_]
+    return label
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """(node, component) of every node of the undirected ``edges`` (a, b, both long); the component is its least node.
 
@@ -141,7 +159,6 @@ def prefix_sums(rows: DataFrame, group: str, order: list[str], value: str, label
     out = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import numpy as np
         import pyarrow.compute as pc
         from pyspark import TaskContext
 

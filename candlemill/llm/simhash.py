@@ -9,7 +9,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from candlemill.llm.common import by_batch, components, free, shipped, stored, versioned
+from candlemill.llm.common import by_batch, components, forest, free, shipped, stored, versioned
 from candlemill.llm.likeness import band_keys, links as likeness_links, shingles
 
 shipped(__name__)
@@ -157,23 +157,6 @@ def close_pairs(a: np.ndarray, b: np.ndarray | None, budget: int) -> tuple[np.nd
     return np.concatenate([*found_i, np.zeros(0, np.int64)]), np.concatenate([*found_j, np.zeros(0, np.int64)])
 
 
-def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each of n positions the least position that the links i-j reach."""
-    label = np.arange(n)
-    while len(i):
-        least = np.minimum(label[i], label[j])
-        np.minimum.at(label, label[i], least)
-        np.minimum.at(label, label[j], least)
-        while True:
-            up = label[label]
-            if (up == label).all():
-                break
-            label = up
-        open_ = label[i] != label[j]
-        i, j = i[open_], j[open_]
-    return label
-
-
 def links(fps: DataFrame, budget: int = 2, node_rows: int = 4096, max_nodes: int = 4096) -> DataFrame:
     """Edges (a, b) between the ``rep`` of fingerprints, enough to connect whatever links with whatever.
 

@@ -8,8 +8,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from candlemill.llm.common import components, shipped, stored
-from candlemill.llm.simhash import forest
+from candlemill.llm.common import components, forest, shipped, stored
 
 shipped(__name__)
 

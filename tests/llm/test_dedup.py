@@ -161,6 +161,38 @@ def test_likeness_of_the_whole_sets():
     assert likeness.alike(a, a[:72], 0.8) and not likeness.alike(a, a[:71], 0.8)
 
 
+def test_shared_elements_are_counted_for_all_pairs(monkeypatch):
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 80 if k % 2 else 4_000, rng.integers(1, 90))) for k in range(70)]
+    want = np.array([[len(np.intersect1d(a, b)) for b in sets] for a in sets])
+    np.fill_diagonal(want, 0)
+    for rare in (1, 5, 16):
+        monkeypatch.setattr(likeness, "RARE", rare)
+        got = likeness.in_common(sets)
+        np.fill_diagonal(got, 0)
+        assert (got == want).all()
+
+
+def test_a_template_below_the_threshold_is_compared_in_blocks(spark, table, monkeypatch):
+    """Pages of one template, most of which are less alike than 0.8: no component settles them, blocks do."""
+    monkeypatch.setattr(likeness, "BLOCK", 2_000)
+    rng = np.random.default_rng(5)
+    base = [f"t{k}" for k in range(120)]
+    rows = []
+    for k in range(90):
+        own = list(base)
+        for at in rng.choice(120, int(rng.integers(1, 6)), replace=False):
+            own[at] = f"n{k}x{at}"
+        rows.append((k, " ".join(own)))
+    grams = [{tuple(t.split()[n:n + 5]) for n in range(116)} for _, t in rows]
+    prints = np.array([plain_fingerprint(t) for _, t in rows], dtype=np.uint64)
+    near = np.array([[10 * len(a & b) >= 8 * len(a | b) for b in grams] for a in grams]) | (np.bitwise_count(prints[:, None] ^ prints[None]) <= 2)
+    want = reach([i for i, _ in rows], near)
+    assert 0.05 < near.mean() < 0.6 and len(set(want)) > 5
+    got = simhash.near_duplicates(table(rows, "doc_id long, text string"), alike=0.8).collect()
+    assert {r.doc_id: r.component_id for r in got} == dict(zip([i for i, _ in rows], want))
+
+
 def test_components_of_a_long_path_and_a_hub(spark):
     path = [(k, k + 1) for k in range(200)] + [(1000, 1000 + k) for k in range(1, 500)] + [(7000, 7000)]
     got = {r.node: r.component for r in components(spark.createDataFrame(path, "a long, b long"), "test").collect()}
