@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from candlemill.llm import linededup, packing, quality, simhash, toxicity
 from candlemill.llm.common import stored
-from candlemill.llm.queries import ranks, shared_folder
+from candlemill.llm.queries import added_tokens, ranks, shared_folder
+
+ALIKE = 0.8  # Jaccard likeness of the five-word shingles from which the near-duplicate stage links two documents
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,13 +27,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that fingerprints or a likeness of 0.8 of the five-word shingles link."""
-    return simhash.keep_one(docs, alike=0.8)
+    """One document of each group that fingerprints or a likeness of ``ALIKE`` link."""
+    return simhash.keep_one(docs, alike=ALIKE)
 
 
 def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents in sequences of 2048 tokens; one row per piece."""
-    return packing.best_fit(docs, *ranks())
+    return packing.best_fit(docs, *ranks(), added=added_tokens())
 
 
 STAGES = [("quality", quality_rules), ("toxicity", toxic_documents), ("line_dedup", line_dedup), ("simhash", near_duplicates), ("packing", best_fit)]
