@@ -84,8 +84,8 @@ def validate_compact(windows: DataFrame) -> DataFrame:
         *windows.columns, "t", "fault")
 
 
-def inspect_window(windows: DataFrame, step: int, now_ms: int, expected: int = 200) -> DataFrame:
-    """Order, continuity, freshness and length of each served window.
+def inspect_window(windows: DataFrame, step: int, now_ms: int, expected: int = 200, universe: DataFrame | None = None) -> DataFrame:
+    """Order, continuity, freshness and length of each served window; EMPTY for a ``universe`` symbol without one.
 
     ``windows`` holds one row per list position (``symbol, pos, payload``, newest
     first) and at most a few hundred rows per symbol.
@@ -104,11 +104,14 @@ def inspect_window(windows: DataFrame, step: int, now_ms: int, expected: int = 2
         F.count("*").alias("length"),
         F.count_if(F.col("fault").isNotNull()).alias("bad_bars"))
     newest_closed = tg.floor_to(now_ms, step) - step
+    if universe is not None:
+        counts = counts.join(universe.select("symbol").distinct(), "symbol", "full").fillna(0, ["length", "bad_bars"])
     rows = counts.join(order, "symbol", "left").fillna(0, ["out_of_order", "gaps", "missing"])
     rows = rows.withColumn("corrupt", F.col("bad_bars") + F.col("out_of_order")).withColumn(
         "head_lag", F.greatest(tg.whole(F.lit(newest_closed) - F.col("head_ms"), step), F.lit(0)))
     status = (
-        F.when(F.col("head_ms").isNull(), "CORRUPT")
+        F.when(F.col("length") == 0, "EMPTY")
+        .when(F.col("head_ms").isNull(), "CORRUPT")
         .when((F.col("corrupt") > 0) | (F.col("gaps") > 0), "FAIL")
         .when(F.col("head_lag") > 2, "STALE")
         .when(F.col("length") < expected, "SHORT")

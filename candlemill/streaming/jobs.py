@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from candlemill import schemas as S
 from candlemill import timegrid as tg
@@ -191,6 +192,51 @@ def accounted(events: DataFrame, name: str = "events") -> DataFrame:
         F.count_if(F.col("bad_field").isNotNull()).alias("parse_errors"))
 
 
+class BatchCounters(StreamingQueryListener):
+    """Keeps what ``accounted`` reports with each micro-batch, one row a batch, in a table.
+
+    A batch that is run again after a failure reports again and replaces its row's folder, so counts are exact. The
+    listener runs on the driver and writes a row of sums, whatever the batch's size.
+    """
+
+    def __init__(self, spark, path: str, name: str = "events"):
+        self.spark, self.path, self.name = spark, path.rstrip("/"), name
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        told = event.progress.observedMetrics.get(self.name)
+        if told is None or event.progress.numInputRows == 0:
+            return
+        counts = told.asDict()
+        row = self.spark.range(1).select(*[F.lit(counts[c]).cast("long").alias(c) for c in ("events", "closed", "parse_errors")])
+        row.write.mode("overwrite").parquet(f"{self.path}/query={event.progress.id}/batch={event.progress.batchId}")
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+
+def run_accounted(events: DataFrame, body: Callable[[DataFrame, int], None], counts_path: str, checkpoint: str) -> None:
+    """Process everything available now and keep each batch's counters (events, closed ones, parse errors).
+
+    ``events`` are parsed (``bad_field`` names what didn't parse). The counters come with the batch itself: no second pass
+    counts them.
+    """
+    spark = events.sparkSession
+    listener = BatchCounters(spark, counts_path)
+    spark.streams.addListener(listener)
+    try:
+        (accounted(events).writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start().awaitTermination())
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()  # progress is reported behind the batch
+    finally:
+        spark.streams.removeListener(listener)
+
+
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, mode: str = "append") -> None:
     """Process everything available now into one folder per micro-batch.
 

@@ -108,6 +108,60 @@ def test_off_grid_repair_and_refold(spark, frame, folder):
     assert fold.agg(F.sum("samples")).first()[0] == 3 and {r.version for r in fold.collect()} == {5}
 
 
+def test_sweeps_remember_what_they_found_empty(spark, frame, folder):
+    now, base = ms("2026-09-21 12:00:30"), ms("2026-09-21 10:00")
+    path, memory, log = folder("swept"), folder("memory"), folder("log")
+    held = bars(spark, [bar("A", base + i * MIN) for i in range(30) if i not in (3, 4, 10)] + [bar("A", ms("2026-01-05") + i * MIN) for i in range(3)])
+    facts.append_facts(held, path)
+    offered = bars(spark, [bar("A", base + 3 * MIN)]).withColumn("month", F.lit(202609))
+    first = repair.sweep_job(spark, path, offered, memory, log, now)
+    assert rows(first, "from_ms", "fetched", "outcome") == sorted([(base + 3 * MIN, 1, "repaired"), (base + 10 * MIN, 0, "empty")], key=repr)
+    # what is left of the repaired hole is asked for, what was empty isn't, until its time is over
+    second = repair.sweep_job(spark, path, offered, memory, log, now + MIN)
+    assert rows(second, "from_ms", "outcome") == [(base + 4 * MIN, "empty")]
+    assert repair.sweep_job(spark, path, offered, memory, log, now + 2 * MIN).count() == 0
+    later = repair.sweep_job(spark, path, offered, memory, log, now + 12 * 60 * MIN)
+    assert sorted(r.from_ms for r in later.collect()) == [base + 4 * MIN, base + 10 * MIN]
+    assert facts.read_facts(spark, path, S.BARS_1M).count() == 31
+    # a memory that wasn't written to its end isn't read
+    frame([("A", 1, 2**60)], "symbol string, from_ms long, expires_ms long").coalesce(1).write.parquet(f"{memory}/at=9")
+    from candlemill.session import remove
+    remove(spark, f"{memory}/at=9/_SUCCESS")
+    assert repair.read_memory(spark, memory).where("from_ms = 1").count() == 0
+
+
+def test_repairs_read_the_months_of_their_ranges(spark, frame, folder):
+    path = folder("pruned")
+    facts.append_facts(bars(spark, [bar("A", ms(f"2024-{m:02d}-03") + i * MIN) for m in range(1, 7) for i in (0, 2)]), path)
+    table = facts.read_facts(spark, path, S.BARS_1M)
+    hole = frame([("A", ms("2024-03-03") + MIN, ms("2024-03-03") + 2 * MIN)], RANGE)
+    now = ms("2024-07-01")
+    for df in (repair.repair_bars(hole, table, table, now), repair.repair_stats(hole, table, table, now)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: []" not in plan and "202403" in plan
+    assert rows(repair.repair_stats(hole, table, table, now)) == [("A", 1, 0, 0, 1)]
+
+
+def test_presence_words_are_sets_of_bars(spark, frame):
+    import random
+
+    from candlemill.operators import presence, ranges
+
+    rng = random.Random(7)
+    asked = [("AB"[rng.random() < 0.4], a * MIN, (a + rng.randrange(1, 200)) * MIN) for a in (rng.randrange(0, 3_000) for _ in range(30))] + [("A", 7, 5), ("B", 130 * MIN + 1, 130 * MIN + 2)]
+    held = {("AB"[rng.random() < 0.5], rng.randrange(0, 3_200) * MIN) for _ in range(1_500)}
+    want = {(s, t) for s, a, b in asked for t in range(-(-a // MIN) * MIN, b, MIN)}
+    words = presence.range_words(frame(asked, RANGE), MIN)
+    assert words.agg(F.sum(F.bit_count("bits"))).first()[0] == len(want)
+    left = ranges.subtract_present(frame(asked, RANGE), bars(spark, [bar(s, t) for s, t in held]), MIN).collect()
+    got = [(r.symbol, t) for r in left for t in range(r.from_ms, r.to_ms, MIN)]
+    assert set(got) == want - held and len(got) == len(set(got))
+    assert all((r.symbol, r.to_ms) not in set(got) for r in left)  # runs are joined across words
+    # ten years of minutes are 87,600 words, not 5 million rows
+    years = presence.range_words(frame([("A", 0, 3_650 * DAY)], RANGE), MIN)
+    assert years.count() == 87_600 and years.agg(F.sum(F.bit_count("bits"))).first()[0] == 3_650 * 1_440
+
+
 class Crash(Exception):
     pass
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from candlemill import schemas as S
-from candlemill.operators import sections, windows
+from candlemill.operators import filters, sections, windows
 from candlemill.sources import facts, landing
 from candlemill.streaming import jobs, livepath
 from workload.base import (
-    CTES, DAY, HOUR, SECTION_TIMEOUT, SPAN_FROM, STEPS, bars, fresh, guard_events, kline_events, query, sections_1h,
+    CTES, DAY, HOUR, SECTION_TIMEOUT, SPAN_FROM, bars, fresh, guard_events, kline_events, query, sections_1h,
     ticks, universe,
 )
 from workload.streams import _DERIVED, _replayed
@@ -128,3 +128,18 @@ def live_path(spark, sf):
         F.lit("window"), "symbol", F.col("bar.t"), F.col("bar.c"), F.col("pos").cast("long"))
     ready = spark.read.parquet(f"{root}/ready").select(F.lit("ready"), "reason", "timestamp", F.col("symbols_count").cast("double"), "published_ms")
     return archive.union(window).union(ready)
+
+
+# --- counters of a stream's batches ------------------------------------------------------------------------------------
+
+@query("""SELECT count(*) AS events, count(*) FILTER (WHERE is_final) AS closed, count(*) FILTER (WHERE seq % 19 = 0) AS parse_errors FROM kline_events""")
+def stream_accounting(spark, sf):
+    """The sums of what every batch of a stream reported about itself."""
+    rows = kline_events(spark, sf).withColumn("high", F.when(F.col("seq") % 19 == 0, "broken").otherwise(F.col("high")))
+    counts, out = fresh(spark, "counts"), fresh(spark, "counted")
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{out}/{jobs.query_folder(batch.sparkSession)}/batch={batch_id}")
+
+    _replayed(spark, rows, "counts", lambda stream, checkpoint: jobs.run_accounted(filters.parse_quantities(stream), write, counts, checkpoint))
+    return spark.read.parquet(counts).agg(*[F.sum(c).alias(c) for c in ("events", "closed", "parse_errors")])

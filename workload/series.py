@@ -9,7 +9,7 @@ from candlemill import timegrid as tg
 from candlemill.operators import gaps, ordered, panel, ranges, rollup, sections, windows
 from workload.base import (
     BAR, CTES, DAY, HOUR, MINUTE, NOW, bars, bars_at, bars_raw, gaps_5m, gaps_sql, guard_events, oi, oi_raw, query,
-    round_sql, rounded, ticks,
+    round_sql, rounded, ticks, universe,
 )
 from workload.quality import HI, snap_plan_of
 
@@ -124,15 +124,19 @@ WITH sound AS (SELECT symbol, t, pos, lead(t) OVER (PARTITION BY symbol ORDER BY
 o AS (SELECT symbol, max(t) AS head_ms, min(t) AS tail_ms, count(*) FILTER (WHERE t - older > 60000) AS gaps,
              CAST(coalesce(sum((t - older) // 60000 - 1) FILTER (WHERE t - older > 60000), 0) AS BIGINT) AS missing
       FROM sound GROUP BY symbol),
-n AS (SELECT symbol, count(*) AS length, count(*) FILTER (WHERE broken) AS corrupt FROM served GROUP BY symbol)
+n AS (SELECT symbol, count(*) FILTER (WHERE served.symbol IS NOT NULL) AS length, count(*) FILTER (WHERE broken) AS corrupt
+      FROM (SELECT DISTINCT symbol FROM ticks UNION SELECT DISTINCT symbol || '2' FROM ticks) u LEFT JOIN served USING (symbol) GROUP BY symbol)
 SELECT symbol, length, head_ms, tail_ms, greatest(({_NEWEST} - head_ms) // 60000, 0) AS head_lag,
        coalesce(gaps, 0) AS gaps, coalesce(missing, 0) AS missing, corrupt,
-       CASE WHEN head_ms IS NULL THEN 'CORRUPT' WHEN corrupt > 0 OR gaps > 0 THEN 'FAIL'
+       CASE WHEN length = 0 THEN 'EMPTY' WHEN head_ms IS NULL THEN 'CORRUPT' WHEN corrupt > 0 OR gaps > 0 THEN 'FAIL'
             WHEN ({_NEWEST} - head_ms) // 60000 > 2 THEN 'STALE' WHEN length < 200 THEN 'SHORT'
             WHEN {_NEWEST} > head_ms THEN 'WARN' ELSE 'PASS' END AS status
 FROM n LEFT JOIN o USING (symbol)""")
 def window_inspection(spark, sf):
-    return windows.inspect_window(served_windows(spark, sf), MINUTE, NOW, 200)
+    """Served windows of a universe of which every second symbol has none."""
+    names = universe(spark, sf)
+    both = names.unionByName(names.select(F.concat("symbol", F.lit("2")).alias("symbol")))
+    return windows.inspect_window(served_windows(spark, sf), MINUTE, NOW, 200, both)
 
 
 @query("""SELECT symbol, pos, CASE WHEN broken THEN 'wrong_length' ELSE 'none' END AS fault FROM served""")
