@@ -120,7 +120,7 @@ def test_sweeps_remember_what_they_found_empty(spark, frame, folder):
     second = repair.sweep_job(spark, path, offered, memory, log, now + MIN)
     assert rows(second, "from_ms", "outcome") == [(base + 4 * MIN, "empty")]
     assert repair.sweep_job(spark, path, offered, memory, log, now + 2 * MIN).count() == 0
-    later = repair.sweep_job(spark, path, offered, memory, log, now + 12 * 60 * MIN)
+    later = repair.sweep_job(spark, path, offered, memory, log, now + (12 * 60 + 2) * MIN)
     assert sorted(r.from_ms for r in later.collect()) == [base + 4 * MIN, base + 10 * MIN]
     assert facts.read_facts(spark, path, S.BARS_1M).count() == 31
     # a memory that wasn't written to its end isn't read
