@@ -127,6 +127,18 @@ def silence_monitor(events: DataFrame, stale: str = "60 seconds", late: str = "0
         F.count("*").alias("events")).drop("session_window")
 
 
+def silence_requests(events: DataFrame, stale_ms: int, quiet_ms: int = 30_000, late: str = "0 seconds") -> DataFrame:
+    """Repair requests per interval: silences of its keys, joined while they end within ``quiet_ms`` of each other.
+
+    Two stateful steps: silences are told per key, so a busy interval is no hot key, and only their ends meet by interval.
+    The quiet time is event time, so a replay gives the same requests.
+    """
+    use_rocksdb_state(events.sparkSession)
+    rows = events.withColumn("arrival_ts", F.timestamp_millis("arrival_ms")).withWatermark("arrival_ts", late)
+    ends = rows.groupBy(*KEYS).transformWithState(P.SilenceEnd(stale_ms), P.SilenceEnd.schema, "Append", "EventTime", eventTimeColumnName="ended_at")
+    return ends.groupBy("interval").transformWithState(P.Debounce(quiet_ms), P.Debounce.schema, "Append", "EventTime")
+
+
 def query_folder(spark) -> str:
     """Folder of the running stream: its id stays with the checkpoint, so another checkpoint overwrites nothing."""
     return f"query={spark.sparkContext.getLocalProperty('sql.streaming.queryId')}"

@@ -266,3 +266,72 @@ class RebuiltWindow(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class SilenceEnd(StatefulProcessor):
+    """One row for each arrival of a key that ends a silence longer than ``stale_ms``."""
+
+    schema = "symbol string, interval string, last_before_ms long, first_after_ms long, ended_at timestamp"
+
+    def __init__(self, stale_ms: int):
+        self.stale_ms = stale_ms
+
+    def init(self, handle) -> None:
+        self.last = handle.getValueState("last", "arrival_ms long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        last = self.last.get()[0] if self.last.exists() else None
+        for at, stamp in sorted((row.arrival_ms, row.arrival_ts) for row in rows):
+            if last is not None and at - last > self.stale_ms:
+                yield Row(symbol=key[0], interval=key[1], last_before_ms=last, first_after_ms=at, ended_at=stamp)
+            last = at if last is None else max(last, at)
+        self.last.update((last,))
+
+    def close(self) -> None:
+        pass
+
+
+class Debounce(StatefulProcessor):
+    """One request for silences of a group that end within ``quiet_ms`` of each other, once that time is over.
+
+    A later end puts the request off; a timer fires it when the watermark has passed the quiet time. State is one pending
+    request for each group.
+    """
+
+    schema = "interval string, from_ms long, last_end_ms long, fire_ms long"
+
+    def __init__(self, quiet_ms: int):
+        self.quiet_ms = quiet_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.pending = handle.getValueState("pending", "from_ms long, last_end_ms long")
+
+    def _request(self, key, pending) -> Row:
+        return Row(interval=key[0], from_ms=pending[0], last_end_ms=pending[1], fire_ms=pending[1] + self.quiet_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        known = tuple(self.pending.get()) if self.pending.exists() else None
+        pending = known
+        for end in sorted(row.first_after_ms for row in rows):
+            if pending is not None and end <= pending[1] + self.quiet_ms:
+                pending = (pending[0], max(pending[1], end))
+                continue
+            if pending is not None:
+                yield self._request(key, pending)
+            pending = (end, end)
+        if pending != known:
+            if known is not None:
+                self.handle.deleteTimer(known[1] + self.quiet_ms)
+            self.handle.registerTimer(pending[1] + self.quiet_ms)
+            self.pending.update(pending)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        pending = tuple(self.pending.get()) if self.pending.exists() else None
+        # a timer of another time was put off
+        if pending is not None and expiredTimerInfo.getExpiryTimeInMs() == pending[1] + self.quiet_ms:
+            self.pending.clear()
+            yield self._request(key, pending)
+
+    def close(self) -> None:
+        pass

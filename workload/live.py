@@ -9,10 +9,10 @@ from candlemill.operators import filters, sections, windows
 from candlemill.sources import facts, landing
 from candlemill.streaming import jobs, livepath
 from workload.base import (
-    CTES, DAY, HOUR, SECTION_TIMEOUT, SPAN_FROM, bars, fresh, guard_events, kline_events, query, sections_1h,
+    CTES, DAY, HOUR, MINUTE, SECTION_TIMEOUT, SPAN_FROM, bars, fresh, guard_events, kline_events, query, sections_1h,
     ticks, universe,
 )
-from workload.streams import _DERIVED, _replayed
+from workload.streams import _DERIVED, _SILENT, _replayed
 
 # --- counted holds: five keys of one interval; two releases for every hold, many of them without one ---------------
 
@@ -143,3 +143,24 @@ def stream_accounting(spark, sf):
 
     _replayed(spark, rows, "counts", lambda stream, checkpoint: jobs.run_accounted(filters.parse_quantities(stream), write, counts, checkpoint))
     return spark.read.parquet(counts).agg(*[F.sum(c).alias(c) for c in ("events", "closed", "parse_errors")])
+
+
+# --- requests for repair after silences ----------------------------------------------------------------------------------
+
+_QUIET = 30 * MINUTE
+CTES["silence_ends"] = f"""
+SELECT interval, arrival_ms AS t FROM (SELECT symbol, interval, arrival_ms, lag(arrival_ms) OVER (PARTITION BY symbol, interval ORDER BY arrival_ms, seq) AS prev
+                                       FROM kline_events) WHERE arrival_ms - prev > {_SILENT}"""
+
+
+@query(f"""SELECT interval, min(t) AS from_ms, max(t) AS last_end_ms, max(t) + {_QUIET} AS fire_ms FROM (
+             SELECT interval, t, sum(CASE WHEN t - prev <= {_QUIET} THEN 0 ELSE 1 END) OVER (PARTITION BY interval ORDER BY t ROWS UNBOUNDED PRECEDING) AS island
+             FROM (SELECT interval, t, lag(t) OVER (PARTITION BY interval ORDER BY t) AS prev FROM silence_ends)) GROUP BY interval, island""")
+def silence_requests(spark, sf):
+    """Repair requests from a stream of events; an outsider's event fires the last ones."""
+    rows = kline_events(spark, sf).select("symbol", "interval", "arrival_ms")
+    last = F.lit(SPAN_FROM + 400 * DAY).cast("long")
+    rows = rows.unionByName(universe(spark, sf).limit(1).select(F.lit("none").alias("symbol"), F.lit("none").alias("interval"), last.alias("arrival_ms")))
+    path = fresh(spark, "requests")
+    _replayed(spark, rows, "requests", lambda stream, checkpoint: jobs.run_to_table(jobs.silence_requests(stream, _SILENT, _QUIET), path, checkpoint))
+    return spark.read.parquet(path).drop("batch", "query")
