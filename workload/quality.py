@@ -34,12 +34,13 @@ SELECT symbol, start_ms, CASE WHEN start_ms // 60000 % 107 = 0 THEN start_ms ELS
        CASE WHEN start_ms // 60000 % 103 = 0 THEN 0 ELSE trades_count END AS trades_count FROM bars"""
 # what a bar breaks, from the rules' text
 _BAR_BREACHES = {
-    "invalid_timestamps": "NOT end_ms > start_ms",
-    "zero_trades": "trades_count = 0",
-    "invalid_volume": "least(volume, quote_volume) < 0",
-    "invalid_hl_bounds": "high < greatest(low, open, close) OR low > least(open, close)",
-    "invalid_ohlc": "least(open, high, low, close) <= 0",
+    "sign_price": "least(open, high, low, close) <= 0",
+    "sign_volume": "least(volume, quote_volume) < 0",
+    "bounds_price": "high < greatest(low, open, close) OR low > least(open, close)",
+    "clock_span": "end_ms - start_ms < 1",
+    "idle": "trades_count = 0",
 }
+_GRAVE = " + ".join(name for name in _BAR_BREACHES if name != "idle")
 
 
 def _filtered(rules: dict[str, str]) -> str:
@@ -59,12 +60,11 @@ def bar_quality(spark, sf):
     return rounded(quality.bar_quality(_damaged(spark, sf), 60_000), "coverage", digits=9)
 
 
-@query("""SELECT symbol, total_bars, gap_count, missing_bars,
-                 CASE WHEN gap_count > 0 OR invalid_ohlc + invalid_hl_bounds + invalid_volume + invalid_timestamps > 0
-                      THEN 'FAIL' WHEN zero_trades > 0 THEN 'WARN' ELSE 'PASS' END AS status
+@query(f"""SELECT symbol, total_bars, gap_count, missing_bars,
+                 CASE WHEN gap_count > 0 OR {_GRAVE} > 0
+                      THEN 'FAIL' WHEN idle > 0 THEN 'WARN' ELSE 'PASS' END AS status
           FROM (SELECT symbol, total_bars, coalesce(gap_count, 0) AS gap_count,
-                       CAST(coalesce(missing_bars, 0) AS BIGINT) AS missing_bars, zero_trades, invalid_ohlc,
-                       invalid_hl_bounds, invalid_volume, invalid_timestamps
+                       CAST(coalesce(missing_bars, 0) AS BIGINT) AS missing_bars, {", ".join(_BAR_BREACHES)}
                 FROM bar_counts LEFT JOIN (SELECT symbol, count(*) AS gap_count, sum(missing_count) AS missing_bars
                                            FROM gaps_1m GROUP BY symbol) USING (symbol))""")
 def bar_verdict(spark, sf):
@@ -73,14 +73,14 @@ def bar_verdict(spark, sf):
 
 
 _OI_COUNTERS = {
-    **{name: f"src_rank = {rank}" for rank, name in enumerate(("n_live", "n_hist", "n_archive"), 1)},
-    "bad_rank": "src_rank NOT BETWEEN 1 AND 3",
-    "bad_value": "NOT isfinite(sum_open_interest) OR sum_open_interest < 0",
-    "zero_value": "sum_open_interest = 0",
-    "off_grid": "start_ms % 300000 <> 0",
-    "bad_snap_cal": "src_rank > 1 AND snap_ms <> start_ms + 300000",
-    "bad_snap_live": "src_rank = 1 AND abs(snap_ms - start_ms - 300000) > 60000",
-    "stale_live": f"src_rank = 1 AND start_ms < {STALE}",
+    "sign_value": "NOT isfinite(sum_open_interest) OR sum_open_interest < 0",
+    "sign_zero": "sum_open_interest = 0",
+    "source_unknown": "src_rank NOT BETWEEN 1 AND 3",
+    "clock_calibrated": "src_rank > 1 AND snap_ms <> start_ms + 300000",
+    "clock_live": "src_rank = 1 AND abs(snap_ms - start_ms - 300000) > 60000",
+    "clock_waiting": f"src_rank = 1 AND start_ms < {STALE}",
+    "grid_start": "start_ms % 300000 <> 0",
+    **{f"from_{name}": f"src_rank = {rank}" for rank, name in enumerate(("live", "history", "archive"), 1)},
 }
 CTES["oi_counts"] = f"""
 SELECT symbol, count(*) AS n, min(start_ms) AS min_ms, max(start_ms) AS max_ms, {_filtered(_OI_COUNTERS)}
@@ -102,20 +102,20 @@ def oi_stats(spark, sf):
 
 CTES["oi_verdicts"] = f"""
 SELECT symbol, missing, lag_bars, expected,
-       CASE WHEN missing > 0 OR off_grid > 0 OR bad_value > 0 OR bad_snap_cal > 0 OR bad_rank > 0 OR lag_bars > 2 THEN 'FAIL'
-            WHEN bad_snap_live > 0 OR zero_value > 0 OR min_ms > {LO} + 300000 OR stale_live > 0 THEN 'WARN'
+       CASE WHEN missing > 0 OR grid_start > 0 OR sign_value > 0 OR clock_calibrated > 0 OR source_unknown > 0 OR lag_bars > 2 THEN 'FAIL'
+            WHEN clock_live > 0 OR sign_zero > 0 OR min_ms > {LO} + 300000 OR clock_waiting > 0 THEN 'WARN'
             ELSE 'PASS' END AS status,
        concat_ws(';', CASE WHEN missing > 0 THEN 'missing_bars=' || missing END,
-                 CASE WHEN off_grid > 0 THEN 'off_grid_rows=' || off_grid END,
-                 CASE WHEN bad_value > 0 THEN 'bad_values=' || bad_value END,
-                 CASE WHEN bad_snap_cal > 0 THEN 'calibrated_snap_mismatch=' || bad_snap_cal END,
-                 CASE WHEN bad_rank > 0 THEN 'bad_ranks=' || bad_rank END,
+                 CASE WHEN grid_start > 0 THEN 'off_grid_rows=' || grid_start END,
+                 CASE WHEN sign_value > 0 THEN 'bad_values=' || sign_value END,
+                 CASE WHEN clock_calibrated > 0 THEN 'calibrated_snap_mismatch=' || clock_calibrated END,
+                 CASE WHEN source_unknown > 0 THEN 'bad_ranks=' || source_unknown END,
                  CASE WHEN lag_bars > 2 THEN 'bars_behind=' || lag_bars END) AS fails,
-       concat_ws(';', CASE WHEN bad_snap_live > 0 THEN 'live_snap_far=' || bad_snap_live END,
-                 CASE WHEN zero_value > 0 THEN 'zero_values=' || zero_value END,
+       concat_ws(';', CASE WHEN clock_live > 0 THEN 'live_snap_far=' || clock_live END,
+                 CASE WHEN sign_zero > 0 THEN 'zero_values=' || sign_zero END,
                  CASE WHEN min_ms > {LO} + 300000 THEN 'starts_late=' || (min_ms - {LO}) // 300000 END,
-                 CASE WHEN stale_live > 0 THEN 'uncalibrated_live=' || stale_live END) AS warns
-FROM (SELECT *, greatest(expected - (n - off_grid), 0) AS missing FROM (
+                 CASE WHEN clock_waiting > 0 THEN 'uncalibrated_live=' || clock_waiting END) AS warns
+FROM (SELECT *, greatest(expected - (n - grid_start), 0) AS missing FROM (
         SELECT *, (max_ms - min_ms) // 300000 + 1 AS expected,
                greatest(({HI} - max_ms) // 300000, 0) AS lag_bars FROM oi_counts))"""
 
@@ -269,8 +269,8 @@ WITH f AS (SELECT CASE WHEN newest_ms IS NULL THEN 'FAIL' ELSE 'PASS' END AS sta
            FROM (SELECT max(start_ms) AS newest_ms FROM oi_raw)),
 checks AS (
   SELECT 'bars' AS "check", TRUE AS critical, count(*) AS subjects,
-         count(*) FILTER (WHERE bad) AS failed, count(*) FILTER (WHERE NOT bad AND zero_trades > 0) AS warned
-  FROM (SELECT b.symbol, zero_trades, g.symbol IS NOT NULL OR invalid_ohlc + invalid_hl_bounds + invalid_volume + invalid_timestamps > 0 AS bad
+         count(*) FILTER (WHERE bad) AS failed, count(*) FILTER (WHERE NOT bad AND idle > 0) AS warned
+  FROM (SELECT b.symbol, idle, g.symbol IS NOT NULL OR """ + _GRAVE + """ > 0 AS bad
         FROM bar_counts b LEFT JOIN (SELECT DISTINCT symbol FROM gaps_1m) g ON g.symbol = b.symbol)
   UNION ALL
   SELECT 'events', FALSE, count(*), count(*) FILTER (WHERE status = 'FAIL'), 0 FROM f
