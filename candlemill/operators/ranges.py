@@ -88,15 +88,20 @@ def subtract_present(ranges: DataFrame, bars: DataFrame, step: int) -> DataFrame
 
 
 def in_months_of(rows: DataFrame, ranges: DataFrame) -> DataFrame:
-    """The rows of the months that the ranges touch; all of them if the rows don't carry their month.
+    """The rows of the months that the ranges touch; all of them if the rows don't carry their month."""
+    days = F.explode(F.sequence(tg.whole(F.col("from_ms"), tg.DAY_MS), tg.whole(F.col("to_ms") - 1, tg.DAY_MS)))
+    touched = ranges.where(F.col("to_ms") > F.col("from_ms")).select(days.alias("day"))
+    return in_months_at(rows, touched.select((F.col("day") * tg.DAY_MS).alias("ms")))
+
+
+def in_months_at(rows: DataFrame, moments: DataFrame) -> DataFrame:
+    """The rows of the months of the ``ms`` of ``moments``; all of them if the rows don't carry their month.
 
     The driver gets the months, a list that the calendar bounds.
     """
     if "month" not in rows.columns:
         return rows
-    days = F.explode(F.sequence(tg.whole(F.col("from_ms"), tg.DAY_MS), tg.whole(F.col("to_ms") - 1, tg.DAY_MS)))
-    touched = ranges.where(F.col("to_ms") > F.col("from_ms")).select(days.alias("day"))
-    months = touched.select(tg.month_of(F.col("day") * tg.DAY_MS).alias("m")).distinct().collect()
+    months = moments.select(tg.month_of(F.col("ms")).alias("m")).distinct().collect()
     return rows.where(F.col("month").isin(sorted(r["m"] for r in months)))
 
 

@@ -75,8 +75,10 @@ def replace_live(raw_oi: DataFrame, candidates: DataFrame, now_ms: int,
     """History rows for on-grid bars whose best row is still a live one.
 
     ``candidates`` holds ``symbol, label_ms, value``. Rows of rank 2 or 3 are
-    never touched. ``retention_ms`` is for a source that forgets.
+    never touched. ``retention_ms`` is for a source that forgets. Of a table that
+    carries its month only those of the candidates are read.
     """
+    raw_oi = ranges.in_months_at(raw_oi, candidates.select((F.col("label_ms") - tg.BAR_MS).alias("ms")))
     end = tg.floor_to(now_ms, tg.BAR_MS)
     reachable = filters.within(filters.on_grid(raw_oi, tg.BAR_MS), oldest_offered(now_ms, retention_ms), end)
     best = versions.latest_snapshots(reachable)
@@ -106,8 +108,8 @@ def repair_gap_oi(gap_ranges: DataFrame, raw_oi: DataFrame, candidates: DataFram
         due = ranges.clip_ranges(due, oldest, tg.BAR_MS).where(F.col("kept_from_ms").isNotNull()).select(
             "symbol", F.col("kept_from_ms").alias("from_ms"), F.col("kept_to_ms").alias("to_ms"))
     fitting = ranges.wanted_bars(_offered_oi(candidates, now_ms), due)
-    absent = fitting.join(filters.on_grid(raw_oi, tg.BAR_MS).select(*S.BAR_KEYS), S.BAR_KEYS,
-                          "left_anti")
+    here = filters.on_grid(ranges.in_months_of(raw_oi, due), tg.BAR_MS).select(*S.BAR_KEYS)
+    absent = fitting.join(here, S.BAR_KEYS, "left_anti")
     return absent.select(
         *S.BAR_KEYS, "sum_open_interest", (F.col("start_ms") + tg.BAR_MS).alias("snap_ms"),
         F.lit(S.RANK_HIST).alias("src_rank"))

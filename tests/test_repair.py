@@ -140,6 +140,15 @@ def test_repairs_read_the_months_of_their_ranges(spark, frame, folder):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "PartitionFilters: []" not in plan and "202403" in plan
     assert rows(repair.repair_stats(hole, table, table, now)) == [("A", 1, 0, 0, 1)]
+    snaps = folder("snaps")
+    facts.append_facts(frame([("A", ms(f"2024-{m:02d}-03"), 1.0, 0, 1, m) for m in range(1, 7)], OI), snaps)
+    raw = facts.read_facts(spark, snaps, S.OI_5M)
+    points = frame([("A", ms("2024-05-03") + BAR, 4.0)], POINTS)
+    gap = frame([("A", ms("2024-05-03"), ms("2024-05-03") + 2 * BAR)], RANGE)
+    for df in (repair.replace_live(raw, points, now), repair.repair_gap_oi(gap, raw, points, now)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: []" not in plan and "202405" in plan and "202403" not in plan
+    assert rows(repair.replace_live(raw, points, now), "start_ms") == [(ms("2024-05-03"),)]
 
 
 def test_presence_words_are_sets_of_bars(spark, frame):

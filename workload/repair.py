@@ -115,6 +115,17 @@ def replace_live(spark, sf):
     return repair.replace_live(oi_raw(spark, sf), hist_points(spark, sf), NOW, 20 * DAY)
 
 
+@query("""SELECT p.symbol, label_ms - 300000 AS start_ms, max(value) AS sum_open_interest, label_ms AS snap_ms,
+                 CAST(2 AS INTEGER) AS src_rank
+          FROM hist_points p JOIN oi o ON o.symbol = p.symbol AND o.start_ms = label_ms - 300000 AND o.src_rank = 1
+          GROUP BY p.symbol, label_ms""")
+def replace_live_all(spark, sf):
+    """The same from a stored table and a source that forgets nothing."""
+    names = [f.name for f in S.OI_5M.fields]
+    stored = facts.read_facts(spark, table_of(oi_raw(spark, sf).select(*names), "live-rows"), S.OI_5M)
+    return repair.replace_live(stored, hist_points(spark, sf), NOW)
+
+
 CTES["thin_oi"] = "SELECT * FROM oi_raw WHERE ingest_seq % 2 = 0"
 CTES["oi_holes"] = """
 SELECT symbol, prev + 300000 AS from_ms, start_ms AS to_ms FROM (
@@ -133,6 +144,17 @@ def repair_gap_oi(spark, sf):
     return repair.repair_gap_oi(holes, thin, hist_points(spark, sf), NOW, 20 * DAY)
 
 
+@query("""SELECT p.symbol, label_ms - 300000 AS start_ms, max(value) AS sum_open_interest, label_ms AS snap_ms,
+                 CAST(2 AS INTEGER) AS src_rank
+          FROM hist_points p JOIN oi_holes h ON h.symbol = p.symbol AND label_ms - 300000 >= h.from_ms AND label_ms - 300000 < h.to_ms
+          GROUP BY p.symbol, label_ms""")
+def repair_gap_oi_all(spark, sf):
+    """All holes of a stored table from a source that forgets nothing."""
+    names = [f.name for f in S.OI_5M.fields]
+    thin = facts.read_facts(spark, table_of(oi_raw(spark, sf).where("ingest_seq % 2 = 0").select(*names), "thin"), S.OI_5M)
+    return repair.repair_gap_oi(gaps.find_gaps(thin, BAR, on_grid=True), thin, hist_points(spark, sf), NOW)
+
+
 _OLD = SPAN_FROM + 12 * DAY + 7 * BAR
 
 
