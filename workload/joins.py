@@ -51,43 +51,59 @@ def close_mismatch(spark, sf):
     return rows.select(*S.BAR_KEYS)
 
 
-@query("""
-SELECT symbol, count(*) FILTER (WHERE has_b) AS checked, CAST(0 AS BIGINT) AS missing_ours,
-       count(*) FILTER (WHERE NOT has_b) AS missing_theirs,
-       count(*) FILTER (WHERE has_b AND price) AS price_diff, CAST(0 AS BIGINT) AS volume_diff,
-       CAST(0 AS BIGINT) AS count_diff, count(*) FILTER (WHERE has_b AND NOT price) AS matched,
-       CASE WHEN count(*) FILTER (WHERE has_b AND price) > 0 THEN 'FAIL'
-            WHEN count(*) FILTER (WHERE has_b) = 0 THEN 'EMPTY'
-            WHEN count(*) FILTER (WHERE NOT has_b) > 0 THEN 'WARN' ELSE 'PASS' END AS status
-FROM (SELECT a.symbol, b.symbol IS NOT NULL AS has_b,
-             coalesce(abs(a.close - b.close) / greatest(abs(a.close), abs(b.close), 1e-12) > 1e-9, FALSE) AS price
-      FROM bars_1h a LEFT JOIN external_1h b ON a.symbol = b.symbol AND a.start_ms = b.start_ms)
-GROUP BY symbol""")
+# our side lacks some hours; the other side lacks others, and has some prices, volumes and counts of its own
+CTES["kept_1h"] = "SELECT * FROM bars_1h WHERE start_ms // 3600000 % 11 <> 4"
+CTES["other_1h"] = """
+SELECT symbol, start_ms, open, high, low, close, CASE WHEN start_ms // 3600000 % 13 = 5 THEN volume * 1.5 ELSE volume END AS volume,
+       quote_volume, taker_buy_volume, taker_buy_quote_volume, trades_count + CASE WHEN start_ms // 3600000 % 9 = 2 THEN 1 ELSE 0 END AS trades_count
+FROM external_1h"""
+
+
+def _apart(columns, tolerance: str) -> str:
+    return " OR ".join(f"abs(a.{c} - b.{c}) > {tolerance} * greatest(abs(a.{c}), abs(b.{c}), 1e-12)" for c in columns)
+
+
+@query(f"""
+SELECT *, CASE WHEN missing_ours + price_diff + volume_diff + count_diff > 0 THEN 'FAIL' WHEN checked = 0 THEN 'EMPTY'
+               WHEN missing_theirs > 0 THEN 'WARN' ELSE 'PASS' END AS status
+FROM (SELECT symbol, count(*) FILTER (WHERE has_a AND has_b) AS checked, count(*) FILTER (WHERE NOT has_a) AS missing_ours,
+             count(*) FILTER (WHERE NOT has_b) AS missing_theirs, count(*) FILTER (WHERE price) AS price_diff,
+             count(*) FILTER (WHERE volumes) AS volume_diff, count(*) FILTER (WHERE trades) AS count_diff,
+             count(*) FILTER (WHERE has_a AND has_b AND NOT (price OR volumes OR trades)) AS matched
+      FROM (SELECT coalesce(a.symbol, b.symbol) AS symbol, a.symbol IS NOT NULL AS has_a, b.symbol IS NOT NULL AS has_b,
+                   coalesce({_apart(S.PRICES, '1e-9')}, FALSE) AS price, coalesce({_apart(S.VOLUMES, '1e-6')}, FALSE) AS volumes,
+                   coalesce(a.trades_count <> b.trades_count, FALSE) AS trades
+            FROM kept_1h a FULL JOIN other_1h b ON a.symbol = b.symbol AND a.start_ms = b.start_ms) GROUP BY symbol)""")
 def reconcile_external(spark, sf):
-    return reconcile.reconcile(bars_at(spark, sf, "1h"), external_1h(spark, sf))
+    hour = F.col("start_ms") / HOUR
+    theirs = external_1h(spark, sf).withColumns({
+        "volume": F.when(hour % 13 == 5, F.col("volume") * 1.5).otherwise(F.col("volume")),
+        "trades_count": F.col("trades_count") + F.when(hour % 9 == 2, 1).otherwise(0)})
+    return reconcile.reconcile(bars_at(spark, sf, "1h").where(hour % 11 != 4), theirs)
 
 
 @query("""
 WITH w AS (SELECT symbol, rn - 1 AS pos, start_ms AS t, close AS c, volume AS v FROM last_200_bars),
-changed AS (SELECT symbol, pos, t,
+changed AS (SELECT symbol, pos, CASE WHEN pos % 23 = 5 THEN t + 1 ELSE t END AS t,
                    CASE WHEN t // 60000 % 13 = 0 THEN c + 1 ELSE c END AS c,
                    CASE WHEN t // 60000 % 17 = 0 THEN v + 1 ELSE v END AS v FROM w)
 SELECT symbol, cached, stored, compared, "match", "time", price, volume,
        CASE WHEN "time" + price + volume > 0 THEN 'FAIL' WHEN compared < 200 THEN 'WARN' ELSE 'PASS' END AS status
 FROM (SELECT a.symbol, count(*) AS cached, count(*) AS stored, count(*) AS compared,
-             CAST(0 AS BIGINT) AS "time",
-             count(*) FILTER (WHERE abs(a.c - w.c) > 1e-5) AS price,
-             count(*) FILTER (WHERE abs(a.c - w.c) <= 1e-5 AND abs(a.v - w.v) > 1e-5) AS volume,
-             count(*) FILTER (WHERE abs(a.c - w.c) <= 1e-5 AND abs(a.v - w.v) <= 1e-5) AS "match"
+             count(*) FILTER (WHERE a.t <> w.t) AS "time",
+             count(*) FILTER (WHERE a.t = w.t AND abs(a.c - w.c) > 1e-5) AS price,
+             count(*) FILTER (WHERE a.t = w.t AND abs(a.c - w.c) <= 1e-5 AND abs(a.v - w.v) > 1e-5) AS volume,
+             count(*) FILTER (WHERE a.t = w.t AND abs(a.c - w.c) <= 1e-5 AND abs(a.v - w.v) <= 1e-5) AS "match"
       FROM changed a JOIN w ON a.symbol = w.symbol AND a.pos = w.pos GROUP BY a.symbol)""")
 def reconcile_positional(spark, sf):
-    """Served windows with some altered closes and volumes against the stored bars."""
+    """Served windows with some altered times, closes and volumes against the stored bars."""
     base = bars(spark, sf)
     listed = windows.rolling_window(base, 200).select("symbol", F.posexplode("bars").alias("pos", "b"))
     slot = F.col("t") / MINUTE
     served = listed.select("symbol", "pos", "b.t", "b.o", "b.h", "b.l", "b.c", "b.v", "b.qv").withColumns({
         "c": F.when(slot % 13 == 0, F.col("c") + 1).otherwise(F.col("c")),
-        "v": F.when(slot % 17 == 0, F.col("v") + 1).otherwise(F.col("v"))})
+        "v": F.when(slot % 17 == 0, F.col("v") + 1).otherwise(F.col("v")),
+        "t": F.when(F.col("pos") % 23 == 5, F.col("t") + 1).otherwise(F.col("t"))})
     return reconcile.reconcile_positional(served, base, 200)
 
 

@@ -183,25 +183,35 @@ def stale_rollups(spark, sf):
 
 # served live bars, one per contract: some fields lost, some prices inverted, some old
 CTES["live_records"] = """
-SELECT symbol || '_' || uid AS symbol, max(t_ms) AS t, arg_max(price, seq) + 1 AS o, uid FROM ticks GROUP BY 1, uid"""
+SELECT symbol || '_' || uid AS symbol, max(t_ms) AS t, arg_max(price, seq) - 20 AS o, uid FROM ticks GROUP BY 1, uid"""
+CTES["live_fields"] = """
+SELECT symbol, t, uid, o, o AS c, CASE WHEN uid % 11 = 0 THEN o - 0.5 ELSE o END AS h, CASE WHEN uid % 13 = 0 THEN o + 0.25 ELSE o END AS l,
+       CASE WHEN uid % 17 = 0 THEN -1 ELSE 1 END AS v, CASE WHEN uid % 7 <> 0 THEN 2 END AS qv FROM live_records"""
+CTES["live_notes"] = """
+SELECT symbol, t, uid, CASE WHEN qv IS NULL THEN 'missing_qv' ELSE concat_ws(';',
+         CASE WHEN o <= 0 OR h <= 0 OR l <= 0 OR c <= 0 THEN 'non_positive_price' END, CASE WHEN h < l THEN 'high_below_low' END,
+         CASE WHEN h < o OR h < c THEN 'high_below_body' END, CASE WHEN l > o OR l > c THEN 'low_above_body' END,
+         CASE WHEN v < 0 THEN 'negative_volume' END) END AS notes FROM live_fields"""
 _LIVE_NOW = NOW - 2 * DAY
 
 
 @query(f"""
-SELECT symbol, CASE WHEN uid % 5 = 0 THEN 'MISSING' WHEN uid % 7 = 0 OR uid % 11 = 0 THEN 'CORRUPT'
-            WHEN {_LIVE_NOW} - t < -10000 THEN 'WARN' WHEN {_LIVE_NOW} - t > {2 * DAY} THEN 'STALE' ELSE 'PASS' END AS status,
-       CASE WHEN uid % 5 = 0 THEN 'none' WHEN uid % 7 = 0 THEN 'missing_qv'
-            WHEN uid % 11 = 0 THEN 'high_below_low;high_below_body' ELSE '' END AS notes FROM live_records""")
+SELECT symbol, CASE WHEN uid % 5 = 0 THEN 'MISSING' WHEN notes <> '' THEN 'CORRUPT' WHEN {_LIVE_NOW} - t < -10000 THEN 'WARN'
+                    WHEN {_LIVE_NOW} - t > {2 * DAY} THEN 'STALE' ELSE 'PASS' END AS status,
+       CASE WHEN uid % 5 = 0 THEN 'none' ELSE notes END AS notes FROM live_notes""")
 def validate_live(spark, sf):
+    """Served live bars of every contract: some absent, some with a field lost, crossed bounds, or values of the wrong sign."""
     contract = F.concat_ws("_", "symbol", F.col("uid").cast("string")).alias("symbol")
     latest = ticks(spark, sf).groupBy(contract, "uid").agg(
-        F.max("t_ms").alias("t_ms"), (F.max_by("price", "seq") + 1).alias("p"))
-    price = F.col("p").cast("string")
+        F.max("t_ms").alias("t_ms"), (F.max_by("price", "seq") - 20).alias("p"))
+    p, uid = F.col("p"), F.col("uid")
+    price = p.cast("string")
     records = latest.where("uid % 5 <> 0").select(
         "symbol", F.col("t_ms").cast("string").alias("t"), price.alias("o"),
-        F.when(F.col("uid") % 11 == 0, (F.col("p") - 0.5).cast("string")).otherwise(price).alias("h"),
-        price.alias("l"), price.alias("c"), F.lit("1").alias("v"),
-        F.when(F.col("uid") % 7 != 0, F.lit("2")).alias("qv"), F.lit("0").alias("tbv"), F.lit("0").alias("tbqv"),
+        F.when(uid % 11 == 0, (p - 0.5).cast("string")).otherwise(price).alias("h"),
+        F.when(uid % 13 == 0, (p + 0.25).cast("string")).otherwise(price).alias("l"), price.alias("c"),
+        F.when(uid % 17 == 0, "-1").otherwise("1").alias("v"),
+        F.when(uid % 7 != 0, F.lit("2")).alias("qv"), F.lit("0").alias("tbv"), F.lit("0").alias("tbqv"),
         F.lit("3").alias("n"), F.lit("1").alias("x"))
     rows = windows.validate_live(records, latest.select("symbol"), DAY, _LIVE_NOW)
     return rows.select("symbol", "status", F.coalesce("notes", F.lit("none")).alias("notes"))
