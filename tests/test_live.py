@@ -115,7 +115,7 @@ def path_events(spark, n=60):
     return made, schema
 
 
-def play_path(spark, batches, schema, breaks=()):
+def play_path(spark, batches, schema, breaks=(), universe=None):
     """Run the batches through a live path that breaks once behind each of the named sinks of each batch."""
     root, source, checkpoint = (scratch_path(spark, f"path-{n}") for n in "rsc")
     left = {(sink, k) for sink in breaks for k in range(len(batches))}
@@ -125,7 +125,7 @@ def play_path(spark, batches, schema, breaks=()):
             left.remove((sink, batch_id))
             raise Crash(sink)
 
-    universe = spark.createDataFrame([(s,) for s in "ABC"], "symbol string")
+    universe = universe or spark.createDataFrame([(s,) for s in "ABC"], "symbol string")
     for batch in batches:
         spark.createDataFrame(batch, schema).coalesce(1).write.mode("append").parquet(source)
         while True:
@@ -174,3 +174,22 @@ def test_live_path_against_plain_python(spark):
     assert held == [(s, sorted((t for x, t, _ in closed if x == s), reverse=True)[:6]) for s in "ABC"]
     assert sorted(got) == sorted(ready)
     assert all(len(list(g)) == 1 for _, g in itertools.groupby(sorted(r[1] for r in got)))
+
+
+def test_a_section_waits_for_the_members_of_its_own_time(spark):
+    """C joins between two batches and B leaves later; the table is read anew by every batch."""
+    _, schema = path_events(spark, 1)
+    spans = [[("A", 0, None), ("B", 0, 5 * MIN)], [("A", 0, None), ("B", 0, 5 * MIN), ("C", 3 * MIN, None)]]
+    asked = []
+
+    def members():
+        asked.append(1)
+        return spark.createDataFrame(spans[min(len(asked), 2) - 1], "symbol string, valid_from_ms long, valid_to_ms long")
+
+    def closed(symbol, minute, seq):
+        return (symbol, "1m", minute * MIN, minute * MIN + MIN - 1, *["1"] * 8, 1, True, minute * MIN + seq, 100 * minute + seq)
+
+    first = [closed("A", 1, 1), closed("B", 1, 2), closed("C", 1, 3), closed("A", 2, 1)]
+    second = [closed("B", 2, 4), closed("A", 3, 1), closed("B", 3, 2), closed("C", 3, 9), closed("A", 5, 1), closed("C", 5, 2), closed("B", 5, 3)]
+    *_, ready = play_path(spark, [first, second], schema, universe=members)
+    assert sorted(r[1:4] for r in ready) == [(MIN, 2, "complete"), (2 * MIN, 2, "complete"), (3 * MIN, 3, "complete"), (5 * MIN, 2, "complete")]

@@ -103,24 +103,30 @@ FROM (SELECT *, row_number() OVER (PARTITION BY open_ms ORDER BY arrival_ms, sym
              (SELECT count(*) FROM universe) AS size FROM path_accepted) GROUP BY 1, 2, 3"""
 
 
-@query(f"""
-SELECT 'archive' AS sink, symbol AS name, open_ms AS at_ms, price AS value, arrival_ms AS told_ms FROM path_accepted
-UNION ALL SELECT 'window', symbol, open_ms, price, row_number() OVER (PARTITION BY symbol ORDER BY open_ms DESC) - 1 AS pos FROM path_accepted QUALIFY pos < {_SIZE}
-UNION ALL SELECT 'ready', CASE WHEN done IS NOT NULL THEN 'complete' ELSE 'timeout' END, open_ms,
-                 CAST(CASE WHEN done IS NOT NULL THEN size ELSE seen END AS DOUBLE), coalesce(done, deadline)
-          FROM path_sections WHERE done IS NOT NULL OR deadline < (SELECT max(arrival_ms) FROM path_accepted)""")
-def live_path(spark, sf):
-    """Archive, windows and ready events of one run over hourly bars, some of which don't parse."""
+def run_path(spark, sf, members):
+    """Hourly bars, some of which don't parse, through the live path; returns its folder."""
     rows = kline_events(spark, sf).withColumns({
         "interval": F.lit("1h"), "open_ms": F.col("arrival_ms") - F.col("arrival_ms") % HOUR, "is_final": F.col("seq") % 5 != 1,
         "high": F.when(F.col("seq") % 19 == 0, "broken").otherwise(F.col("high"))}).withColumn("close_ms", F.col("open_ms") + (HOUR - 1))
     root = fresh(spark, "path")
-    body = livepath.live_path(root, universe(spark, sf), _SIZE, SECTION_TIMEOUT, DAY)
+    body = livepath.live_path(root, members, _SIZE, SECTION_TIMEOUT, DAY)
 
     def run(stream, checkpoint):
         stream.writeStream.foreachBatch(body).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
     _replayed(spark, rows, "path", run)
+    return root
+
+
+@query(f"""
+SELECT 'archive' AS sink, symbol AS name, open_ms AS at_ms, price AS value, arrival_ms AS told_ms FROM path_accepted
+UNION ALL SELECT 'window', symbol, open_ms, price, row_number() OVER (PARTITION BY symbol ORDER BY open_ms DESC) - 1 AS pos FROM path_accepted QUALIFY pos < {_SIZE}
+UNION ALL SELECT 'ready', CASE WHEN done IS NOT NULL THEN 'complete' ELSE 'timeout' END, open_ms,
+                 CAST(CASE WHEN done IS NOT NULL THEN size ELSE seen END AS DOUBLE), coalesce(done, deadline)
+          FROM path_sections WHERE done IS NOT NULL OR deadline < (SELECT max(arrival_ms) FROM path_accepted)""")
+def live_path(spark, sf):
+    """Archive, windows and ready events of one run over hourly bars."""
+    root = run_path(spark, sf, universe(spark, sf))
     archive = facts.scan_bars(spark, f"{root}/archive").select(
         F.lit("archive").alias("sink"), F.col("symbol").alias("name"), F.col("start_ms").alias("at_ms"), F.col("close").alias("value"), F.col("version").alias("told_ms"))
     held = spark.read.option("basePath", f"{root}/windows").parquet(f"{root}/windows")
@@ -130,6 +136,25 @@ def live_path(spark, sf):
     return archive.union(window).union(ready)
 
 
+# a member that joins in the middle: earlier sections don't wait for it and don't count it
+_JOINS = SPAN_FROM + 12 * DAY
+CTES["joined_sections"] = f"""
+SELECT open_ms, deadline, size, min(arrival_ms) FILTER (WHERE n = size AND arrival_ms <= deadline) AS done, count(*) FILTER (WHERE arrival_ms <= deadline) AS seen
+FROM (SELECT *, row_number() OVER (PARTITION BY open_ms ORDER BY arrival_ms, symbol) AS n, min(arrival_ms) OVER (PARTITION BY open_ms) + {SECTION_TIMEOUT} AS deadline,
+             (SELECT count(*) FROM universe) - CASE WHEN open_ms < {_JOINS} THEN 1 ELSE 0 END AS size
+      FROM path_accepted WHERE symbol <> 'error' OR open_ms >= {_JOINS}) GROUP BY 1, 2, 3"""
+
+
+@query("""SELECT open_ms AS timestamp, CASE WHEN done IS NOT NULL THEN size ELSE seen END AS symbols_count,
+                 CASE WHEN done IS NOT NULL THEN 'complete' ELSE 'timeout' END AS reason, coalesce(done, deadline) AS published_ms
+          FROM joined_sections WHERE done IS NOT NULL OR deadline < (SELECT max(arrival_ms) FROM path_accepted)""")
+def changing_universe(spark, sf):
+    """Ready events of a live path whose universe grows while it runs."""
+    members = universe(spark, sf).withColumn("valid_from_ms", F.when(F.col("symbol") == "error", _JOINS).otherwise(0))
+    root = run_path(spark, sf, lambda: members)
+    return spark.read.parquet(f"{root}/ready").select("timestamp", "symbols_count", "reason", "published_ms")
+
+
 # --- counters of a stream's batches ------------------------------------------------------------------------------------
 
 @query("""SELECT count(*) AS events, count(*) FILTER (WHERE is_final) AS closed, count(*) FILTER (WHERE seq % 19 = 0) AS parse_errors FROM kline_events""")
