@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import re
+import subprocess
+import sys
 
 import pytest
 
@@ -31,3 +34,27 @@ def test_one_row_for_each_row(spark, name, rows):
 def test_url_filter_runs_no_python(spark):
     plan = QUERIES["op8_url_filter"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow|Join", plan)
+
+
+OUTSIDE = """
+import os, sys, tempfile
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+spark = (SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false")
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-", dir="/tmp")).getOrCreate())
+import corpus_pipeline
+from candlemill.llm.queries import QUERIES
+docs = spark.read.parquet({sf!r} + "/documents.parquet").limit(60)
+print("rows", corpus_pipeline.near_duplicates(spark, docs, "").count())
+for name in sorted(QUERIES):
+    print("rows", QUERIES[name](spark, {sf!r}).count())
+"""
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """Everything runs from a folder where neither the driver's path nor the package reaches the Python workers."""
+    script = tmp_path / "outside.py"
+    script.write_text(OUTSIDE.format(root=oracle_check.ROOT, sf=SF))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=900)
+    assert done.stdout.count("rows") == len(QUERIES) + 1, done.stderr[-2000:]
