@@ -251,8 +251,9 @@ def trie(convs: DataFrame, turns: DataFrame, most_bits: int = 25) -> DataFrame:
     kids_n = counts["kids"] + lone["kids"]
     figures = {"conv_id": root["least"], "depth": 0, "parent_conv_id": None, "n_convs": root["n"], "n_children": kids_n,
                "n_leaves": counts["leaves"] + lone["leaves"] if kids_n else 1, "saved_tokens": counts["saved"] or 0}
-    top_node = convs.sparkSession.range(1).select(zero.alias("p1"), zero.alias("p2"), *(F.lit(v).cast("long").alias(k) for k, v in figures.items()))
-    top_node = top_node.join(ends, keys, "left").select(*figures, F.coalesce("ends_sha256", nothing).alias("ends_sha256"))
+    told = ends.where("p1 = 0 AND p2 = 0").first()  # of the conversations without a turn
+    top_node = convs.sparkSession.range(1).select(*(F.lit(v).cast("long").alias(k) for k, v in figures.items()),
+                                                  (F.lit(told["ends_sha256"]) if told else nothing).alias("ends_sha256"))
     return top_node.unionAll(grouped).unionAll(inner).unionAll(top).unionAll(middle)
 
 
