@@ -234,7 +234,8 @@ def trie(convs: DataFrame, turns: DataFrame, most_bits: int = 25) -> DataFrame:
         return frame.join(parents, ["q1", "q2"], "left")
 
     grouped = rest(nodes.join(summed, keys).join(ends, keys, "left")).select(
-        F.col("least").alias("conv_id"), "depth", F.when(F.col("depth") == 1, first).otherwise(F.col("parent")).alias("parent_conv_id"),
+        # a parent that the sketch proved single is of the same conversation
+        F.col("least").alias("conv_id"), "depth", F.when(F.col("depth") == 1, first).otherwise(F.coalesce("parent", "least")).alias("parent_conv_id"),
         "n_convs", "n_children", "n_leaves", "saved_tokens", F.coalesce("ends_sha256", nothing).alias("ends_sha256"))
     zero, one = F.lit(0).cast("long"), F.lit(1).cast("long")
     at_end = F.col("depth") == F.col("length")
