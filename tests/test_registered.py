@@ -78,7 +78,7 @@ def test_gaps_scan_once_and_split_symbols(spark):
     assert "hashpartitioning(symbol" in plan and "_chunk" in plan
 
 
-@pytest.mark.parametrize("name", ["validate_compact"])
+@pytest.mark.parametrize("name", ["validate_compact", "window_inspection"])
 def test_events_worth_nothing_make_no_faulty_window(spark, folder, name):
     """Served bars of events worth 0 are sound, and a bar whose price is 0 still isn't."""
     path = folder("events")
