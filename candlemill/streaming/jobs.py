@@ -15,8 +15,10 @@ from candlemill.operators.sections import monotonic_guard
 from candlemill.session import exists, remove, use_rocksdb_state
 from candlemill.sources import facts
 from candlemill.streaming import processors as P
+from candlemill.streaming.advancing import advanced
 
 KEYS = ("symbol", "interval")
+_BAR = ("open_ms", *S.PRICES, *S.VOLUMES, "trade_count")
 _MARKS = "symbol string, interval string, mark_ms long"
 
 
@@ -38,7 +40,8 @@ def window_stream(closed: DataFrame, size: int = 200, stored: DataFrame | None =
     """Changed windows after each batch; ``stored`` seeds them from a rolling window table."""
     use_rocksdb_state(closed.sparkSession)
     seed = None if stored is None else stored.select("symbol", F.inline("bars")).groupBy("symbol")
-    return closed.groupBy("symbol").transformWithState(
+    rows = advanced(closed.select("symbol", *_BAR, "arrival_ms", "seq"), "symbol")
+    return rows.groupBy("symbol").transformWithState(
         P.RollingWindow(size), P.RollingWindow.schema, "Update", "None", seed)
 
 

@@ -2,7 +2,8 @@
 
 State is small by construction: one value per key for the guard and the live
 bar, at most ``size`` bars per window, at most one entry per universe symbol in
-an open section.
+an open section. Within a batch the guard and the windows hold a key's different
+bars, not its rows.
 """
 
 from __future__ import annotations
@@ -14,6 +15,8 @@ from pyspark import cloudpickle
 from pyspark.sql import Row
 from pyspark.sql.streaming import StatefulProcessor
 
+from candlemill.streaming.advancing import Advance
+
 # executors get these classes with the query, so they need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -66,13 +69,13 @@ class MonotonicGuard(StatefulProcessor):
         self.last = handle.getValueState("last", "open_ms long")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        high = self.last.get()[0] if self.last.exists() else None
-        for row in sorted(rows, key=_arrival_order):
-            if high is None or row.open_ms > high:
-                high = row.open_ms
-                yield Row(symbol=key[0], interval=key[1], open_ms=row.open_ms,
-                          arrival_ms=row.arrival_ms, seq=row.seq)
-        self.last.update((high,))
+        passed = Advance(self.last.get()[0] if self.last.exists() else None)
+        for row in rows:
+            passed.add(row, ())
+        for open_ms, (arrival_ms, seq) in zip(passed.opens, passed.order):
+            yield Row(symbol=key[0], interval=key[1], open_ms=open_ms, arrival_ms=arrival_ms, seq=seq)
+        if passed.opens:
+            self.last.update((passed.opens[-1],))
 
     def close(self) -> None:
         pass
@@ -100,15 +103,12 @@ class RollingWindow(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         known = self.bars.get() if self.bars.exists() else []
         window = sorted((tuple(bar) for bar in known), reverse=True)[: self.size]
-        pushed = False
-        for row in sorted(rows, key=_arrival_order):
-            if window and row.open_ms <= window[0][0]:
-                continue
-            window.insert(0, tuple(row[name] for name in _ROW_NAMES))
-            del window[self.size:]
-            pushed = True
-        if not pushed:
+        entered = Advance(window[0][0] if window else None)
+        for row in rows:
+            entered.add(row, tuple(row[name] for name in _ROW_NAMES))
+        if not entered.bars:
             return
+        window = [*entered.bars[::-1][:self.size], *window][:self.size]
         self.bars.put(window)
         for pos, bar in enumerate(window):
             yield Row(symbol=key[0], pos=pos, **dict(zip(_BAR_NAMES, bar)))
