@@ -32,7 +32,8 @@ def live_bars_stream(events: DataFrame, ttl_ms: int | None = None) -> DataFrame:
 def guard_stream(closed: DataFrame) -> DataFrame:
     """Closed bars without replays and reorders."""
     use_rocksdb_state(closed.sparkSession)
-    return closed.groupBy(*KEYS).transformWithState(
+    rows = advanced(closed.select(*KEYS, "open_ms", "arrival_ms", "seq"), *KEYS)
+    return rows.groupBy(*KEYS).transformWithState(
         P.MonotonicGuard(), P.MonotonicGuard.schema, "Append", "None")
 
 
