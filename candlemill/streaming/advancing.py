@@ -11,11 +11,13 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Row
+from pyspark.sql import functions as F
 
 # executors get these functions with the query, so they need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 250_000  # rows that a task holds at once
+SPAN_MS = 3_600_000  # arrivals of a key that are reduced together where rebuilds lie between its bars
 _ORDER = ("arrival_ms", "seq")
 
 
@@ -73,6 +75,31 @@ def advanced(closed: DataFrame, *keys: str) -> DataFrame:
     return rows.mapInArrow(run, rows.schema)
 
 
+def since_rebuild(table: pa.Table, size: int) -> pa.Table:
+    """One key's last rebuild (a row with ``stored``) and the newest ``size`` bars behind it that move the open time on."""
+    if any(table.column(c).null_count for c in _ORDER):
+        return table
+    order, _ = _groups(table, ())
+    told = np.flatnonzero(pc.is_valid(table.column("stored")).to_numpy()[order])
+    order, last = (order[told[-1]:], 1) if len(told) else (order, 0)
+    bars = table.take(pa.array(order[last:]))
+    if bars.column("open_ms").null_count:
+        return table
+    return pa.concat_tables([table.take(pa.array(order[:last])), advancing(bars, ())[-size:]])
+
+
+def rebuilt(rows: DataFrame, size: int) -> DataFrame:
+    """``rows`` of rebuilds and bars without those that no window of ``size`` bars shows after their batch.
+
+    A bar that an earlier one holds back counts again if a rebuild lies between them, so a key's rows of one span of
+    arrivals meet first, and many tasks share a busy key. What goes on to the key's own task grows with the spans.
+    """
+    timed = ["open_ms", *_ORDER]
+    rows = rows.withColumns({c: rows[c].cast("long") for c in timed})
+    span = F.floor(F.col("arrival_ms") / SPAN_MS)
+    return rows.groupBy("symbol", span).applyInArrow(lambda table: since_rebuild(table, size), rows.schema)
+
+
 class Advance:
     """The same for one key's rows as they come, in any order: each bar's open time exceeds ``high`` and those before it.
 

@@ -15,7 +15,7 @@ from candlemill.operators.sections import monotonic_guard
 from candlemill.session import exists, remove, use_rocksdb_state
 from candlemill.sources import facts
 from candlemill.streaming import processors as P
-from candlemill.streaming.advancing import advanced
+from candlemill.streaming.advancing import advanced, rebuilt
 
 KEYS = ("symbol", "interval")
 _BAR = ("open_ms", *S.PRICES, *S.VOLUMES, "trade_count")
@@ -100,7 +100,7 @@ def rebuild_input(closed: DataFrame, rebuilds: DataFrame) -> DataFrame:
 def rebuild_stream(rows: DataFrame, size: int = 200) -> DataFrame:
     """Changed windows after each batch of ``rebuild_input``."""
     use_rocksdb_state(rows.sparkSession)
-    return rows.groupBy("symbol").transformWithState(P.RebuiltWindow(size), P.RebuiltWindow.schema, "Update", "None")
+    return rebuilt(rows, size).groupBy("symbol").transformWithState(P.RebuiltWindow(size), P.RebuiltWindow.schema, "Update", "None")
 
 
 def stream_rollup(events: DataFrame, interval: str, late: str = "10 minutes") -> DataFrame:
