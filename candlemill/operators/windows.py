@@ -90,23 +90,21 @@ def inspect_window(windows: DataFrame, step: int, now_ms: int, expected: int = 2
     ``windows`` holds one row per list position (``symbol, pos, payload``, newest
     first) and at most a few hundred rows per symbol.
     """
-    checked = validate_compact(windows)
-    sound = checked.where(F.col("fault").isNull())
-    by_position = Window.partitionBy("symbol").orderBy("pos")
-    pairs = sound.withColumn("_older", F.lead("t").over(by_position))
-    apart = F.col("t") - F.col("_older")
-    order = pairs.groupBy("symbol").agg(
-        F.min_by("t", "pos").alias("head_ms"), F.max_by("t", "pos").alias("tail_ms"),
-        F.count_if(apart <= 0).alias("out_of_order"),
-        F.count_if(apart > step).alias("gaps"),
-        F.sum(F.when(apart > step, tg.whole(apart, step) - 1).otherwise(0)).alias("missing"))
-    counts = checked.groupBy("symbol").agg(
-        F.count("*").alias("length"),
-        F.count_if(F.col("fault").isNotNull()).alias("bad_bars"))
+    checked = validate_compact(windows).withColumn("_sound", F.col("fault").isNull())
+    by_position = Window.partitionBy("symbol", "_sound").orderBy("pos")
+    apart = F.when(F.col("_sound"), F.col("t") - F.lead("t").over(by_position))
+    sound_pos = F.when(F.col("_sound"), F.col("pos"))
+    rows = checked.withColumn("_apart", apart).groupBy("symbol").agg(
+        F.count("*").alias("length"), F.count_if(~F.col("_sound")).alias("bad_bars"),
+        F.min_by("t", sound_pos).alias("head_ms"), F.max_by("t", sound_pos).alias("tail_ms"),
+        F.count_if(F.col("_apart") <= 0).alias("out_of_order"),
+        F.count_if(F.col("_apart") > step).alias("gaps"),
+        F.sum(F.when(F.col("_apart") > step, tg.whole(F.col("_apart"), step) - 1).otherwise(0)).alias("missing"))
     newest_closed = tg.floor_to(now_ms, step) - step
     if universe is not None:
-        counts = counts.join(universe.select("symbol").distinct(), "symbol", "full").fillna(0, ["length", "bad_bars"])
-    rows = counts.join(order, "symbol", "left").fillna(0, ["out_of_order", "gaps", "missing"])
+        # bars without a symbol are no symbol's window
+        rows = rows.where(F.col("symbol").isNotNull()).join(universe.select("symbol").distinct(), "symbol", "full").fillna(
+            0, ["length", "bad_bars", "out_of_order", "gaps", "missing"])
     rows = rows.withColumn("corrupt", F.col("bad_bars") + F.col("out_of_order")).withColumn(
         "head_lag", F.greatest(tg.whole(F.lit(newest_closed) - F.col("head_ms"), step), F.lit(0)))
     status = (

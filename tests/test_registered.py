@@ -105,3 +105,13 @@ def test_section_stream_reads_no_events_by_batch(spark, monkeypatch):
     with pytest.raises(StopIteration):
         QUERIES["section_stream"](spark, SF)
     assert seen[0][0] == 5 and not any("events.parquet" in f for f in seen[0][1])
+
+
+@pytest.mark.parametrize("name", ["validate_compact", "window_inspection"])
+def test_events_without_a_type(spark, folder, name):
+    path = folder("events")
+    events = spark.read.parquet(SF + "/events.parquet")
+    events.withColumn("event_type", F.when(F.col("event_id") % 9 != 0, F.col("event_type"))).write.parquet(f"{path}/events.parquet")
+    with duckdb.connect() as con:
+        con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{path}/events.parquet/*.parquet')")
+        assert oracle_check.compare(spark, con, name, path, QUERIES, ORACLES) is None

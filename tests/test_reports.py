@@ -208,6 +208,19 @@ def test_window_inspection(frame):
     assert {r.fault for r in faults.collect()} >= {"wrong_length", "not_a_number", "high_below_low"}
 
 
+def test_bars_without_a_symbol_are_no_window_of_the_universe(frame):
+    newest = 99 * MIN
+    held = served(frame, [newest, newest - MIN], ["[1]"])
+    both = held.unionByName(held.selectExpr("CAST(NULL AS string) AS symbol", "pos", "payload"))
+    universe = frame([("A",), ("B",), (None,)], "symbol string")
+    got = windows.inspect_window(both, MIN, 100 * MIN, 3, universe)
+    assert rows(got, "symbol", "length", "head_ms", "gaps", "corrupt", "status") == [
+        ("A", 3, newest, 0, 1, "FAIL"), ("B", 0, None, 0, 0, "EMPTY"), (None, 0, None, 0, 0, "EMPTY")]
+    # with no universe they are listed as they are
+    alone = windows.inspect_window(both, MIN, 100 * MIN, 3).where("symbol IS NULL").first()
+    assert (alone.length, alone.head_ms, alone.tail_ms, alone.corrupt, alone.status) == (3, newest, newest - MIN, 1, "FAIL")
+
+
 def test_positional_reconciliation(spark, frame):
     base = bars(spark, [bar("A", i * MIN) for i in range(5)])
     columns = "symbol string, pos int, t long, o double, h double, l double, c double, v double, qv double"
